@@ -129,7 +129,12 @@ def _tiebreak(payload: list[str]) -> Column:
 # ---------------------------------------------------------------- type 1
 
 
-def scd1_state(events: DataFrame, spec: ChangeSpec, state: DataFrame | None = None) -> DataFrame:
+def scd1_state(
+    events: DataFrame,
+    spec: ChangeSpec,
+    state: DataFrame | None = None,
+    keep_origin: bool = False,
+) -> DataFrame:
     """Latest event per key, tombstones included, folded over an earlier state.
 
     One ``groupBy(keys)`` whose partial side runs before the shuffle, so a key with
@@ -144,10 +149,11 @@ def scd1_state(events: DataFrame, spec: ChangeSpec, state: DataFrame | None = No
             state.select(*events.columns).withColumn("__kept", F.lit(True))
         )
     order = F.struct(F.col(SEQ), F.col("__kept"), _tiebreak(payload))
-    aggregates = [F.max_by(F.struct(SEQ, DEL, *payload), order).alias("__latest")]
+    aggregates = [F.max_by(F.struct(SEQ, DEL, "__kept", *payload), order).alias("__latest")]
+    hidden = [SEQ, DEL, "__kept"] if keep_origin else [SEQ, DEL]
     if not spec.ignore_null_updates:
         latest = rows.groupBy(*spec.keys).agg(*aggregates)
-        return latest.select(*spec.keys, *[F.col(f"__latest.{c}") for c in (*payload, SEQ, DEL)])
+        return latest.select(*spec.keys, *[F.col(f"__latest.{c}") for c in (*payload, *hidden)])
 
     # Per column the last non-null event, to be used only if no delete and no
     # stored row is newer.
@@ -173,8 +179,7 @@ def scd1_state(events: DataFrame, spec: ChangeSpec, state: DataFrame | None = No
     return folded.select(
         *spec.keys,
         *[value(c).alias(c) for c in payload],
-        F.col(f"__latest.{SEQ}"),
-        F.col(f"__latest.{DEL}"),
+        *[F.col(f"__latest.{c}") for c in hidden],
     )
 
 
