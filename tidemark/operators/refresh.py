@@ -143,9 +143,12 @@ def merge_partials(
 
 
 def refresh_partitions(rows: DataFrame, path: str, columns: list[str]) -> None:
-    """Overwrites just the partitions that ``rows`` has values for."""
+    """Overwrites just the partitions that ``rows`` has values for.
+
+    The rebalance hint gathers a partition's rows and, with AQE, still splits large ones.
+    """
     (
-        rows.repartition(*columns)
+        rows.hint("rebalance", *columns)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*columns)
