@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import DIMENSIONS, dimension_expr, mean, order_tier
+from tidemark.plans.silver import add_customer
 
 CANCELLED = "cancelled"
 COMPLETED = "completed"
@@ -54,40 +55,62 @@ def revenue_by_status(enriched: DataFrame) -> DataFrame:
     )
 
 
-def customer_order_summary(enriched: DataFrame, amount: Column | str = "line_total") -> DataFrame:
-    return enriched.groupBy("customer_id", "customer_name", "customer_segment", "customer_state").agg(
+def _per_customer(orders: DataFrame) -> DataFrame:
+    """Measures per customer id, the grain at which the dimension is joined.
+
+    Aggregating first joins one row per customer instead of one per order, and a
+    customer with very many orders is reduced on the map side.
+    """
+    return orders.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("order_count"),
-        F.sum(amount).alias("total_spent"),
-        mean(amount).alias("avg_order_value"),
+        F.sum("line_total").alias("total_spent"),
+        mean("line_total").alias("avg_order_value"),
         F.max("order_date").alias("last_order_date"),
     )
 
 
+def customer_order_summary(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """Per customer id, name, segment and state; orders are typed, not yet joined."""
+    return add_customer(_per_customer(orders), customers).select(
+        "customer_id",
+        "customer_name",
+        "customer_segment",
+        "customer_state",
+        "order_count",
+        "total_spent",
+        "avg_order_value",
+        "last_order_date",
+    )
+
+
 def revenue_by_attributes(enriched: DataFrame, attributes: list[str]) -> DataFrame:
     return enriched.groupBy(*attributes).agg(
         F.count(F.lit(1)).alias("total_orders"), F.sum("line_total").alias("total_revenue")
     )
 
 
-def top_spenders(enriched: DataFrame, n: int = 5) -> DataFrame:
+def top_spenders(orders: DataFrame, customers: DataFrame, n: int = 5) -> DataFrame:
     """By display name, as customers are shown: equal names add up."""
+    done = orders.filter(F.col("order_status") == COMPLETED)
     return (
-        enriched.filter(F.col("order_status") == COMPLETED)
+        add_customer(_per_customer(done), customers)
         .groupBy("customer_name")
-        .agg(F.count(F.lit(1)).alias("order_count"), F.sum("line_total").alias("total_spent"))
+        .agg(F.sum("order_count").alias("order_count"), F.sum("total_spent").alias("total_spent"))
         .orderBy(F.desc("total_spent"), "customer_name")
         .limit(n)
     )
 
 
-def state_leaderboard(enriched: DataFrame, n: int = 10) -> DataFrame:
+def state_leaderboard(orders: DataFrame, customers: DataFrame, n: int = 10) -> DataFrame:
+    """Distinct customers per state are plain counts of the rows per customer."""
     return (
-        enriched.filter(F.col("customer_state").isNotNull())
+        add_customer(_per_customer(orders), customers)
+        .filter(F.col("customer_state").isNotNull())
         .groupBy("customer_state")
         .agg(
-            F.countDistinct("customer_id").alias("customers"),
-            F.count(F.lit(1)).alias("orders"),
-            F.sum("line_total").alias("revenue"),
+            F.count("customer_id").alias("customers"),
+            F.sum("order_count").alias("orders"),
+            F.sum("total_spent").alias("revenue"),
         )
         .orderBy(F.desc("revenue"), "customer_state")
         .limit(n)

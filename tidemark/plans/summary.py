@@ -23,8 +23,8 @@ def refresh_customer_summary(
     """
     since = orders.filter(F.col("order_date") >= min_order_date)
     require_rows(since, f"no orders since {min_order_date}")
-    done = silver.orders_enriched(since, customers).filter(F.col("order_status") == gold.COMPLETED)
-    summary = gold.customer_order_summary(done)
+    done = silver.orders_enriched(since).filter(F.col("order_status") == gold.COMPLETED)
+    summary = gold.customer_order_summary(done, customers)
     if target is None:
         return summary
     target.replace(summary)

@@ -9,15 +9,30 @@ from pyspark.sql import SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+# Runtime settings the library relies on: AQE, and its skew-join split also where an
+# operator after the join would otherwise reuse the join's partitioning.
+RUNTIME = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def settle(spark: SparkSession) -> SparkSession:
+    """Applies the runtime settings to a session built elsewhere."""
+    for key, value in RUNTIME.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = {
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        **RUNTIME,
         **conf,
     }
     for key, value in settings.items():

@@ -7,9 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.session import settle
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
-MODULES = ("tables",)
+MODULES = ("tables", "changes")
 
 
 def query(sql: str | None = None, name: str | None = None):
@@ -19,7 +21,7 @@ def query(sql: str | None = None, name: str | None = None):
         key = name or fn.__name__
         if key in QUERIES:
             raise ValueError(f"query {key} exists")
-        QUERIES[key] = fn
+        QUERIES[key] = lambda spark, sf: fn(settle(spark), sf)
         if sql is not None:
             ORACLE[key] = sql
         return fn

@@ -38,6 +38,11 @@ def enriched(spark, sf, customer: bool = True, product: bool = True) -> DataFram
     )
 
 
+def typed_orders(spark, sf) -> DataFrame:
+    """Typed orders without dimension columns."""
+    return silver.orders_enriched(raw_orders(spark, sf))
+
+
 def feedback(spark, sf) -> DataFrame:
     return silver.feedback_enriched(
         raw_feedback(spark, sf), raw_orders(spark, sf), raw_products(spark, sf), raw_customers(spark, sf)
@@ -396,7 +401,7 @@ def revenue_by_category(spark, sf):
     )
 )
 def daily_sales_summary(spark, sf):
-    return plain(gold.daily_sales_summary(enriched(spark, sf, customer=False, product=False)))
+    return plain(gold.daily_sales_summary(typed_orders(spark, sf)))
 
 
 @query(
@@ -419,7 +424,7 @@ def feedback_by_category_gold(spark, sf):
     )
 )
 def revenue_by_status(spark, sf):
-    return plain(gold.revenue_by_status(enriched(spark, sf, customer=False, product=False)))
+    return plain(gold.revenue_by_status(typed_orders(spark, sf)))
 
 
 SUMMARY_SQL = f"""SELECT customer_id, customer_name, customer_segment, customer_state,
@@ -430,8 +435,8 @@ SUMMARY_SQL = f"""SELECT customer_id, customer_name, customer_segment, customer_
 
 @query(with_views("orders_enriched", then=SUMMARY_SQL.format(where="order_status = 'completed'")))
 def customer_order_summary(spark, sf):
-    done = enriched(spark, sf, product=False).filter(F.col("order_status") == gold.COMPLETED)
-    return plain(gold.customer_order_summary(done))
+    done = typed_orders(spark, sf).filter(F.col("order_status") == gold.COMPLETED)
+    return plain(gold.customer_order_summary(done, raw_customers(spark, sf)))
 
 
 @query(
@@ -443,7 +448,7 @@ def customer_order_summary(spark, sf):
     )
 )
 def top5_spenders(spark, sf):
-    return plain(gold.top_spenders(enriched(spark, sf, product=False)))
+    return plain(gold.top_spenders(typed_orders(spark, sf), raw_customers(spark, sf)))
 
 
 @query(
@@ -456,7 +461,7 @@ def top5_spenders(spark, sf):
     )
 )
 def state_leaderboard(spark, sf):
-    return plain(gold.state_leaderboard(enriched(spark, sf, product=False)))
+    return plain(gold.state_leaderboard(typed_orders(spark, sf), raw_customers(spark, sf)))
 
 
 def _report_sql(dimension: str) -> str:
