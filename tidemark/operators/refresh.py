@@ -65,7 +65,7 @@ def refresh_rows(
 ) -> None:
     """Enriches and appends new fact rows only."""
     if not (target.exists() and txn and target.has_txn(*txn)):
-        target.append(enrich(delta), txn=txn)
+        target.append(enrich(delta), txn=txn, cluster=True)
 
 
 def touched_slots(target: VersionedTable, rows: DataFrame) -> list[str]:
@@ -80,6 +80,7 @@ def refresh_dimension_change(
     changed_keys: DataFrame,
     keys: list[str],
     enrich: Callable[[DataFrame], DataFrame],
+    txn: tuple[str, str] | None = None,
 ) -> None:
     """Enriches again the stored rows whose dimension row changed.
 
@@ -89,11 +90,13 @@ def refresh_dimension_change(
     changed = stage(changed_keys.select(*keys).distinct())
     slots = touched_slots(target, target.read().join(changed, keys, "left_semi"))
     if not slots:
+        if txn:
+            target.mark(*txn)
         return
     rows = target.read(slots)
     again = enrich(rows.join(changed, keys, "left_semi"))
     kept = rows.join(changed, keys, "left_anti")
-    target.replace_slots(kept.unionByName(again.select(*kept.columns)), slots)
+    target.replace_slots(kept.unionByName(again.select(*kept.columns)), slots, txn=txn, cluster=True)
 
 
 # ---------------------------------------------------------------- groups

@@ -186,7 +186,14 @@ def read_as_text(spark: SparkSession, paths: list[str], format: str) -> DataFram
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header line; timestamps keep their microseconds."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+        .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        .csv(path)
+    )
 
 
 def append_rows(target: DataFrame, rows: list[tuple], schema: T.StructType | str) -> DataFrame:

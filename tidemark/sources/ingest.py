@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -83,7 +83,14 @@ class FileIngest:
         if paths:
             rows = self._typed(paths)
             evolve = self.evolution == "addNewColumns"
-            self.target.append(rows, txn=txn, evolve=evolve, metrics={"files": len(paths)})
+            seen = Observation()
+            self.target.append(
+                rows.observe(seen, F.count(F.lit(1)).alias("rows")),
+                txn=txn,
+                evolve=evolve,
+                metrics={"files": len(paths)},
+                observed=seen,
+            )
 
     def refresh(self) -> StreamingQuery:
         """Ingests the files that came since the last call, then stops."""
@@ -107,6 +114,15 @@ class FileIngest:
         return query
 
 
+def table_path(path: str) -> str:
+    """A path that a file stream takes for a folder of files as well as for one file.
+
+    The file source expects a folder unless the path is a pattern.
+    """
+    path = path.rstrip("/")
+    return f"{path[:-1]}[{path[-1]}]"
+
+
 def ingest_table(
     spark: SparkSession,
     source: str,
@@ -120,7 +136,7 @@ def ingest_table(
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = reader.parquet(source)
+    rows = reader.parquet(table_path(source))
     query = (
         (transform(rows) if transform else rows)
         .writeStream.format("parquet")
@@ -173,14 +189,11 @@ def copy_into(
     return len(paths)
 
 
-def delivered(spark: SparkSession, table: VersionedTable) -> DataFrame:
-    """Files per commit of a raw table: version, operation, file count."""
+def refresh_history(spark: SparkSession, table: VersionedTable) -> DataFrame:
+    """Files and rows per commit of a raw table, newest first."""
     rows = [
-        (m.version, m.operation, int(m.metrics.get("files", 0))) for m in table.history()
+        (m.version, m.operation, int(m.metrics.get("files", 0)), int(m.metrics.get("rows", 0)))
+        for m in table.history()
     ]
-    return spark.createDataFrame(rows, "version long, operation string, files int").orderBy(
-        F.desc("version")
-    )
-
-
-__all__ = ["FileIngest", "Files", "copy_into", "delivered", "ingest_table", "list_files"]
+    schema = "version long, operation string, files int, rows long"
+    return spark.createDataFrame(rows, schema).orderBy(F.desc("version"))

@@ -118,7 +118,7 @@ class ChangeTarget:
             merged.drop("__kept").withColumn(BUCKET, self._bucket()),
             slots,
             txn=txn,
-            metrics=seen,
+            observed=seen,
         )
 
     def _slots_from(self, table: VersionedTable, floors: dict[int, str]) -> list[str]:
@@ -165,7 +165,7 @@ class ChangeTarget:
             versions = versions.unionByName(kept.select(*versions.columns))
         # Versions first: if the job dies in between, the batch still counts as new
         # and yields the same versions again.
-        self.versions.replace_slots(versions, replaced, metrics=seen)
+        self.versions.replace_slots(versions, replaced, observed=seen)
         self.events.append(
             fresh.withColumn(BUCKET, self._bucket()).withColumn(PERIOD, self._period(fresh, SEQ)),
             txn=txn,

@@ -268,10 +268,19 @@ def scd2_as_of(spark, sf):
     return plain(cdc.versions_as_of(versions, moment))
 
 
-@query(versions_sql(["tier"], where="customer_id = 7"))
+@query(
+    versions_sql(
+        ["tier"],
+        where="""customer_id = (SELECT user_id FROM events GROUP BY user_id
+                                ORDER BY COUNT(*) DESC, user_id DESC LIMIT 1)""",
+    )
+)
 def key_history(spark, sf):
+    """All versions of the busiest customer, oldest first."""
+    per_user = table(spark, sf, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    busiest = per_user.agg(F.max_by("user_id", F.struct("n", "user_id"))).scalar()
     versions = tracked_versions(spark, sf, track_history=["tier"])
-    return plain(cdc.key_history(versions, "customer_id", 7, START))
+    return plain(cdc.key_history(versions, "customer_id", busiest, START))
 
 
 @query(
