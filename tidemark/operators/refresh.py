@@ -121,18 +121,18 @@ def refresh_groups(
 
 # ---------------------------------------------------------------- merge
 
-# How partial results of one measure are combined.
+# How a measure is computed from rows, and combined from partial results.
+MEASURE = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 COMBINE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 
 
-def partials(df: DataFrame, groups: list[str], measures: dict[str, tuple[str, Column]]) -> DataFrame:
-    """Additive partial results: {name: (sum | count | min | max, expression)}."""
-    kinds = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
-    return df.groupBy(*groups).agg(*[kinds[k](e).alias(n) for n, (k, e) in measures.items()])
+def partials(df: DataFrame, groups: list[str], measures: dict[str, tuple[str, str]]) -> DataFrame:
+    """Additive partial results: {name: (sum | count | min | max, SQL expression)}."""
+    return df.groupBy(*groups).agg(*[MEASURE[k](F.expr(e)).alias(n) for n, (k, e) in measures.items()])
 
 
 def merge_partials(
-    state: DataFrame, delta: DataFrame, groups: list[str], measures: dict[str, tuple[str, Column]]
+    state: DataFrame, delta: DataFrame, groups: list[str], measures: dict[str, tuple[str, str]]
 ) -> DataFrame:
     """State and delta partials as one state; cost follows the number of groups."""
     types = {f.name: f.dataType for f in state.schema}

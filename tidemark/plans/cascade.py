@@ -21,8 +21,8 @@ from tidemark.streaming.changes import ChangeTarget
 
 CUSTOMER_HINTS = {"zip_code": "string", "last_name": "string"}
 REVENUE = {
-    "total_orders": ("count", F.lit(1)),
-    "total_revenue": ("sum", F.col("line_total")),
+    "total_orders": ("count", "1"),
+    "total_revenue": ("sum", "line_total"),
 }
 
 

@@ -35,14 +35,14 @@ from tidemark.suite.inputs import (
 from tidemark.suite.tables import ORDER_COLUMNS_SQL, enriched, feedback, typed_orders
 
 EVENTS_SQL = f"SELECT event_id, {stamp_sql('ts')} AS ts, user_id, event_type, value, props FROM events"
-MID_JANUARY = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
 
 
-def landed(spark, sf, folder: str) -> tuple[DataFrame, DataFrame]:
-    """The events in two deliveries, the second one not dropped yet."""
+def landed(spark, sf, folder: str) -> DataFrame:
+    """Delivers the early events as files; the rest is returned for later."""
     events = table(spark, sf, "events")
-    fs.export_csv(events.filter(MID_JANUARY), folder)
-    return events, events.filter(~MID_JANUARY)
+    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    fs.export_csv(events.filter(early), folder)
+    return events.filter(~early)
 
 
 # ---------------------------------------------------------------- ingestion
@@ -50,7 +50,7 @@ def landed(spark, sf, folder: str) -> tuple[DataFrame, DataFrame]:
 
 def two_deliveries(spark, sf) -> VersionedTable:
     folder = scratch_dir(spark, "landing")
-    _, later = landed(spark, sf, folder)
+    later = landed(spark, sf, folder)
     target = VersionedTable(spark, scratch_dir(spark, "raw"))
     job = ingest.FileIngest(
         spark, folder, target, scratch_dir(spark, "bookmark"), glob="*.csv"
@@ -401,7 +401,13 @@ def settled(spark, df: DataFrame) -> DataFrame:
     return plain(out)
 
 
-COUNTED = [F.count(F.lit(1)).alias("events"), F.sum(F.col("value").cast("decimal(12,2)")).alias("total")]
+
+
+def counted():
+    total = F.sum(F.col("value").cast("decimal(12,2)"))
+    return [F.count(F.lit(1)).alias("events"), total.alias("total")]
+
+
 COUNTED_SQL = "COUNT(*) AS events, CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total"
 LATEST_SQL = "(SELECT MAX(ts) - INTERVAL 10 MINUTE FROM events)"
 
@@ -416,7 +422,7 @@ def events_tumbling(spark, sf):
     """Hourly windows; the last ones stay open until the watermark passes them."""
     stream = event_stream(spark, sf)
     return settled(
-        spark, windows.windowed(stream, "ts", "10 minutes", "1 hour", ["event_type"], COUNTED)
+        spark, windows.windowed(stream, "ts", "10 minutes", "1 hour", ["event_type"], counted())
     )
 
 
@@ -432,7 +438,7 @@ def events_sliding(spark, sf):
     return settled(
         spark,
         windows.windowed(
-            stream, "ts", "10 minutes", "2 hours", ["event_type"], COUNTED, slide="1 hour"
+            stream, "ts", "10 minutes", "2 hours", ["event_type"], counted(), slide="1 hour"
         ),
     )
 
@@ -448,7 +454,7 @@ def events_sliding(spark, sf):
 def events_session(spark, sf):
     stream = event_stream(spark, sf)
     return settled(
-        spark, windows.sessions(stream, "ts", "10 minutes", "3 hours", ["user_id"], COUNTED)
+        spark, windows.sessions(stream, "ts", "10 minutes", "3 hours", ["user_id"], counted())
     )
 
 
