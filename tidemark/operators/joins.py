@@ -26,6 +26,15 @@ def keep_best(df: DataFrame, keys: list[str], best: list[Column]) -> DataFrame:
     return kept.select(*keys, *[F.col(f"kept.`{c}`") for c in rest]).select(*df.columns)
 
 
+# Key tables up to this many rows are broadcast; a row is a few values.
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A broadcast hint for a frame whose counted rows stay below the limit."""
+    return F.broadcast(df) if rows <= limit else df
+
+
 def with_match(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
     """EXISTS."""
     return left.join(right, on, "left_semi")

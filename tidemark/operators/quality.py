@@ -89,22 +89,22 @@ def expect(
     return checked
 
 
+def tag(df: DataFrame, rules: dict[str, str]) -> DataFrame:
+    """Adds the comma-separated names of the rules a row breaks; NULL on good rows."""
+    broken = F.array_compact(F.array(*[F.when(~passes(e), F.lit(n)) for n, e in rules.items()]))
+    return df.withColumn("failed_rules", F.nullif(F.array_join(broken, ","), F.lit("")))
+
+
 def split(df: DataFrame, rules: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """Good rows, and bad rows with the names of the rules they break."""
-    broken = F.filter(
-        F.array(*[F.when(~passes(e), F.lit(name)) for name, e in rules.items()]),
-        lambda x: x.isNotNull(),
-    )
-    tagged = df.withColumn("failed_rules", F.array_join(broken, ","))
     good = df.filter(passes_all(rules))
-    return good, tagged.filter(F.col("failed_rules") != "")
+    return good, tag(df, rules).filter(F.col("failed_rules").isNotNull())
 
 
 def write_quarantined(df: DataFrame, rules: dict[str, str], path: str) -> None:
     """Good and bad rows in one pass, as two partitions of one output."""
-    df.withColumn("is_bad", ~passes_all(rules)).write.mode("overwrite").partitionBy(
-        "is_bad"
-    ).parquet(path)
+    tagged = tag(df, rules).withColumn("is_bad", F.col("failed_rules").isNotNull())
+    tagged.write.mode("overwrite").partitionBy("is_bad").parquet(path)
 
 
 def rule_metrics(df: DataFrame, rules: dict[str, str]) -> DataFrame:

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import refresh as rf
 from tidemark.operators.cdc import ChangeSpec
+from tidemark.operators.joins import keep_best
 from tidemark.plans import gold, silver
 from tidemark.session import stage
 from tidemark.sources.ingest import FileIngest
-from tidemark.storage.versioned import VersionedTable
+from tidemark.storage.versioned import GEN, VersionedTable
 from tidemark.streaming.changes import ChangeTarget
 
 CUSTOMER_HINTS = {"zip_code": "string", "last_name": "string"}
@@ -85,7 +86,10 @@ class RetailCascade:
         return silver.add_product(with_customer, self._products())
 
     def _products(self) -> DataFrame:
-        return self.products.target.read().dropDuplicates(["product_id"])
+        """One row per product: the one delivered last."""
+        rows = self.products.target.read(with_generation=True)
+        rest = [F.col(c) for c in rows.columns if c not in ("product_id", GEN)]
+        return keep_best(rows, ["product_id"], [F.col(GEN), *rest]).drop(GEN)
 
     def _refresh_enriched(self) -> bool:
         """Returns whether stored rows may have changed their product columns."""

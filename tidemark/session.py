@@ -9,12 +9,16 @@ from pyspark.sql import SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-# Runtime settings the library relies on: AQE, and its skew-join split also where an
+# Runtime settings the library relies on: AQE, with its skew-join split also where an
 # operator after the join would otherwise reuse the join's partitioning.
 RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Streaming state outside the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from tidemark.storage.versioned import Files
 
 RESCUED = "_rescued_data"
+HEADER_READERS = 16
 FORMATS = ("csv", "json", "parquet", "avro")
 
 
@@ -169,8 +171,10 @@ def read_as_text(spark: SparkSession, paths: list[str], format: str) -> DataFram
         return read_files(spark, paths, format, primitivesAsString=True)
     files = Files(spark)
     groups: dict[str, list[str]] = defaultdict(list)
-    for path in paths:
-        groups[_first_line(files, path).rstrip("\r")].append(path)
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        lines = list(pool.map(lambda path: _first_line(files, path), paths))
+    for path, line in zip(paths, lines, strict=True):
+        groups[line.rstrip("\r")].append(path)
     frames = []
     for members in groups.values():
         names = read_files(spark, members[:1], "csv").columns

@@ -162,31 +162,32 @@ def copy_into(
     path: str,
     format: str = "csv",
     merge_schema: bool = False,
+    max_files: int = 10_000,
     **options,
 ) -> int:
     """Bulk load that skips files loaded before; returns the number of new files.
 
-    The ledger of loaded files is a table beside the target. Rows are committed with
-    the ledger's next version as transaction, so a retry after a crash between the
-    two commits does not load twice.
+    Loads at most ``max_files`` per commit until none are left. The ledger of loaded
+    files is a table beside the target. Rows are committed under the ledger's next
+    version, so a load that died between the two commits is only noted, not repeated.
     """
     ledger = VersionedTable(spark, f"{target.path}/_loaded")
-    found = list_files(spark, path)
-    if ledger.exists():
-        found = found.join(ledger.read(), "path", "left_anti")
-    txn = ("copy_into", str(ledger.manifest().version + 1))
-    done_before = target.exists() and target.has_txn(*txn)
-    if done_before:
-        loaded = target.manifest().metrics.get("paths", [])
-        ledger.append(spark.createDataFrame([(p,) for p in loaded], "path string"))
-        return copy_into(spark, target, path, format, merge_schema, **options)
-    paths = [r["path"] for r in found.orderBy("path").collect()]
-    if not paths:
-        return 0
-    rows = fs.read_files(spark, paths, format, **options)
-    target.append(rows, txn=txn, evolve=merge_schema, metrics={"paths": paths})
-    ledger.append(spark.createDataFrame([(p,) for p in paths], "path string"))
-    return len(paths)
+    total = 0
+    while True:
+        found = list_files(spark, path)
+        if ledger.exists():
+            found = found.join(ledger.read(), "path", "left_anti")
+        paths = [r["path"] for r in found.orderBy("path").limit(max_files).collect()]
+        if not paths:
+            return total
+        txn = ("copy_into", str(ledger.manifest().version + 1))
+        if target.exists() and target.has_txn(*txn):
+            paths = target.manifest().metrics["paths"]
+        else:
+            rows = fs.read_files(spark, paths, format, **options)
+            target.append(rows, txn=txn, evolve=merge_schema, metrics={"paths": paths})
+        ledger.append(spark.createDataFrame([(p,) for p in paths], "path string"))
+        total += len(paths)
 
 
 def refresh_history(spark: SparkSession, table: VersionedTable) -> DataFrame:

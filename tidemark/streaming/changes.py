@@ -22,8 +22,9 @@ from pyspark.sql import types as T
 
 from tidemark.operators import cdc
 from tidemark.operators.cdc import DEL, END, SEQ, START, ChangeSpec
+from tidemark.operators.joins import broadcast_if_small
 from tidemark.session import stage
-from tidemark.storage.versioned import VersionedTable, slot_name
+from tidemark.storage.versioned import Files, VersionedTable, slot_name
 
 BUCKET, PERIOD = "__bucket", "__period"
 OPEN = "open"
@@ -33,6 +34,21 @@ def month_of(seq: Column) -> Column:
     return F.date_format(seq, "yyyy-MM")
 
 
+def _join(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
+    """Join on equal keys, where NULL is a key like any other."""
+    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    match = F.lit(True)
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+    return left.join(renamed, match, how).drop(*[f"__r_{k}" for k in keys])
+
+
+def _sized(df: DataFrame) -> DataFrame:
+    """A staged key table, broadcast if its row count allows it."""
+    df = stage(df)
+    return broadcast_if_small(df, df.count())
+
+
 def default_period(dtype: T.DataType) -> Callable[[Column], Column] | None:
     dated = isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType))
     return month_of if dated else None
@@ -52,7 +68,7 @@ class ChangeTarget:
     ):
         spec.check()
         self.spark, self.spec, self.chunk_rows = spark, spec, chunk_rows
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = self._pinned_buckets(path, buckets)
         self.period = period
         if spec.scd_type == 1:
             self.state = VersionedTable(spark, f"{path}/state", [BUCKET])
@@ -62,6 +78,15 @@ class ChangeTarget:
 
     # ------------------------------------------------------------ helpers
 
+    def _pinned_buckets(self, path: str, asked: int | None) -> int:
+        """The number of buckets, fixed when the target is first used."""
+        files, pinned_at = Files(self.spark), f"{path}/_buckets"
+        if files.exists(pinned_at):
+            return int(files.read_text(pinned_at))
+        buckets = asked or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        files.create_text(pinned_at, str(buckets))
+        return buckets
+
     def _bucket(self) -> Column:
         return F.pmod(F.hash(*self.spec.keys), F.lit(self.buckets)).alias(BUCKET)
 
@@ -100,12 +125,21 @@ class ChangeTarget:
             "__deleted_at", F.when(F.col(DEL), as_of.cast("timestamp"))
         )
         events = stage(events)
-        touched = [r[0] for r in events.select(self._bucket()).distinct().collect()]
+        keys = events.select(self._bucket(), *self.spec.keys).distinct()
+        touched = keys.groupBy(BUCKET).count().collect()
         if not touched:
             return
-        slots = [slot_name([BUCKET], [b]) for b in touched]
-        old = self.state.read(slots) if self.state.exists() else None
+        slots = [slot_name([BUCKET], [r[BUCKET]]) for r in touched]
+        old = self.state.read(slots).drop(BUCKET) if self.state.exists() else None
+        untouched = None
+        if old is not None:
+            # Rows of other keys are copied as they are; only touched ones are shuffled.
+            keys = broadcast_if_small(keys.drop(BUCKET), sum(r["count"] for r in touched))
+            untouched = _join(old, keys, self.spec.keys, "left_anti")
+            old = _join(old, keys, self.spec.keys, "left_semi")
         merged = cdc.scd1_state(events, self.spec, old, keep_origin=True)
+        if untouched is not None:
+            merged = merged.unionByName(untouched.withColumn("__kept", F.lit(True)))
         seen = Observation()
         fresh = ~F.col("__kept")
         merged = merged.observe(
@@ -139,13 +173,12 @@ class ChangeTarget:
         if txn and self.events.exists() and self.events.has_txn(*txn):
             return
         keys = list(self.spec.keys)
-        fresh = cdc.dedupe_events(cdc.as_events(batch, self.spec), self.spec.keys)
+        fresh = stage(cdc.dedupe_events(cdc.as_events(batch, self.spec), self.spec.keys))
         if self.events.exists():
-            fresh = stage(fresh)
-            stored = self.events.read(self._slots_of(fresh))
             # A stored event wins against a new one of the same sequence.
-            fresh = fresh.join(stored.select(*keys, SEQ), [*keys, SEQ], "left_anti")
-        fresh = stage(fresh)
+            stored = self.events.read(self._slots_of(fresh)).select(*keys, SEQ)
+            stored = _join(stored, _sized(fresh.select(*keys).distinct()), keys, "left_semi")
+            fresh = stage(_join(fresh, stored, [*keys, SEQ], "left_anti"))
         floors = self._floors(fresh, SEQ)
         if not floors:
             return
@@ -156,9 +189,8 @@ class ChangeTarget:
         else:
             events, kept, replaced = self._reopen(fresh, touched, floors)
         versions = cdc.scd2_versions(events, self.spec, self.chunk_rows)
-        versions = versions.withColumn(BUCKET, self._bucket()).withColumn(
-            PERIOD, F.coalesce(self._period(versions, END), F.lit(OPEN))
-        )
+        period = F.when(F.col(END).isNull(), OPEN).otherwise(self._period(versions, END))
+        versions = versions.withColumn(BUCKET, self._bucket()).withColumn(PERIOD, period)
         seen = Observation()
         versions = versions.observe(seen, F.count(F.lit(1)).alias("num_upserted_rows"))
         if kept is not None:
@@ -184,41 +216,37 @@ class ChangeTarget:
         keys = list(self.spec.keys)
         if self.spec.ignore_null_updates:
             # Values may be filled from any earlier event: start from the first.
-            old_slots = self._slots_from(self.versions, dict.fromkeys(floors, ""))
-            versions = self.versions.read(old_slots)
-            touched = stage(touched.withColumn("__since", F.lit(None).cast(fresh.schema[SEQ].dataType)))
-            event_slots = self._slots_from(self.events, dict.fromkeys(floors, ""))
+            first = F.lit(None).cast(fresh.schema[SEQ].dataType)
+            touched = _sized(touched.withColumn("__since", first))
+            floors = dict.fromkeys(floors, "")
+            versions = self.versions.read(self._slots_from(self.versions, floors))
         else:
             # Open slots sort after every date, so they are always included.
-            old_slots = self._slots_from(self.versions, floors)
-            versions = self.versions.read(old_slots)
-            holding = versions.select(*keys, START, END).join(touched, keys).filter(
+            versions = self.versions.read(self._slots_from(self.versions, floors))
+            touched = _sized(touched)
+            holding = _join(versions.select(*keys, START, END), touched, keys, "inner").filter(
                 (F.col(START) <= F.col("__since"))
                 & (F.col(END).isNull() | (F.col(END) > F.col("__since")))
             )
-            touched = stage(
-                touched.join(holding.select(*keys, START), keys, "left").select(
-                    *keys, F.coalesce(START, "__since").alias("__since")
-                )
-            )
-            event_slots = self._slots_from(self.events, self._floors(touched, "__since"))
-        again = F.col("__since").isNull() | (F.col(SEQ) >= F.col("__since"))
+            since = F.coalesce(START, "__since").alias("__since")
+            touched = _join(touched, holding.select(*keys, START), keys, "left").select(*keys, since)
+            touched = _sized(touched)
+            floors = self._floors(touched, "__since")
         events = fresh
         if self.events.exists():
-            stored = self.events.read(event_slots).join(touched, keys).filter(again)
+            stored = self.events.read(self._slots_from(self.events, floors))
+            stored = _join(stored, touched, keys, "inner").filter(
+                F.col("__since").isNull() | (F.col(SEQ) >= F.col("__since"))
+            )
             events = fresh.unionByName(stored.select(*fresh.columns))
-        marked = versions.join(touched.withColumn("__touched", F.lit(True)), keys, "left")
+        touched = touched.withColumn("__touched", F.lit(True))
         stale = F.col("__touched").isNotNull() & (
             F.col("__since").isNull() | (F.col(START) >= F.col("__since"))
         )
-        rewritten = marked.filter(stale).select(BUCKET, PERIOD).distinct().collect()
-        replaced = [slot_name([BUCKET, PERIOD], [r[BUCKET], r[PERIOD]]) for r in rewritten]
-        kept = (
-            self.versions.read(replaced)
-            .join(touched.withColumn("__touched", F.lit(True)), keys, "left")
-            .filter(~stale)
-            .drop("__since", "__touched")
-        )
+        rewritten = _join(versions, touched, keys, "left").filter(stale)
+        pairs = rewritten.select(BUCKET, PERIOD).distinct().collect()
+        replaced = [slot_name([BUCKET, PERIOD], [r[BUCKET], r[PERIOD]]) for r in pairs]
+        kept = _join(self.versions.read(replaced), touched, keys, "left").filter(~stale)
         return events, kept, replaced
 
     # ------------------------------------------------------------ upkeep

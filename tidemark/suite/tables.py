@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import discounted_amount, order_tier, slugify
+from tidemark.functions import discounted_amount, mean, order_tier, slugify
 from tidemark.operators import joins, refresh, timeline
 from tidemark.plans import gold, silver
 from tidemark.sources import files as fs
@@ -216,8 +216,6 @@ def feedback_by_order_tier(spark, sf):
     )
 )
 def feedback_by_category(spark, sf):
-    from tidemark.functions import mean
-
     return plain(
         raw_feedback(spark, sf)
         .join(raw_orders(spark, sf).select("order_id", "product_id"), "order_id")
@@ -493,8 +491,7 @@ def multi_dimension_report(spark, sf):
                 FROM orders_enriched GROUP BY product_brand
                 HAVING SUM(line_total) > 1.02 * (SELECT SUM(line_total) / COUNT(DISTINCT COALESCE(product_brand, ''))
                                                  FROM orders_enriched)""",
-    ),
-    name="categories_having",
+    )
 )
 def categories_having(spark, sf):
     brands = gold.revenue_by_attributes(enriched(spark, sf, customer=False), ["product_brand"])
