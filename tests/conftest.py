@@ -13,7 +13,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"},
+        **{"spark.sql.shuffle.partitions": "2", "spark.driver.memory": "4g"},
     )
     session.sparkContext.setLogLevel("ERROR")
     if session.conf.get(CHECKPOINT_DIR, None) is None:

@@ -13,13 +13,17 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 ACTIONS = ("warn", "drop", "fail")
-# Operators that a per-row rule cannot contain, as they show in an analysed plan.
+# Plan nodes and expressions that a per-row rule cannot lead to.
 NOT_PER_ROW = {
     "Aggregate": "an aggregate function",
     "Window": "a window function",
     "Generate": "a generator function",
-    "BatchEvalPython": "a Python function",
-    "ArrowEvalPython": "a Python function",
+    "ScalarSubquery": "a subquery",
+    "InSubquery": "a subquery",
+    "ListQuery": "a subquery",
+    "Exists": "a subquery",
+    "PythonUDF": "a user function",
+    "ScalaUDF": "a user function",
 }
 
 
@@ -27,26 +31,37 @@ class RuleError(ValueError):
     """The rule is not a deterministic boolean expression over one row."""
 
 
+def _tree(node):
+    """A JVM plan or expression node and everything below it."""
+    yield node
+    children = node.children()
+    for i in range(children.size()):
+        yield from _tree(children.apply(i))
+
+
 def validate_rule(df: DataFrame, expr: str) -> None:
-    """Rejects rules that are not deterministic and per-row, by analysing them."""
+    """Rejects rules that are not deterministic and per-row.
+
+    The rule is analysed on an empty frame with the same columns; what Spark makes of
+    it shows in the plan.
+    """
+    empty = df.sparkSession.createDataFrame([], df.schema)
     try:
-        analysed = df.limit(0).select(F.expr(expr).alias("ok"))
+        analysed = empty.select(F.expr(expr).alias("ok"))
         plan = analysed._jdf.queryExecution().analyzed()
     except Exception as error:
         raise RuleError(f"{expr!r}: {error}") from error
     if analysed.schema["ok"].dataType.simpleString() != "boolean":
         raise RuleError(f"{expr!r} is not boolean")
-    text = plan.toString()
-    for node, what in NOT_PER_ROW.items():
-        if any(line.lstrip(" +-:").startswith(node) for line in text.splitlines()):
-            raise RuleError(f"{expr!r} contains {what}")
-    if "subquery#" in text or "exists#" in text:
-        raise RuleError(f"{expr!r} contains a subquery")
-    top = plan.expressions().head()
-    if "PythonUDF" in top.getClass().getSimpleName() or "UDF(" in text:
-        raise RuleError(f"{expr!r} contains a user function")
-    if not top.deterministic():
-        raise RuleError(f"{expr!r} is not deterministic")
+    for node in _tree(plan):
+        parts = node.expressions()
+        found = [node, *[e for i in range(parts.size()) for e in _tree(parts.apply(i))]]
+        for part in found:
+            name = part.getClass().getSimpleName()
+            if name in NOT_PER_ROW:
+                raise RuleError(f"{expr!r} contains {NOT_PER_ROW[name]}")
+        if any(not parts.apply(i).deterministic() for i in range(parts.size())):
+            raise RuleError(f"{expr!r} is not deterministic")
 
 
 def passes(expr: str) -> Column:
