@@ -108,6 +108,19 @@ def test_dimension_change_rewrites_touched_slots_only(spark, new_path):
     assert table.bookmark("dim") == "2"
 
 
+def test_null_group_is_refreshed(spark):
+    target = spark.createDataFrame([(None, 1), ("a", 1)], "g string, n long")
+    source = spark.createDataFrame([(None, 1), (None, 2), ("a", 1)], "g string, v int")
+    out = refresh.refresh_groups(
+        target,
+        source,
+        source.filter("v = 2"),
+        ["g"],
+        lambda df: df.groupBy("g").agg(F.count("*").alias("n")),
+    )
+    assert {r["g"]: r["n"] for r in out.collect()} == {None: 2, "a": 1}
+
+
 def test_groups_without_rows_disappear(spark):
     target = spark.createDataFrame([("a", 2), ("b", 1)], "g string, n long")
     source = spark.createDataFrame([("a", 1)], "g string, v int")

@@ -35,6 +35,15 @@ def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) ->
     return F.broadcast(df) if rows <= limit else df
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
+    """Join on equal keys, where NULL is a key like any other; left keys are kept."""
+    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    match = F.lit(True)
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+    return left.join(renamed, match, how).drop(*[f"__r_{k}" for k in keys])
+
+
 def with_match(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
     """EXISTS."""
     return left.join(right, on, "left_semi")

@@ -17,8 +17,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import null_safe_join
 from tidemark.session import stage
-from tidemark.storage.versioned import VersionedTable, slot_name
+from tidemark.storage.versioned import VersionedTable
 
 POLICIES = ("AUTO", "INCREMENTAL", "INCREMENTAL STRICT", "FULL")
 # AUTO recomputes in full once this share of the source has changed.
@@ -72,7 +73,7 @@ def touched_slots(target: VersionedTable, rows: DataFrame) -> list[str]:
     if not target.partition_by:
         return target.slots()
     found = rows.select(*target.partition_by).distinct().collect()
-    return [slot_name(target.partition_by, r) for r in found]
+    return [target.slot(*r) for r in found]
 
 
 def refresh_dimension_change(
@@ -114,8 +115,8 @@ def refresh_groups(
     ``source`` already contains the delta. A group left without rows disappears.
     """
     touched = delta.select(*groups).distinct()
-    fresh = aggregate(source.join(touched, groups, "left_semi"))
-    kept = target.join(touched, groups, "left_anti")
+    fresh = aggregate(null_safe_join(source, touched, groups, "left_semi"))
+    kept = null_safe_join(target, touched, groups, "left_anti")
     return kept.unionByName(fresh.select(*kept.columns))
 
 

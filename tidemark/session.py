@@ -36,6 +36,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **RUNTIME,
         **conf,
     }

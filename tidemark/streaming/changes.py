@@ -22,9 +22,9 @@ from pyspark.sql import types as T
 
 from tidemark.operators import cdc
 from tidemark.operators.cdc import DEL, END, SEQ, START, ChangeSpec
-from tidemark.operators.joins import broadcast_if_small
+from tidemark.operators.joins import BROADCAST_ROWS, broadcast_if_small, null_safe_join
 from tidemark.session import stage
-from tidemark.storage.versioned import Files, VersionedTable, slot_name
+from tidemark.storage.versioned import Files, VersionedTable
 
 BUCKET, PERIOD = "__bucket", "__period"
 OPEN = "open"
@@ -34,15 +34,6 @@ def month_of(seq: Column) -> Column:
     return F.date_format(seq, "yyyy-MM")
 
 
-def _join(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
-    """Join on equal keys, where NULL is a key like any other."""
-    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
-    match = F.lit(True)
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
-    return left.join(renamed, match, how).drop(*[f"__r_{k}" for k in keys])
-
-
 def _sized(df: DataFrame) -> DataFrame:
     """A staged key table, broadcast if its row count allows it."""
     df = stage(df)
@@ -129,14 +120,14 @@ class ChangeTarget:
         touched = keys.groupBy(BUCKET).count().collect()
         if not touched:
             return
-        slots = [slot_name([BUCKET], [r[BUCKET]]) for r in touched]
+        slots = [self.state.slot(r[BUCKET]) for r in touched]
         old = self.state.read(slots).drop(BUCKET) if self.state.exists() else None
         untouched = None
-        if old is not None:
+        if old is not None and sum(r["count"] for r in touched) <= BROADCAST_ROWS:
             # Rows of other keys are copied as they are; only touched ones are shuffled.
-            keys = broadcast_if_small(keys.drop(BUCKET), sum(r["count"] for r in touched))
-            untouched = _join(old, keys, self.spec.keys, "left_anti")
-            old = _join(old, keys, self.spec.keys, "left_semi")
+            keys = F.broadcast(keys.drop(BUCKET))
+            untouched = null_safe_join(old, keys, self.spec.keys, "left_anti")
+            old = null_safe_join(old, keys, self.spec.keys, "left_semi")
         merged = cdc.scd1_state(events, self.spec, old, keep_origin=True)
         if untouched is not None:
             merged = merged.unionByName(untouched.withColumn("__kept", F.lit(True)))
@@ -177,8 +168,8 @@ class ChangeTarget:
         if self.events.exists():
             # A stored event wins against a new one of the same sequence.
             stored = self.events.read(self._slots_of(fresh)).select(*keys, SEQ)
-            stored = _join(stored, _sized(fresh.select(*keys).distinct()), keys, "left_semi")
-            fresh = stage(_join(fresh, stored, [*keys, SEQ], "left_anti"))
+            stored = null_safe_join(stored, _sized(fresh.select(*keys).distinct()), keys, "left_semi")
+            fresh = stage(null_safe_join(fresh, stored, [*keys, SEQ], "left_anti"))
         floors = self._floors(fresh, SEQ)
         if not floors:
             return
@@ -205,7 +196,7 @@ class ChangeTarget:
 
     def _slots_of(self, rows: DataFrame) -> list[str]:
         pairs = rows.select(self._bucket(), self._period(rows, SEQ).alias("p")).distinct().collect()
-        return [slot_name([BUCKET, PERIOD], [r[BUCKET], r["p"]]) for r in pairs]
+        return [self.events.slot(r[BUCKET], r["p"]) for r in pairs]
 
     def _reopen(self, fresh, touched, floors):
         """The events to version anew and the versions that stay as they are.
@@ -224,18 +215,18 @@ class ChangeTarget:
             # Open slots sort after every date, so they are always included.
             versions = self.versions.read(self._slots_from(self.versions, floors))
             touched = _sized(touched)
-            holding = _join(versions.select(*keys, START, END), touched, keys, "inner").filter(
+            holding = null_safe_join(versions.select(*keys, START, END), touched, keys, "inner").filter(
                 (F.col(START) <= F.col("__since"))
                 & (F.col(END).isNull() | (F.col(END) > F.col("__since")))
             )
             since = F.coalesce(START, "__since").alias("__since")
-            touched = _join(touched, holding.select(*keys, START), keys, "left").select(*keys, since)
+            touched = null_safe_join(touched, holding.select(*keys, START), keys, "left").select(*keys, since)
             touched = _sized(touched)
             floors = self._floors(touched, "__since")
         events = fresh
         if self.events.exists():
             stored = self.events.read(self._slots_from(self.events, floors))
-            stored = _join(stored, touched, keys, "inner").filter(
+            stored = null_safe_join(stored, touched, keys, "inner").filter(
                 F.col("__since").isNull() | (F.col(SEQ) >= F.col("__since"))
             )
             events = fresh.unionByName(stored.select(*fresh.columns))
@@ -243,10 +234,10 @@ class ChangeTarget:
         stale = F.col("__touched").isNotNull() & (
             F.col("__since").isNull() | (F.col(START) >= F.col("__since"))
         )
-        rewritten = _join(versions, touched, keys, "left").filter(stale)
+        rewritten = null_safe_join(versions, touched, keys, "left").filter(stale)
         pairs = rewritten.select(BUCKET, PERIOD).distinct().collect()
-        replaced = [slot_name([BUCKET, PERIOD], [r[BUCKET], r[PERIOD]]) for r in pairs]
-        kept = _join(self.versions.read(replaced), touched, keys, "left").filter(~stale)
+        replaced = [self.versions.slot(r[BUCKET], r[PERIOD]) for r in pairs]
+        kept = null_safe_join(self.versions.read(replaced), touched, keys, "left").filter(~stale)
         return events, kept, replaced
 
     # ------------------------------------------------------------ upkeep

@@ -14,16 +14,13 @@ from tidemark.suite import query
 from tidemark.suite.inputs import (
     changes,
     day_sql,
-    number_k,
     plain,
     raw_customers,
     raw_orders,
-    raw_products,
     stamp_sql,
     table,
     with_views,
 )
-from tidemark.suite.tables import ORDER_COLUMNS_SQL
 
 FEED = {"keys": "customer_id", "sequence_by": "updated_at"}
 DELETES = {"apply_as_delete": "operation = 'DELETE'"}
@@ -478,6 +475,3 @@ def quarantine_split(spark, sf):
 )
 def expect_violation_rate(spark, sf):
     return quality.violation_rate(quality.rule_metrics(table(spark, sf, "events"), RULES))
-
-
-__all__ = ["number_k", "raw_products"]

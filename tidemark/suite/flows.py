@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import metric, with_audit
 from tidemark.operators import refresh
+from tidemark.operators.cdc import ChangeSpec
 from tidemark.plans import gold, monitor, silver
 from tidemark.plans.cascade import REVENUE, RetailCascade
 from tidemark.session import scratch_dir
@@ -17,13 +18,15 @@ from tidemark.sources import files as fs
 from tidemark.sources import ingest
 from tidemark.storage.versioned import VersionedTable
 from tidemark.streaming import windows
+from tidemark.streaming.changes import ChangeTarget
+from tidemark.streaming.enrich import enrich_stream
 from tidemark.suite import query
-from tidemark.suite.changes import latest_sql
+from tidemark.suite.changes import DELETES, FEED, KEPT, versions_sql
 from tidemark.suite.inputs import (
     avg_sql,
+    change_columns,
     changes,
     day_sql,
-    number_k,
     plain,
     raw_customers,
     raw_orders,
@@ -478,6 +481,41 @@ def view_to_purchase_join(spark, sf):
     return settled(spark, pairs)
 
 
+@query(
+    with_views(
+        "raw_customers",
+        then=f"""SELECT event_id, user_id AS customer_id, event_type, {stamp_sql('ts')} AS ts,
+          COALESCE(first_name || ' ' || last_name, 'Unknown') AS customer_name, customer_segment,
+          city AS customer_city, state AS customer_state
+          FROM events LEFT JOIN raw_customers c ON user_id = c.customer_id""",
+    )
+)
+def events_enriched_stream(spark, sf):
+    """A stream of facts joined with a static dimension; a second run adds nothing."""
+    customers = raw_customers(spark, sf)
+    target, bookmark = VersionedTable(spark, scratch_dir(spark, "facts")), scratch_dir(spark, "bookmark")
+    for _ in range(2):
+        facts = event_stream(spark, sf).select(
+            "event_id", F.col("user_id").alias("customer_id"), "event_type", "ts"
+        )
+        enrich_stream(facts, lambda rows: silver.add_customer(rows, customers), target, bookmark)
+    return plain(target.read())
+
+
+@query(versions_sql(["tier"]))
+def scd2_stream(spark, sf):
+    """A type 2 dimension fed by a triggered stream of the change feed."""
+    target = ChangeTarget(
+        spark,
+        scratch_dir(spark, "dimension"),
+        ChangeSpec.of(**FEED, **DELETES, **KEPT, scd_type=2, track_history=["tier"]),
+    )
+    schema = table(spark, sf, "events").schema
+    feed = spark.readStream.schema(schema).parquet(ingest.table_path(f"{sf}/events.parquet"))
+    target.stream(feed.select(*change_columns()), scratch_dir(spark, "bookmark")).awaitTermination()
+    return plain(target.read())
+
+
 # ---------------------------------------------------------------- monitoring
 
 
@@ -612,6 +650,3 @@ def audit_record(spark, sf):
         with_audit(counts, run_id="run-1", gold_status="succeeded", logged_at=F.current_timestamp())
     )
     return log.read().drop("logged_at")
-
-
-__all__ = ["latest_sql", "number_k"]

@@ -519,9 +519,6 @@ def customer_summary_since(spark, sf):
 
 # ---------------------------------------------------------------- windows
 
-RATED = "SELECT feedback_id, channel, rating FROM raw_feedback"
-
-
 @query(
     with_views(
         "raw_feedback",
@@ -603,3 +600,21 @@ def orders_by_tier(spark, sf):
         .groupBy(order_tier("o_totalprice").alias("order_tier"), "o_orderpriority")
         .agg(F.count(F.lit(1)).alias("orders"))
     )
+
+
+# ---------------------------------------------------------------- parameters
+
+
+@query(
+    """SELECT o_orderstatus, COUNT(*) AS orders FROM orders
+       WHERE o_orderdate >= TIMESTAMP '1999-01-01' AND o_totalprice > 100000 GROUP BY o_orderstatus"""
+)
+def parameterised_sql(spark, sf):
+    """Named parameters, and an identifier that is one of them."""
+    return spark.sql(
+        """SELECT IDENTIFIER(:dimension), COUNT(*) AS orders FROM {orders}
+           WHERE o_orderdate >= CAST(:since AS TIMESTAMP_NTZ) AND o_totalprice > :price
+           GROUP BY IDENTIFIER(:dimension)""",
+        args={"dimension": "o_orderstatus", "since": "1999-01-01", "price": 100_000},
+        orders=table(spark, sf, "orders"),
+    )
