@@ -40,12 +40,54 @@ def key_hash(keys: list[str]) -> Column:
     return F.xxhash64(*keys) if keys else F.lit(0).cast("long")
 
 
-def _literal(value, dtype: T.DataType) -> Column:
-    if value is None:
-        return F.lit(None).cast(dtype)
+def _text(value, separator: str = "\x01") -> str | None:
+    text = None if value is None else str(value)
+    return None if text is None or separator in text else text
+
+
+def _flat(value, dtype: T.DataType) -> list:
+    """The leaves of a possibly nested value, as text."""
+    if isinstance(dtype, T.StructType):
+        return [x for f in dtype for x in _flat(value and value[f.name], f.dataType)]
+    return [_text(value)]
+
+
+def _leaf_types(dtype: T.DataType) -> list[T.DataType]:
     if isinstance(dtype, T.StructType):
-        return F.struct(*[_literal(value[f.name], f.dataType).alias(f.name) for f in dtype])
-    return F.lit(str(value)).cast(dtype)
+        return [x for f in dtype for x in _leaf_types(f.dataType)]
+    return [dtype]
+
+
+def _leaf_columns(value: Column, dtype: T.DataType) -> list[Column]:
+    if isinstance(dtype, T.StructType):
+        return [x for f in dtype for x in _leaf_columns(value[f.name], f.dataType)]
+    return [value]
+
+
+class Cuts:
+    """Sorted points as constants of an expression.
+
+    Each leaf is one text constant, split and cast to an array. That is a handful of
+    nodes for any number of points, which Catalyst folds into literals.
+    """
+
+    def __init__(self, points: list, dtype: T.StructType):
+        flat = [x for x in (_flat(p, dtype) for p in points) if None not in x]
+        self.count = len(flat)
+        self.dtype = dtype
+        self.arrays = [
+            F.split(F.lit("\x01".join(column)), "\x01").cast(T.ArrayType(leaf))
+            for column, leaf in zip(zip(*flat, strict=True), _leaf_types(dtype), strict=False)
+        ]
+
+    def at_or_below(self, index: Column, point: Column) -> Column:
+        """Whether a cut is not above a point, comparing leaf by leaf."""
+        out = None
+        leaves = zip(self.arrays, _leaf_columns(point, self.dtype), strict=True)
+        for array, leaf in reversed(list(leaves)):
+            cut = F.get(array, index)
+            out = cut <= leaf if out is None else (cut < leaf) | ((cut == leaf) & out)
+        return out
 
 
 @dataclass
@@ -56,7 +98,7 @@ class Layout:
     order: list[str]
     hot: list[int] = field(default_factory=list)
     bounds: list = field(default_factory=list)
-    order_type: T.StructType | None = None
+    point_type: T.StructType | None = None
 
     @property
     def skewed(self) -> bool:
@@ -72,22 +114,22 @@ class Layout:
         if not self.bounds:
             return df.withColumn(CHUNK, F.when(self.is_hot(), 1).otherwise(0))
         point = F.struct(key_hash(self.keys).alias("h"), F.struct(*self.order).alias("o"))
-        cuts = F.array(
-            *[
-                F.struct(F.lit(h).cast("long").alias("h"), _literal(o, self.order_type).alias("o"))
-                for h, o in self.bounds
-            ]
-        )
-        n = len(self.bounds)
-        steps = F.array(*[F.lit(1 << i) for i in range(n.bit_length() - 1, -1, -1)])
-        # Binary search for the number of cuts at or below the row's point.
-        position = F.aggregate(
-            steps,
-            F.lit(0),
-            lambda at, step: F.when(
-                (at + step <= n) & (F.get(cuts, at + step - 1) <= point), at + step
-            ).otherwise(at),
-        )
+        cuts = Cuts(self.bounds, self.point_type)
+        n = cuts.count
+        steps = F.array(*[F.lit(1 << power) for power in range(n.bit_length() - 1, -1, -1)])
+
+        def search(p: Column) -> Column:
+            """Binary search for the number of cuts at or below ``p``."""
+            return F.aggregate(
+                steps,
+                F.lit(0),
+                lambda at, step: F.when(
+                    (at + step <= n) & cuts.at_or_below(at + step - 1, p), at + step
+                ).otherwise(at),
+            )
+
+        # transform() binds the point, so that it is evaluated once per row.
+        position = F.transform(F.array(point), search)[0]
         return df.withColumn(CHUNK, F.when(self.is_hot(), position + 1).otherwise(0))
 
     def partition_columns(self) -> list[str]:
@@ -104,7 +146,7 @@ class Layout:
         the summary columns. The joined side has one row per chunk.
         """
         per_chunk = (
-            df.filter(F.col(CHUNK) > 0)
+            df.filter(self.is_hot())
             .groupBy(*self.partition_columns())
             .agg(*[c.alias(n) for n, c in summary.items()])
         )
@@ -159,15 +201,15 @@ def plan_layout(
         .filter(F.pmod(F.xxhash64("h", "o"), F.lit(every)) == 0)
         .distinct()
     )
-    layout.order_type = points.schema["o"].dataType
+    layout.point_type = points.schema
     nth = F.row_number().over(Window.partitionBy("h").orderBy("o"))
-    layout.bounds = [
-        (r["h"], r["o"])
-        for r in points.withColumn("nth", nth)
+    layout.bounds = (
+        points.withColumn("nth", nth)
         .filter(F.col("nth") % POINTS_PER_CHUNK == 0)
+        .drop("nth")
         .orderBy("h", "o")
         .collect()
-    ]
+    )
     return layout
 
 
