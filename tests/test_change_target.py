@@ -211,3 +211,52 @@ def test_version_intervals_are_sound(spark, seed):
             assert end == following or (key, end) in gone
     current = versions.filter("__END_AT IS NULL").select("id", "a", "b", "at")
     assert contents(current) == contents(apply_changes(f, **BASE).select("id", "a", "b", "at"))
+
+
+STORY = "id long, city string, tier string, at date, op string"
+
+
+def story(spark, key, *events):
+    return spark.createDataFrame(
+        [(key, city, tier, d(day), op) for day, city, tier, op in events], STORY
+    )
+
+
+def test_customer_with_a_second_batch(spark, new_path):
+    first = story(
+        spark, 2665,
+        (1, "Denver", "bronze", "I"), (2, "Denver", "silver", "U"),
+        (3, "Denver", "gold", "U"), (4, "Denver", "platinum", "U"),
+    )
+    second = story(
+        spark, 2665,
+        (11, "Denver", "gold", "U"), (12, "Atlanta", "gold", "U"), (13, "Atlanta", "platinum", "U"),
+    )
+    current = ChangeTarget(spark, new_path(), ChangeSpec.of(**BASE), 2)
+    history = ChangeTarget(spark, new_path(), ChangeSpec.of(**BASE, scd_type=2), 2)
+    expected = [(("Denver", "platinum"), 4), (("Atlanta", "platinum"), 7)]
+    for batch, (row, versions) in zip((first, second), expected):
+        current.apply(batch)
+        history.apply(batch)
+        assert [(r["city"], r["tier"]) for r in current.read().collect()] == [row]
+        assert history.read().count() == versions
+        assert history.read().filter("__END_AT IS NULL").count() == 1
+
+
+def test_customer_deleted_in_a_second_batch(spark, new_path):
+    first = story(
+        spark, 2591,
+        (1, "San Francisco", "bronze", "I"), (2, "Houston", "bronze", "U"),
+        (3, "Houston", "silver", "U"), (4, "Dallas", "silver", "U"),
+    )
+    current = ChangeTarget(spark, new_path(), ChangeSpec.of(**BASE), 2)
+    history = ChangeTarget(spark, new_path(), ChangeSpec.of(**BASE, scd_type=2), 2)
+    for batch, rows, still_open in (
+        (first, 1, 1),
+        (story(spark, 2591, (9, "Dallas", "silver", "D")), 0, 0),
+    ):
+        current.apply(batch)
+        history.apply(batch)
+        assert current.read().count() == rows
+        assert history.read().count() == 4
+        assert history.read().filter("__END_AT IS NULL").count() == still_open

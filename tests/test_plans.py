@@ -111,6 +111,23 @@ def test_hot_customer_join_is_split(spark, low_join_limits):
     assert "skew=true" in text
 
 
+def test_small_partitions_are_hashed_instead_of_sorted(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = silver.add_product(inputs.raw_orders(spark, SF), inputs.raw_products(spark, SF))
+        text = final_plan(rows.select("order_id", "product_category"))
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    final = text.split("== Initial Plan ==")[0]
+    assert "ShuffledHashJoin" in final and "SortMergeJoin" not in final
+
+
 def test_hot_key_timeline_runs_per_chunk(spark):
     events = cdc.as_events(feed(spark), cdc.ChangeSpec.of(**OPTIONS))
     layout = timeline.plan_layout(events, ["customer_id"], [cdc.SEQ], chunk_rows=20)

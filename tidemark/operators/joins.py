@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import stage
+
 
 def enrich(fact: DataFrame, dimension: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
     """Adds the columns of a dimension that has one row per key."""
@@ -35,6 +37,12 @@ def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) ->
     return F.broadcast(df) if rows <= limit else df
 
 
+def staged_keys(df: DataFrame) -> DataFrame:
+    """A key table that is used more than once: staged, counted, broadcast if small."""
+    df = stage(df)
+    return broadcast_if_small(df, df.count())
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
     """Join on equal keys, where NULL is a key like any other; left keys are kept."""
     renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})

@@ -17,8 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import null_safe_join
-from tidemark.session import stage
+from tidemark.operators.joins import null_safe_join, staged_keys
 from tidemark.storage.versioned import VersionedTable
 
 POLICIES = ("AUTO", "INCREMENTAL", "INCREMENTAL STRICT", "FULL")
@@ -88,7 +87,7 @@ def refresh_dimension_change(
     Only the slots that hold such rows are rewritten; ``enrich`` takes rows of the
     target and returns them with fresh dimension columns.
     """
-    changed = stage(changed_keys.select(*keys).distinct())
+    changed = staged_keys(changed_keys.select(*keys).distinct())
     slots = touched_slots(target, target.read().join(changed, keys, "left_semi"))
     if not slots:
         if txn:

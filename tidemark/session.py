@@ -10,11 +10,13 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 # Runtime settings the library relies on: AQE, with its skew-join split also where an
-# operator after the join would otherwise reuse the join's partitioning.
+# operator after the join would otherwise reuse the join's partitioning, and with hash
+# joins in place of sorts once all partitions of a side turn out small.
 RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64mb",
     # Streaming state outside the heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

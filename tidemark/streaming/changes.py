@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import cdc
 from tidemark.operators.cdc import DEL, END, SEQ, START, ChangeSpec
-from tidemark.operators.joins import BROADCAST_ROWS, broadcast_if_small, null_safe_join
+from tidemark.operators.joins import BROADCAST_ROWS, null_safe_join, staged_keys
 from tidemark.session import stage
 from tidemark.storage.versioned import Files, VersionedTable
 
@@ -34,12 +34,6 @@ def month_of(seq: Column) -> Column:
     return F.date_format(seq, "yyyy-MM")
 
 
-def _sized(df: DataFrame) -> DataFrame:
-    """A staged key table, broadcast if its row count allows it."""
-    df = stage(df)
-    return broadcast_if_small(df, df.count())
-
-
 def default_period(dtype: T.DataType) -> Callable[[Column], Column] | None:
     dated = isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType))
     return month_of if dated else None
@@ -168,7 +162,7 @@ class ChangeTarget:
         if self.events.exists():
             # A stored event wins against a new one of the same sequence.
             stored = self.events.read(self._slots_of(fresh)).select(*keys, SEQ)
-            stored = null_safe_join(stored, _sized(fresh.select(*keys).distinct()), keys, "left_semi")
+            stored = null_safe_join(stored, staged_keys(fresh.select(*keys).distinct()), keys, "left_semi")
             fresh = stage(null_safe_join(fresh, stored, [*keys, SEQ], "left_anti"))
         floors = self._floors(fresh, SEQ)
         if not floors:
@@ -208,20 +202,20 @@ class ChangeTarget:
         if self.spec.ignore_null_updates:
             # Values may be filled from any earlier event: start from the first.
             first = F.lit(None).cast(fresh.schema[SEQ].dataType)
-            touched = _sized(touched.withColumn("__since", first))
+            touched = staged_keys(touched.withColumn("__since", first))
             floors = dict.fromkeys(floors, "")
             versions = self.versions.read(self._slots_from(self.versions, floors))
         else:
             # Open slots sort after every date, so they are always included.
             versions = self.versions.read(self._slots_from(self.versions, floors))
-            touched = _sized(touched)
+            touched = staged_keys(touched)
             holding = null_safe_join(versions.select(*keys, START, END), touched, keys, "inner").filter(
                 (F.col(START) <= F.col("__since"))
                 & (F.col(END).isNull() | (F.col(END) > F.col("__since")))
             )
             since = F.coalesce(START, "__since").alias("__since")
             touched = null_safe_join(touched, holding.select(*keys, START), keys, "left").select(*keys, since)
-            touched = _sized(touched)
+            touched = staged_keys(touched)
             floors = self._floors(touched, "__since")
         events = fresh
         if self.events.exists():
