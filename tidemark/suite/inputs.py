@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Source codes and what they mean here.
 STATUS = {"F": "completed", "P": "cancelled", "O": "pending"}
@@ -16,8 +17,15 @@ TIERS = [(100, "bronze"), (200, "silver"), (300, "gold")]
 TOP_TIER = "platinum"
 
 
+# Schemas by path, read from the footers once, as a catalog would keep them.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _bands(c: Column, scale: int = 1) -> Column:
