@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, rules, shards
+from tidemark.llm import mixing, rules, shards, winnowing
 from tidemark.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,35 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+CAPITALS_SQL = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_ITEM_WORDS = (
+    f"regexp_extract_all(translate(COALESCE(text, ''), {CAPITALS_SQL}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+WINNOWING_SQL = f"""
+WITH d AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark),
+wanted AS (
+    SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS run
+    FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i
+          FROM (SELECT *, least(len(w), {winnowing.WINDOW}) AS k FROM b WHERE len(w) > 0))),
+found AS (
+    SELECT doc_id, i, k, item_id
+    FROM (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS run
+          FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i
+                FROM d, (SELECT DISTINCT k FROM wanted) WHERE len(w) >= k)) JOIN wanted USING (k, run)),
+hit AS (SELECT doc_id, count(DISTINCT i + j) AS n
+        FROM (SELECT doc_id, i, unnest(range(0, k)) AS j FROM found) GROUP BY doc_id),
+item AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+         FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(hit.n, 0) AS BIGINT) AS n_hit,
+       CAST(COALESCE(item.n, 0) AS BIGINT) AS n_items, sha256(COALESCE(ids, '')) AS items_sha256,
+       COALESCE(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN item ON d.doc_id = item.doc_id"""
+
+
+@query(WINNOWING_SQL)
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("items", "spans")
