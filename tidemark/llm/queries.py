@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, rules, shards, winnowing
+from tidemark.llm import mixing, rules, shards, warc, winnowing
 from tidemark.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,20 @@ FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN item ON d.doc_id = item.
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("items", "spans")
+
+
+WARC_SQL = f"""
+WITH p AS (SELECT page_id, CAST(strlen(COALESCE(html, '')) AS BIGINT) AS payload_bytes,
+                  sha256(COALESCE(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, CASE WHEN payload_bytes >= {warc.REVISIT_BYTES}
+                     THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f"""
+
+
+@query(WARC_SQL)
+def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.histories(table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
