@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, rules, shards, warc, winnowing
+from tidemark.llm import mixing, ngram_join, rules, shards, warc, winnowing
 from tidemark.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,26 @@ FROM f"""
 def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.histories(table(spark, sf_dir, "pages"))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+NGRAM_SQL = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), {CAPITALS_SQL}), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+      FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+      FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * c >= 85 * (x.n + y.n - c)),
+r(doc_id, seen) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.seen = l.a)
+SELECT d.doc_id, CAST(COALESCE(n.n, 0) AS BIGINT) AS n_shingles, m.component_id
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id
+JOIN (SELECT doc_id, min(seen) AS component_id FROM r GROUP BY doc_id) m ON d.doc_id = m.doc_id"""
+
+
+@query(NGRAM_SQL)
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
