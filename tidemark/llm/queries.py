@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, ngram_join, rules, shards, warc, winnowing
+from tidemark.llm import mixing, ngram_join, rules, shards, substrings, warc, winnowing
 from tidemark.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,24 @@ JOIN (SELECT doc_id, min(seen) AS component_id FROM r GROUP BY doc_id) m ON d.do
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+SUBSTRING_SQL = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + {substrings.WINDOW - 1}], ' ') AS run
+      FROM (SELECT *, unnest(range(1, len(w) - {substrings.WINDOW - 2})) AS i FROM d)),
+f AS (SELECT run, min(doc_id) AS first FROM g GROUP BY run),
+gone AS (SELECT DISTINCT doc_id, i + j AS at
+         FROM (SELECT doc_id, i, unnest(range(0, {substrings.WINDOW})) AS j
+               FROM g JOIN f USING (run) WHERE doc_id > first)),
+kept AS (SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.at) AS t, count(*) AS n
+         FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS at FROM d) p
+         ANTI JOIN gone ON p.doc_id = gone.doc_id AND p.at = gone.at GROUP BY p.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - COALESCE(n, 0) AS BIGINT) AS n_removed,
+       sha256(COALESCE(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id"""
+
+
+@query(SUBSTRING_SQL)
+def op3_suffix_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_substrings(table(spark, sf_dir, "documents"))
