@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, ngram_join, rules, shards, substrings, warc, winnowing
+from tidemark.llm import mixing, ngram_join, privacy, rules, shards, substrings, warc, winnowing
 from tidemark.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +174,8 @@ FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id"""
 @query(SUBSTRING_SQL)
 def op3_suffix_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.sanitise(table(spark, sf_dir, "documents"))
