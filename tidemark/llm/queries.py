@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, ngram_join, privacy, rules, shards, substrings, warc, winnowing
+from tidemark.llm import chat, mixing, ngram_join, privacy, rules, shards, substrings, warc, weak_labels, winnowing
 from tidemark.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,3 +179,13 @@ def op3_suffix_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.sanitise(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair_roles(table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op7_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_labels.classify(table(spark, sf_dir, "documents"))
