@@ -1,14 +1,16 @@
 """WARC archives of captures, and one ordered index merged from all of them.
 
 Writing is a Spark text write: a record is a row, and the two line breaks that end
-every WARC record are the writer's line separator. Rows within a file are sorted, so
-each archive is a run of captures in index order. Reading parses whole archives by
-their Content-Length headers. The index is dealt by ranges of (URL key, timestamp)
+every WARC record are the writer's line separator; gzip packs each archive as a whole.
+Rows within a file are sorted, so each archive is a run of captures in index order.
+Reading parses whole archives by their Content-Length headers; offsets count unpacked
+bytes. The index is dealt by ranges of (URL key, timestamp)
 and each range merges its part of every run with a loser tree.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -23,6 +25,9 @@ from tidemark.session import scratch_dir
 REVISIT_BYTES = 100
 # Bytes of payload per archive; a single larger payload gets an archive to itself or more.
 ARCHIVE_BYTES = 16 << 20
+# Payloads with the most copies are looked up by broadcast, so that their copies need not
+# meet; further ones are joined.
+HOT_PAYLOADS = 1 << 16
 # Index rows that one merging task holds.
 MERGE_ROWS = 250_000
 # Pages have no capture time: it is this moment plus page_id seconds.
@@ -57,23 +62,35 @@ def plan_records(pages: DataFrame) -> DataFrame:
         F.octet_length(payload).cast("long").alias("payload_bytes"),
         F.sha2(payload, 256).alias("payload_digest"),
     )
-    # Only payloads that occur twice are joined, which is far less than all of them.
-    first = (
+    # Only payloads that occur twice matter, which is far less than all of them.
+    first = staged(
         facts.filter(F.col("payload_bytes") >= REVISIT_BYTES)
         .groupBy(F.col("payload_digest").alias("digest"))
         .agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-        .filter("n > 1")
-        .drop("n")
+        .filter("n > 1"),
+        "warc-copies",
     )
-    is_revisit = F.col("digest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
+    hot = first.orderBy(F.desc("n"), "digest").limit(HOT_PAYLOADS)
+    decided = _with_first(facts, F.broadcast(hot), "hot")
+    if first.count() > HOT_PAYLOADS:
+        known, first_of_all = F.col("hot_digest").isNotNull(), first.join(hot, "digest", "left_anti")
+        decided = decided.filter(known).unionByName(
+            _with_first(decided.filter(~known).drop("hot", "hot_digest"), first_of_all, "hot")
+        )
+    is_revisit = F.col("hot_digest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("hot"))
     return (
-        facts.join(first, F.col("payload_digest") == F.col("digest"), "left")
-        .withColumn("refers_to", F.when(is_revisit, F.col("first")))
+        decided.withColumn("refers_to", F.when(is_revisit, F.col("hot")))
         .withColumn("record_type", F.when(is_revisit, F.lit("revisit")).otherwise(F.lit("response")))
-        .drop("digest", "first")
+        .withColumn("html", F.when(~is_revisit, F.col("html")).otherwise(F.lit("")))
+        .drop("hot", "hot_digest")
     )
 
 
+def _with_first(facts: DataFrame, first: DataFrame, name: str) -> DataFrame:
+    first = first.select(F.col("digest").alias(f"{name}_digest"), F.col("first").alias(name))
+    return facts.join(first, F.col("payload_digest") == F.col(f"{name}_digest"), "left")
+
+
 def _record(captured: Column) -> Column:
     def name(c):
         return F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
@@ -89,7 +106,7 @@ def _record(captured: Column) -> Column:
         F.lit(""),
         F.lit(""),
     )
-    block = F.concat(http, F.when(is_revisit, F.lit("")).otherwise(F.col("html")))
+    block = F.concat(http, "html")
     head = F.concat_ws(
         BREAK,
         F.lit("WARC/1.1"),
@@ -119,7 +136,7 @@ def write_archives(pages: DataFrame, path: str) -> None:
         .repartition(max(1, -(-total // ARCHIVE_BYTES)), F.xxhash64("page_id", "url", "payload_digest"))
         .sortWithinPartitions("__key", "__captured", "page_id")
         .select(_record(F.col("__captured")).alias("value"))
-        .write.option("lineSep", BREAK * 2)
+        .write.options(lineSep=BREAK * 2, compression="gzip")
         .text(path)
     )
 
@@ -152,7 +169,7 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for archive, content in zip(batch.column("path"), batch.column("content"), strict=True):
             rows = []
-            for headers, offset, length, block in parse(content.as_py()):
+            for headers, offset, length, block in parse(gzip.decompress(content.as_py())):
                 kind = headers["WARC-Type"]
                 digest = headers["WARC-Payload-Digest"].removeprefix("sha256:")
                 size = int(headers["WARC-Payload-Length"])
