@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.cdc import ChangeSpec, apply_changes
+from tidemark.operators.cdc import DEL, ChangeSpec, apply_changes
 from tidemark.streaming.changes import ChangeTarget
 
 SCHEMA = "id long, a int, b int, at date, op string"
@@ -153,6 +153,43 @@ def test_metrics_and_erasure(spark, new_path):
     assert [r["id"] for r in target.state.read().collect()] == [3]
 
 
+@pytest.mark.parametrize("scd_type", [1, 2])
+def test_erased_keys_are_gone_from_the_files(spark, new_path, scd_type):
+    path = new_path()
+    target = ChangeTarget(spark, path, ChangeSpec.of(**BASE, scd_type=scd_type), 2)
+    target.apply(one(spark, (1, 1, 1, d(1), "U"), (2, 1, 1, d(1), "U"), (None, 1, 1, d(1), "U")))
+    target.apply(one(spark, (1, 2, 2, d(2), "U"), (2, 3, 3, d(3), "D")))
+    target.erase(spark.createDataFrame([(1,), (None,)], "id long"))
+    everything = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    ids = {r["id"] for r in everything.parquet(path).select("id").collect()}
+    assert ids == {2}
+
+
+@pytest.mark.parametrize("scd_type", [1, 2])
+def test_many_batches_leave_few_files(spark, new_path, scd_type):
+    path = new_path()
+    spec = ChangeSpec.of(**BASE, scd_type=scd_type)
+    target = ChangeTarget(spark, path, spec, 1, grace_seconds=0)
+    counts = []
+    for n in range(25):
+        target.apply(one(spark, (n % 3, n, n, d(1 + n), "U")))
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        counts.append(files.filter("path LIKE '%.parquet'").count())
+    assert max(counts[16:]) <= max(counts[:16]) + 2
+    assert target.read().count() == (3 if scd_type == 1 else 25)
+
+
+def test_type2_deletes_expire_by_slot(spark, new_path):
+    target = ChangeTarget(spark, new_path(), ChangeSpec.of(**BASE, scd_type=2), 2)
+    target.apply(one(spark, (1, 1, 1, d(1), "U"), (2, 1, 1, d(1), "U")))
+    target.apply(one(spark, (1, 1, 1, d(9), "D")))
+    before = sorted(map(tuple, target.read().collect()))
+    target.gc_tombstones(F.current_timestamp())
+    assert target.events.read().filter(DEL).count() == 0
+    assert target.events.read().count() == 2
+    assert sorted(map(tuple, target.read().collect())) == before
+
+
 def test_crash_between_the_two_commits_is_repaired(spark, new_path, monkeypatch):
     spec = ChangeSpec.of(**BASE, scd_type=2, track_history=["a"])
     data = random_feed(11, n=60)

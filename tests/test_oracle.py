@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from check import compare, connect
+from tidemark import suite
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,14 +15,18 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.oracle_sql()) == set(entry_points.queries())
+    entry_points.queries()
+    assert set(suite.ORACLE) == set(suite.QUERIES)
 
 
 def test_entry(spark):
     assert entry_points.entry(spark).columns[0] == "product_category"
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+suite.load()
+
+
+@pytest.mark.parametrize("name", sorted(suite.QUERIES))
 def test_query(spark, con, name):
     status, note, _ = compare(spark, con, name, SF)
     assert status == "ok", note

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import timeline
+from tidemark.operators.joins import null_safe_join
 
 START, END = "__START_AT", "__END_AT"
 SEQ, DEL = "__seq", "__deleted"
@@ -193,8 +194,14 @@ def gc_tombstones(
     state: DataFrame, as_of: Column, ttl_seconds: int = TOMBSTONE_TTL_SECONDS
 ) -> DataFrame:
     """Forgets deletes applied longer ago than the retention."""
+    return state.filter(~expired_delete(as_of, ttl_seconds))
+
+
+def expired_delete(
+    as_of: Column, ttl_seconds: int = TOMBSTONE_TTL_SECONDS, at: str = "__deleted_at"
+) -> Column:
     deadline = as_of - F.make_interval(secs=F.lit(ttl_seconds))
-    return state.filter(~F.coalesce(F.col(DEL) & (F.col("__deleted_at") < deadline), F.lit(False)))
+    return F.coalesce(F.col(DEL) & (F.col(at) < deadline), F.lit(False))
 
 
 # ---------------------------------------------------------------- type 2
@@ -378,8 +385,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataF
 
 
 def erase_keys(rows: DataFrame, keys: list[str], erased: DataFrame) -> DataFrame:
-    """Removes all traces of some keys from a state, history or tombstone frame."""
-    return rows.join(erased.select(*keys).distinct(), keys, "left_anti")
+    """Removes all traces of some keys, NULL ones too, from a state, history or tombstone frame."""
+    return null_safe_join(rows, erased.select(*keys).distinct(), keys, "left_anti")
 
 
 def current_versions(versions: DataFrame) -> DataFrame:

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -47,14 +51,26 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@cache
+def _own_dir() -> str:
+    """A folder of this process, gone with it."""
+    path = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that every executor can reach, as the session names it."""
+    """The folder that every executor can reach, as the session names it.
+
+    That is the checkpoint folder or else the warehouse. Only where executors are
+    threads of this process may it be a folder of the process's own.
+    """
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return "/tmp/tidemark"
-    raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+    if spark.sparkContext.master.split("[")[0] == "local":
+        return _own_dir()
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 
@@ -13,6 +14,8 @@ from pyspark.sql import types as T
 from tidemark.storage.versioned import Files
 
 RESCUED = "_rescued_data"
+# Where a record with too many fields is kept, inside the rescued data.
+SURPLUS = "_corrupt_record"
 HEADER_READERS = 16
 FORMATS = ("csv", "json", "parquet", "avro")
 
@@ -55,18 +58,49 @@ def pin_schema(spark: SparkSession, schema: T.StructType, schema_file: str) -> N
     Files(spark).overwrite_text(schema_file, schema.json())
 
 
+def _widened(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that takes both; text, if nothing else does."""
+    if a == b:
+        return a
+    whole = {T.IntegerType(): 0, T.LongType(): 1, T.DoubleType(): 2}
+    if a in whole and b in whole:
+        return max(a, b, key=whole.get)
+    dated = [T.DateType(), T.TimestampNTZType(), T.TimestampType()]
+    if a in dated and b in dated:
+        return max(a, b, key=dated.index)
+    return T.StringType()
+
+
+def _merged(schemas: list[T.StructType]) -> T.StructType:
+    """Columns by name, in the order in which they first come."""
+    types: dict[str, T.DataType] = {}
+    for schema in schemas:
+        for f in schema:
+            types[f.name] = _widened(types.get(f.name, f.dataType), f.dataType)
+    return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
+
+
 def infer_schema(
     spark: SparkSession,
     paths: str | list[str],
     format: str = "csv",
     hints: dict[str, str] | None = None,
     sampling_ratio: float = 1.0,
+    options: dict | None = None,
 ) -> T.StructType:
-    """Column types from the data; ``hints`` fix columns that only look like numbers."""
-    options = {"inferSchema": True} if format == "csv" else {}
+    """Column types from the data; ``hints`` fix columns that only look like numbers.
+
+    A list of CSV files is taken apart by header and put together by column name.
+    """
+    given = dict(options or {})
+    if format == "csv":
+        given["inferSchema"] = True
     if format != "parquet":
-        options["samplingRatio"] = sampling_ratio
-    inferred = read_files(spark, paths, format, **options).schema
+        given["samplingRatio"] = sampling_ratio
+    groups = [paths]
+    if format == "csv" and isinstance(paths, list) and has_header(options):
+        groups = by_header(spark, paths, options)
+    inferred = _merged([read_files(spark, g, format, **given).schema for g in groups])
     hints = hints or {}
     return T.StructType(
         [
@@ -112,7 +146,18 @@ def _as_text(field: T.StructField) -> Column:
     return F.to_json(c) if nested else c.cast("string")
 
 
-def rescue_cast(df: DataFrame, schema: T.StructType, col: str = RESCUED) -> DataFrame:
+def _cast(source: Column, kind: T.DataType, options: dict) -> Column:
+    """As a file reader would, with its formats of dates and times."""
+    timed = isinstance(kind, (T.TimestampType, T.TimestampNTZType))
+    pattern = options.get("timestampFormat" if timed else "dateFormat")
+    if pattern and (timed or isinstance(kind, T.DateType)):
+        return F.try_to_timestamp(source, F.lit(pattern)).cast(kind)
+    return source.try_cast(kind)
+
+
+def rescue_cast(
+    df: DataFrame, schema: T.StructType, col: str = RESCUED, options: dict | None = None
+) -> DataFrame:
     """Casts to the pinned schema and keeps what does not fit.
 
     A field whose text does not cast, and every column the schema does not know,
@@ -130,7 +175,7 @@ def rescue_cast(df: DataFrame, schema: T.StructType, col: str = RESCUED) -> Data
         if present[field.name].dataType == field.dataType:
             columns.append(source)
             continue
-        cast = source.try_cast(field.dataType)
+        cast = _cast(source, field.dataType, options or {})
         columns.append(cast.alias(field.name))
         lost = source.isNotNull() & cast.isNull()
         entries += [F.lit(field.name), F.when(lost, _as_text(present[field.name]))]
@@ -146,40 +191,70 @@ def rescue_cast(df: DataFrame, schema: T.StructType, col: str = RESCUED) -> Data
 # ---------------------------------------------------------------- text by name
 
 
-def _first_line(files: Files, path: str) -> str:
+def has_header(options: dict | None) -> bool:
+    return str((options or {}).get("header", True)).lower() == "true"
+
+
+def _first_line(files: Files, path: str, encoding: str) -> str:
     fs, p = files._at(path)
     stream = fs.open(p)
     try:
         reader = files.jvm.java.io.BufferedReader(
-            files.jvm.java.io.InputStreamReader(stream, "UTF-8")
+            files.jvm.java.io.InputStreamReader(stream, encoding)
         )
         return reader.readLine() or ""
     finally:
         stream.close()
 
 
-def read_as_text(spark: SparkSession, paths: list[str], format: str) -> DataFrame:
-    """All fields as strings, matched by name; one scan per distinct CSV header.
+def by_header(spark: SparkSession, paths: list[str], options: dict | None = None) -> list[list[str]]:
+    """CSV files with equal first lines, together.
 
     Only first lines are read on the driver, for a list of files that the caller
     bounds (``max_files`` of the ingestion).
     """
-    if format == "parquet":
-        return read_files(spark, paths, format, mergeSchema=True)
-    if format == "json":
-        # primitivesAsString keeps the text; unknown fields are found per batch.
-        return read_files(spark, paths, format, primitivesAsString=True)
-    files = Files(spark)
+    files, encoding = Files(spark), (options or {}).get("encoding", "UTF-8")
     groups: dict[str, list[str]] = defaultdict(list)
     with ThreadPoolExecutor(HEADER_READERS) as pool:
-        lines = list(pool.map(lambda path: _first_line(files, path), paths))
+        lines = list(pool.map(lambda path: _first_line(files, path, encoding), paths))
     for path, line in zip(paths, lines, strict=True):
         groups[line.rstrip("\r")].append(path)
+    return list(groups.values())
+
+
+def _field_count(record: Column, options: dict) -> Column:
+    """Fields of a CSV record; separators within quotes do not count."""
+    quote = re.escape(options.get("quote", '"'))
+    separator = options.get("sep", options.get("delimiter", ","))
+    inside = rf"{quote}(?:[^{quote}\\]|\\.|{quote}{quote})*{quote}"
+    bare = F.regexp_replace(record, inside, "")
+    without = F.replace(bare, F.lit(separator), F.lit(""))
+    return (F.length(bare) - F.length(without)) / len(separator) + 1
+
+
+def read_as_text(
+    spark: SparkSession, paths: list[str], format: str, options: dict | None = None
+) -> DataFrame:
+    """All fields as strings, matched by name; one scan per distinct CSV header.
+
+    A CSV record with more fields than its header is kept whole under ``SURPLUS``.
+    """
+    options = dict(options or {})
+    if format == "parquet":
+        return read_files(spark, paths, format, mergeSchema=True, **options)
+    if format == "json":
+        # primitivesAsString keeps the text; unknown fields are found per batch.
+        return read_files(spark, paths, format, primitivesAsString=True, **options)
+    groups = by_header(spark, paths, options) if has_header(options) else [paths]
     frames = []
-    for members in groups.values():
-        names = read_files(spark, members[:1], "csv").columns
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        frames.append(read_files(spark, members, "csv", schema=schema))
+    for members in groups:
+        names = read_files(spark, members[:1], "csv", **options).columns
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, SURPLUS]])
+        # Unread columns must not hide that a record is too long.
+        kept = {"columnNameOfCorruptRecord": SURPLUS, "columnPruning": False, "mode": "PERMISSIVE"}
+        frame = read_files(spark, members, "csv", schema=schema, **{**options, **kept})
+        surplus = F.when(_field_count(F.col(SURPLUS), options) > len(names), F.col(SURPLUS))
+        frames.append(frame.withColumn(SURPLUS, surplus))
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame, allowMissingColumns=True)

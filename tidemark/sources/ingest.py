@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from itertools import islice
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.sources import files as fs
-from tidemark.storage.versioned import VersionedTable
+from tidemark.storage.versioned import GEN, VersionedTable
+from tidemark.streaming.identity import batch_txn
 
 # What the binary file source yields; its content column is never read here.
 FILE_LISTING = T.StructType(
@@ -26,9 +29,10 @@ class FileIngest:
     """Raw table fed from a landing folder, on demand.
 
     A file stream over the listing keeps the bookmark; every micro-batch reads its
-    files as one Spark job and commits them with the batch number, so a replayed
-    batch is recognised. The schema is inferred on the first batch and pinned beside
-    the checkpoint.
+    files as one Spark job and commits them with the stream's id and the batch number,
+    so a replayed batch is recognised and several folders may feed one table. The
+    schema is inferred on the first batch and pinned beside the checkpoint. ``options``
+    are those of Spark's file reader (sep, quote, multiLine, encoding, header, ...).
     """
 
     def __init__(
@@ -43,12 +47,14 @@ class FileIngest:
         evolution: str = "rescue",
         max_files: int = 1000,
         glob: str | None = None,
+        options: dict | None = None,
     ):
         if evolution not in EVOLUTION_MODES:
             raise ValueError(f"evolution must be one of {EVOLUTION_MODES}")
         self.spark, self.source, self.target = spark, source, target
         self.checkpoint, self.format, self.hints = checkpoint, format, hints
         self.evolution, self.max_files, self.glob = evolution, max_files, glob
+        self.options = dict(options or {})
         self.schema_file = f"{checkpoint}/_schema.json"
         if schema is not None and fs.load_pinned_schema(spark, self.schema_file) is None:
             fs.pin_schema(spark, schema, self.schema_file)
@@ -58,13 +64,16 @@ class FileIngest:
 
     def _typed(self, paths: list[str]) -> DataFrame:
         pinned = fs.infer_and_pin_schema(
-            self.spark, paths, self.schema_file, self.format, hints=self.hints
+            self.spark, paths, self.schema_file, self.format, hints=self.hints, options=self.options
         )
-        text = fs.read_as_text(self.spark, paths, self.format)
+        text = fs.read_as_text(self.spark, paths, self.format, self.options)
         if self.evolution == "addNewColumns":
-            unknown = [c for c in text.columns if c not in pinned.names and c != fs.RESCUED]
+            own = {*pinned.names, fs.RESCUED, fs.SURPLUS}
+            unknown = [c for c in text.columns if c not in own]
             if unknown:
-                seen = fs.infer_schema(self.spark, paths, self.format, self.hints)
+                seen = fs.infer_schema(
+                    self.spark, paths, self.format, self.hints, options=self.options
+                )
                 types = {f.name: f.dataType for f in seen}
                 pinned = T.StructType(
                     [
@@ -73,10 +82,10 @@ class FileIngest:
                     ]
                 )
                 fs.pin_schema(self.spark, pinned, self.schema_file)
-        return fs.rescue_cast(text, pinned)
+        return fs.rescue_cast(text, pinned, options=self.options)
 
     def _one_batch(self, batch: DataFrame, batch_id: int) -> None:
-        txn = ("ingest", str(batch_id))
+        txn = batch_txn(self.spark, "ingest", self.checkpoint, batch_id)
         if self.target.exists() and self.target.has_txn(*txn):
             return
         paths = [r["path"] for r in batch.collect()]
@@ -167,27 +176,37 @@ def copy_into(
 ) -> int:
     """Bulk load that skips files loaded before; returns the number of new files.
 
-    Loads at most ``max_files`` per commit until none are left. The ledger of loaded
-    files is a table beside the target. Rows are committed under the ledger's next
-    version, so a load that died between the two commits is only noted, not repeated.
+    The folder is listed once; each commit takes up to ``max_files`` files. They are
+    noted in a ledger beside the target first, and rows are committed under the
+    ledger's version, so a load that died in between is completed by the next one.
     """
     ledger = VersionedTable(spark, f"{target.path}/_loaded")
+
+    def load(paths: list[str], version: int) -> None:
+        rows = fs.read_files(spark, paths, format, **options)
+        target.append(rows, txn=("copy_into", str(version)), evolve=merge_schema)
+
+    if ledger.exists():
+        noted = ledger.manifest().version
+        if not (target.exists() and target.has_txn("copy_into", str(noted))):
+            rows = ledger.read(with_generation=True).filter(F.col(GEN) == noted)
+            load([r["path"] for r in rows.collect()], noted)
+    found = list_files(spark, path)
+    if ledger.exists():
+        found = found.join(ledger.read(), "path", "left_anti")
     total = 0
-    while True:
-        found = list_files(spark, path)
-        if ledger.exists():
-            found = found.join(ledger.read(), "path", "left_anti")
-        paths = [r["path"] for r in found.orderBy("path").limit(max_files).collect()]
-        if not paths:
-            return total
-        txn = ("copy_into", str(ledger.manifest().version + 1))
-        if target.exists() and target.has_txn(*txn):
-            paths = target.manifest().metrics["paths"]
-        else:
-            rows = fs.read_files(spark, paths, format, **options)
-            target.append(rows, txn=txn, evolve=merge_schema, metrics={"paths": paths})
-        ledger.append(spark.createDataFrame([(p,) for p in paths], "path string"))
+    listed = (r["path"] for r in found.orderBy("path").toLocalIterator())
+    while paths := list(islice(listed, max_files)):
+        note = ledger.append(spark.createDataFrame([(p,) for p in paths], "path string"))
+        load(paths, note.version)
         total += len(paths)
+    return total
+
+
+def rows_per_commit(table: VersionedTable) -> DataFrame:
+    """Rows that each commit added and that are still there, counted in the table itself."""
+    counted = table.read(with_generation=True).groupBy(F.col(GEN).alias("version"))
+    return counted.agg(F.count(F.lit(1)).alias("rows"))
 
 
 def refresh_history(spark: SparkSession, table: VersionedTable) -> DataFrame:

@@ -24,10 +24,13 @@ from tidemark.operators import cdc
 from tidemark.operators.cdc import DEL, END, SEQ, START, ChangeSpec
 from tidemark.operators.joins import BROADCAST_ROWS, null_safe_join, staged_keys
 from tidemark.session import stage
-from tidemark.storage.versioned import Files, VersionedTable
+from tidemark.storage.versioned import GRACE_SECONDS, Files, VersionedTable
+from tidemark.streaming.identity import batch_txn
 
 BUCKET, PERIOD = "__bucket", "__period"
 OPEN = "open"
+# Commits between two rounds of upkeep.
+TIDY_EVERY = 8
 
 
 def month_of(seq: Column) -> Column:
@@ -50,8 +53,10 @@ class ChangeTarget:
         buckets: int | None = None,
         period: Callable[[Column], Column] | None = None,
         chunk_rows: int | None = None,
+        grace_seconds: float = GRACE_SECONDS,
     ):
         spec.check()
+        self.grace_seconds = grace_seconds
         self.spark, self.spec, self.chunk_rows = spark, spec, chunk_rows
         self.buckets = self._pinned_buckets(path, buckets)
         self.period = period
@@ -102,6 +107,7 @@ class ChangeTarget:
             self._apply_type1(batch, txn, F.current_timestamp() if as_of is None else as_of)
         else:
             self._apply_type2(batch, txn)
+        self._tidy()
 
     def _apply_type1(self, batch, txn, as_of) -> None:
         if txn and self.state.has_txn(*txn):
@@ -236,22 +242,53 @@ class ChangeTarget:
 
     # ------------------------------------------------------------ upkeep
 
+    def _tables(self) -> list[VersionedTable]:
+        return [self.state] if self.spec.scd_type == 1 else [self.versions, self.events]
+
+    def _tidy(self) -> None:
+        """Bounds the files of the target; done every ``TIDY_EVERY`` commits."""
+        for table in self._tables():
+            if table.exists() and table.manifest().version % TIDY_EVERY == 0:
+                table.compact(TIDY_EVERY)
+                table.reclaim(self.grace_seconds)
+
     def gc_tombstones(self, as_of: Column, ttl_seconds: int = cdc.TOMBSTONE_TTL_SECONDS) -> None:
-        rows = cdc.gc_tombstones(self.state.read(), as_of, ttl_seconds)
-        self.state.replace(rows)
+        """Forgets deletes past their retention, rewriting only the slots that hold some.
+
+        Type 1 counts from when a delete was applied, type 2, whose history keeps the end
+        that the delete gave a version, from its sequence, which must be a time.
+        """
+        table, at = self._tables()[-1], "__deleted_at"
+        if not table.exists():
+            return
+        rows = table.read()
+        if self.spec.scd_type == 2:
+            at = SEQ
+            if default_period(rows.schema[SEQ].dataType) is None:
+                raise ValueError("deletes of a type 2 target expire only if its sequence is a time")
+            if self.spec.ignore_null_updates:
+                raise ValueError("with ignore_null_updates all events of a type 2 target are needed")
+        expired = cdc.expired_delete(as_of, ttl_seconds, at)
+        found = rows.filter(expired).select(*table.partition_by).distinct().collect()
+        slots = [table.slot(*r) for r in found]
+        if slots:
+            table.replace_slots(table.read(slots).filter(~expired), slots, cluster=True)
 
     def erase(self, erased: DataFrame) -> None:
-        """Forgets keys for good, rewriting only the buckets that hold them."""
+        """Forgets keys for good, rewriting only the buckets that hold them.
+
+        What the rewritten files replace is deleted at once, without grace for readers.
+        """
         keys = list(self.spec.keys)
         erased = stage(erased.select(*keys).distinct())
         buckets = dict.fromkeys((r[0] for r in erased.select(self._bucket()).distinct().collect()), "")
-        tables = [self.state] if self.spec.scd_type == 1 else [self.versions, self.events]
-        for table in tables:
+        for table in self._tables():
             slots = [
                 s for s in table.slots() if int(s.split("/")[0].split("=", 1)[1]) in buckets
             ]
             if slots:
                 table.replace_slots(cdc.erase_keys(table.read(slots), keys, erased), slots)
+            table.reclaim(grace_seconds=0)
 
     # ------------------------------------------------------------ streaming
 
@@ -259,7 +296,7 @@ class ChangeTarget:
         """Runs a triggered stream over what the feed has not delivered yet."""
 
         def one_batch(batch: DataFrame, batch_id: int) -> None:
-            self.apply(batch, txn=(name, str(batch_id)))
+            self.apply(batch, txn=batch_txn(self.spark, name, checkpoint, batch_id))
 
         return (
             feed.writeStream.foreachBatch(one_batch)

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.refresh import refresh_rows
 from tidemark.storage.versioned import VersionedTable
+from tidemark.streaming.identity import batch_txn
 
 
 def enrich_stream(
@@ -24,7 +25,7 @@ def enrich_stream(
     """
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        refresh_rows(target, batch, enrich, (name, str(batch_id)))
+        refresh_rows(target, batch, enrich, batch_txn(batch.sparkSession, name, checkpoint, batch_id))
 
     query = (
         facts.writeStream.foreachBatch(one_batch)

@@ -71,12 +71,27 @@ def ingest_incremental(spark, sf):
     return plain(two_deliveries(spark, sf).read().drop(fs.RESCUED))
 
 
+@query(EVENTS_SQL)
+def ingest_two_sources(spark, sf):
+    """Two folders, each with its own bookmark, feed one raw table; later runs find nothing."""
+    folders = [scratch_dir(spark, "landing") for _ in range(2)]
+    fs.export_csv(landed(spark, sf, folders[0]), folders[1])
+    target = VersionedTable(spark, scratch_dir(spark, "raw"))
+    jobs = [
+        ingest.FileIngest(spark, folder, target, scratch_dir(spark, "bookmark"), glob="*.csv")
+        for folder in folders
+    ]
+    for job in [*jobs, *jobs]:
+        job.refresh()
+    return plain(target.read().drop(fs.RESCUED))
+
+
 @query(
     """SELECT 1 AS version, COUNT(*) AS rows FROM events WHERE ts < TIMESTAMP '2024-01-16'
        UNION ALL SELECT 2, COUNT(*) FROM events WHERE ts >= TIMESTAMP '2024-01-16'"""
 )
 def refresh_history(spark, sf):
-    return ingest.refresh_history(spark, two_deliveries(spark, sf)).select("version", "rows")
+    return ingest.rows_per_commit(two_deliveries(spark, sf))
 
 
 @query(EVENTS_SQL)
@@ -89,9 +104,16 @@ def ingest_table_stream(spark, sf):
     return plain(spark.read.schema(schema).parquet(target))
 
 
+def with_types(df: DataFrame) -> DataFrame:
+    """Each row with the types of its columns, since values alone may look alike."""
+    kinds = [F.concat(F.lit(f"{c} "), F.typeof(F.col(f"`{c}`"))) for c in df.columns]
+    return df.withColumn("types", F.concat_ws(", ", *kinds))
+
+
 @query(
-    """SELECT * FROM (VALUES ('p_partkey', 'int'), ('p_name', 'string'), ('p_brand', 'string'),
-       ('p_type', 'string'), ('p_size', 'string'), ('p_retailprice', 'double')) v(column_name, type)"""
+    """SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS VARCHAR) AS p_size, p_retailprice,
+              'p_partkey int, p_name string, p_brand string, p_type string, p_size string, p_retailprice double'
+              AS types FROM part"""
 )
 def schema_inferred(spark, sf):
     """Types inferred from files, one column fixed by a hint, and pinned for later runs."""
@@ -100,8 +122,42 @@ def schema_inferred(spark, sf):
     pinned_at = scratch_dir(spark, "schema") + ".json"
     fs.infer_and_pin_schema(spark, folder, pinned_at, hints={"p_size": "string"})
     pinned = fs.load_pinned_schema(spark, pinned_at)
-    rows = [(f.name, f.dataType.simpleString()) for f in pinned]
-    return spark.createDataFrame(rows, "column_name string, type string")
+    paths = [r["path"] for r in ingest.list_files(spark, folder).filter("path LIKE '%.csv'").collect()]
+    return with_types(fs.rescue_cast(fs.read_as_text(spark, paths, "csv"), pinned).drop(fs.RESCUED))
+
+
+@query(
+    """SELECT c_custkey, c_acctbal, CASE WHEN c_acctbal >= 2000 THEN c_nationkey END AS c_nationkey,
+              'c_custkey int, c_acctbal double, c_nationkey int' AS types FROM customer"""
+)
+def schema_mixed_headers(spark, sf):
+    """One batch of files with different headers: types are merged by column name."""
+    folder = scratch_dir(spark, "landing")
+    customers = table(spark, sf, "customer")
+    fs.export_csv(customers.filter("c_acctbal < 2000").select("c_custkey", "c_acctbal"), f"{folder}/a")
+    more = customers.filter("c_acctbal >= 2000").select("c_custkey", "c_nationkey", "c_acctbal")
+    fs.export_csv(more, f"{folder}/b")
+    target = VersionedTable(spark, scratch_dir(spark, "raw"))
+    ingest.FileIngest(spark, folder, target, scratch_dir(spark, "bookmark"), glob="*.csv").refresh()
+    return with_types(target.read().select("c_custkey", "c_acctbal", "c_nationkey"))
+
+
+@query(
+    """SELECT o_orderkey, o_custkey,
+              CASE WHEN o_orderpriority = '5-LOW'
+                   THEN '{"_corrupt_record":"' || o_orderkey || ',' || o_custkey || ',too,many"}' END AS _rescued_data
+       FROM orders"""
+)
+def rescued_surplus_fields(spark, sf):
+    """Records with more fields than their header are kept whole beside their first fields."""
+    folder = scratch_dir(spark, "landing")
+    more = F.when(F.col("o_orderpriority") == "5-LOW", F.lit(",too,many")).otherwise(F.lit(""))
+    line = F.concat("o_orderkey", F.lit(","), "o_custkey", more)
+    lines = table(spark, sf, "orders").select(line.alias("o_orderkey,o_custkey"))
+    lines.write.option("header", True).option("sep", "\t").csv(folder)
+    target = VersionedTable(spark, scratch_dir(spark, "raw"))
+    ingest.FileIngest(spark, folder, target, scratch_dir(spark, "bookmark"), glob="*.csv").refresh()
+    return target.read()
 
 
 @query(
