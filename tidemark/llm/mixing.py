@@ -26,7 +26,7 @@ MOST = 2
 TOLERANCE = 1e-7
 STEPS = 60
 # Rows that one rounding task holds at a time.
-CHUNK_ROWS = 20_000
+CHUNK_ROWS = 2_000
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -191,35 +191,22 @@ def mix(docs: DataFrame) -> DataFrame:
     )
 
 
-def take_copies(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+def take_copies(docs: DataFrame) -> DataFrame:
     """Each document as often as the mix takes it, with the columns of ``docs``.
 
-    Rows that share doc_id, source and size are matched by their number among them.
+    Rows are known by a hash of all their columns (but maps, which have none); rows that
+    are alike in all of them share their copies.
     """
-    size = F.size(F.regexp_extract_all(text_or_empty(), F.lit(BLANK_WORD), F.lit(0))).cast("long")
-    key = Window.partitionBy("__id", "__src", "__size").orderBy("__order")
-    left = docs.withColumns(
-        {"__id": F.col("doc_id"), "__src": F.col("source"), "__size": size, "__order": F.xxhash64("text")}
-    ).withColumn("__n", F.row_number().over(key))
-    right = (
-        mixed.filter("copies > 0")
-        .select(*[F.col(c).alias(f"__{c}") for c in ("doc_id", "source", "size", "copies")])
-        .withColumn(
-            "__m",
-            F.row_number().over(
-                Window.partitionBy("__doc_id", "__source", "__size").orderBy(F.desc("__copies"))
-            ),
-        )
-        .withColumnRenamed("__size", "__size_m")
-    )
-    same = (
-        F.col("__id").eqNullSafe(F.col("__doc_id"))
-        & F.col("__src").eqNullSafe(F.col("__source"))
-        & (F.col("__size") == F.col("__size_m"))
-        & (F.col("__n") == F.col("__m"))
-    )
-    return (
-        left.join(right, same)
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
-        .select(*docs.columns)
+    key = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind])
+    mixed = mix(docs.select(key.alias("doc_id"), "source", "text"))
+    totals = staged(
+        mixed.groupBy(F.col("doc_id").alias("__key"))
+        .agg(F.sum("copies").cast("int").alias("__copies"), F.count("*").alias("__rows")),
+        "mix-copies",
     )
+    rows = docs.withColumn("__row_key", key)
+    taken = totals.filter("__copies > 0").drop("__rows")
+    joined = rows.join(taken, F.col("__row_key") == F.col("__key"))
+    if not totals.filter("__rows > 1").isEmpty():
+        joined = joined.dropDuplicates(["__key"])
+    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
