@@ -134,4 +134,13 @@ def judge(docs: DataFrame, base=BASE_RULES, rules=RULES) -> DataFrame:
     named = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     out = out.withColumns({name: F.col(f"__{name}") for name in named} | {"base_failed": _compiled(base)})
     out = out.withColumn("kept", ~(F.col("base_failed") | _compiled(rules)))
-    return out.drop(*[c for c in out.columns if c.startswith("__")])
+    return out.drop(*[c for c in out.columns if c.startswith("__") and c not in docs.columns])
+
+
+def keep_good(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that no rule rejects, with their own columns only."""
+    judged = judge(docs.select(F.struct(*docs.columns).alias("__doc_"), "text"))
+    # A filter on a row number stays above the measures. Without it, the optimizer would
+    # write the measures into the filter, once for every place that uses them.
+    numbered = judged.withColumn("row", F.monotonically_increasing_id())
+    return numbered.filter("kept AND row >= 0").select("__doc_.*")

@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 
 # Bytes of text handled at once; a single longer text is handled alone.
 PIECE_BYTES = 2 << 20
+PIECE_ROWS = 1 << 10
 
 U = np.uint64
 
@@ -157,7 +158,7 @@ def pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
     lo, n = 0, len(offsets) - 1
     while lo < n:
         hi = int(np.searchsorted(offsets, offsets[lo] + PIECE_BYTES, side="right")) - 1
-        hi = min(n, max(lo + 1, hi))
+        hi = min(n, lo + PIECE_ROWS, max(lo + 1, hi))
         yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi
 
