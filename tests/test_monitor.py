@@ -5,22 +5,22 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import monitor
 
-LOG = "flow string, n int, upserts long, deletes long, duration double"
+LOG = "flow string, n int, upserts long, deletes long, output_rows long, duration double"
 
 
 def test_anomalies_against_the_trailing_mean(spark):
     log = spark.createDataFrame(
         [
-            ("a", 1, 100, 0, 10.0),
-            ("a", 2, 100, 4, 10.0),
-            ("a", 3, 1100, 0, 10.0),
-            ("a", 4, 100, 6, 21.0),
-            ("a", 5, 0, 0, 1.0),
-            ("b", 1, 5000, 0, 99.0),
+            ("a", 1, 100, 0, 1000, 10.0),
+            ("a", 2, 100, 4, 1000, 10.0),
+            ("a", 3, 1100, 0, 1000, 10.0),
+            ("a", 4, 100, 60, 1000, 21.0),
+            ("a", 5, 0, 0, 1000, 1.0),
+            ("b", 1, 50, 10, 1000, 99.0),
         ],
         LOG,
     )
-    flags = ["upsert_spike", "delete_spike", "zero_rows", "slow"]
+    flags = ["upsert_spike", "delete_spike", "delete_heavy", "zero_rows", "slow"]
     got = {
         (r["flow"], r["n"]): [f for f in flags if r[f]]
         for r in monitor.refresh_anomalies(log, ["flow"], "n").collect()
@@ -29,9 +29,9 @@ def test_anomalies_against_the_trailing_mean(spark):
         ("a", 1): [],
         ("a", 2): [],
         ("a", 3): ["upsert_spike"],
-        ("a", 4): ["delete_spike", "slow"],
+        ("a", 4): ["delete_spike", "delete_heavy", "slow"],
         ("a", 5): ["zero_rows"],
-        ("b", 1): [],
+        ("b", 1): ["delete_heavy"],
     }
 
 
@@ -62,16 +62,28 @@ def test_version_ratio_and_growth(spark):
 
 
 def test_log_views(spark):
-    at = dt.datetime(2024, 1, 1)
+    def at(hour):
+        return dt.datetime(2024, 1, 1, hour)
+
+    flow = '{"flow_progress": {"status": "%s", "metrics": {"num_upserted_rows": %d, "num_output_rows": %d}}}'
     log = spark.createDataFrame(
-        [(at, "f", "COMPLETED", '{"m": {"up": 5, "out": 9}}'), (at, "f", "FAILED", '{"m": {"up": 1}}')],
-        "event_time timestamp, flow string, state string, details string",
+        [
+            (at(1), "flow_progress", "u1", "f", flow % ("COMPLETED", 5, 9), None),
+            (at(2), "flow_progress", "u2", "f", flow % ("FAILED", 1, 9), None),
+            (at(3), "flow_progress", "u2", "f", flow % ("COMPLETED", 2, 11), None),
+            (at(1), "update_progress", "u1", None, '{"state": "RUNNING"}', "a"),
+            (at(2), "update_progress", "u1", None, '{"state": "COMPLETED"}', "b"),
+            (at(4), "update_progress", "u2", None, '{"state": "FAILED"}', "c"),
+        ],
+        "event_time timestamp, event_type string, update_id string, flow string, details string, message string",
     )
-    assert monitor.failed_updates(log).count() == 1
-    growth = monitor.dimension_growth(log, "$.m.out", "$.m.up").first()
-    assert (growth["output_rows"], growth["new_versions"]) == (9, 5)
-    newest = monitor.refresh_metrics(log, {"up": "$.m.up", "gone": "$.m.gone"}, newest=1)
-    assert newest.count() == 1 and newest.first()["gone"] is None
+    assert [r["message"] for r in monitor.failed_updates(log).collect()] == ["c"]
+    growth = [(r["total_rows"], r["new_versions"]) for r in monitor.dimension_growth(log).collect()]
+    assert growth == [(11, 2), (9, 5)]
+    newest = monitor.refresh_metrics(log, newest=1).first()
+    assert (newest["event_time"], newest["num_upserted_rows"], newest["num_deleted_rows"]) == (at(3), 2, None)
+    states = {r["update_id"]: (r["state"], r["states"]) for r in monitor.update_states(log).collect()}
+    assert states == {"u1": ("COMPLETED", 2), "u2": ("FAILED", 1)}
 
 
 def test_weekly_trend(spark):

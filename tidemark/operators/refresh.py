@@ -36,13 +36,14 @@ def choose_refresh(
     delta_rows: int = 0,
     source_rows: int = 0,
     schema_changed: bool = False,
+    initial: bool = False,
     full_above: float = FULL_ABOVE,
 ) -> str:
-    """"incremental" or "full" under a refresh policy."""
+    """"incremental" or "full" under a refresh policy; the initial load is full under any."""
     policy = policy.upper()
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
-    if policy == "FULL":
+    if policy == "FULL" or initial:
         return "full"
     if not supported or schema_changed:
         if policy == "INCREMENTAL STRICT":

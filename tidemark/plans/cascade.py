@@ -2,13 +2,18 @@
 
 Landing files -> raw tables -> customer dimensions -> enriched orders -> business
 tables. ``refresh`` brings everything up to date in that order, each step from the
-rows that are new to it. Every table remembers how far it has read its source, so a
-refresh that died is completed by the next one.
+rows that are new to it. Every table remembers, with its own rows, how far it has read
+each of its sources, so a refresh that died after any commit is completed by the next one.
+Sources that have not delivered yet are empty.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import refresh as rf
@@ -21,6 +26,10 @@ from tidemark.storage.versioned import GEN, VersionedTable
 from tidemark.streaming.changes import ChangeTarget
 
 CUSTOMER_HINTS = {"zip_code": "string", "last_name": "string"}
+NO_CUSTOMERS = (
+    "customer_id long, first_name string, last_name string, customer_segment string, city string, state string"
+)
+NO_PRODUCTS = "product_id long, product_name string, category string, brand string, list_price double"
 REVENUE = {
     "total_orders": ("count", "1"),
     "total_revenue": ("sum", "line_total"),
@@ -60,7 +69,7 @@ class RetailCascade:
         )
         self.enriched = VersionedTable(spark, f"{root}/orders_enriched", ["order_period"])
         self.revenue = VersionedTable(spark, f"{root}/revenue_by_category_parts")
-        self.daily = VersionedTable(spark, f"{root}/daily_sales_summary")
+        self.daily = VersionedTable(spark, f"{root}/daily_sales_summary", ["order_period"])
 
     # ------------------------------------------------------------ steps
 
@@ -81,61 +90,88 @@ class RetailCascade:
             if rows is not None:
                 target.apply(rows, txn=("changes", str(raw.manifest().version)))
 
-    def _enrich(self, rows: DataFrame) -> DataFrame:
-        with_customer = silver.add_customer(rows, self.customers.read())
-        return silver.add_product(with_customer, self._products())
+    def _customers(self) -> DataFrame:
+        if self.customers.state.exists():
+            return self.customers.read()
+        return self.spark.createDataFrame([], NO_CUSTOMERS)
 
     def _products(self) -> DataFrame:
         """One row per product: the one delivered last."""
+        if not self.products.target.exists():
+            return self.spark.createDataFrame([], NO_PRODUCTS)
         rows = self.products.target.read(with_generation=True)
         rest = [F.col(c) for c in rows.columns if c not in ("product_id", GEN)]
         return keep_best(rows, ["product_id"], [F.col(GEN), *rest]).drop(GEN)
 
-    def _refresh_enriched(self) -> bool:
-        """Returns whether stored rows may have changed their product columns."""
+    def _enrich(self, rows: DataFrame) -> DataFrame:
+        with_customer = silver.add_customer(rows, self._customers())
+        return silver.add_product(with_customer, self._products())
+
+    def _shown_otherwise(self, rows: DataFrame, key: str, fresh: Callable, shown: list[str]) -> DataFrame:
+        """Keys among the delivered rows whose stored orders show other values than they should."""
+        keys = rows.select(key).distinct()
+        old = self.enriched.read().select(key, *shown).join(keys, key, "left_semi").distinct()
+        new = fresh(keys).select(key, *[F.col(c).alias(f"__{c}") for c in shown])
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in shown])
+        return old.join(new, key).filter(~same).select(key).distinct()
+
+    def _refresh_enriched(self) -> None:
         table, raw = self.enriched, self.orders.target
         stored = table.exists()
-        moved = self._new_rows(self.changes.target, table, "changes")
-        relisted = self._new_rows(self.products.target, table, "products")
         if stored:
             facts = [c.name for c in _fact_fields(table)]
 
             def again(rows: DataFrame) -> DataFrame:
                 return self._enrich(rows.select(*facts, "order_period"))
 
-            for rows, key, source in (
-                (moved, "customer_id", self.changes.target),
-                (relisted, "product_id", self.products.target),
-            ):
+            for app, key, source, fresh, shown in (
+                (
+                    "changes", "customer_id", self.changes.target,
+                    lambda keys: silver.add_customer(keys, self._customers()), silver.customer_columns(),
+                ),
+                (
+                    "products", "product_id", self.products.target,
+                    lambda keys: silver.add_product(keys, self._products()), silver.product_columns(),
+                ),
+            ):
+                rows = self._new_rows(source, table, app)
                 if rows is not None:
-                    app = "changes" if key == "customer_id" else "products"
+                    changed = self._shown_otherwise(rows, key, fresh, list(shown))
                     txn = (app, str(source.manifest().version))
-                    rf.refresh_dimension_change(table, rows.select(key), [key], again, txn)
+                    rf.refresh_dimension_change(table, changed, [key], again, txn)
         fresh = self._new_rows(raw, table, "orders")
         if fresh is not None:
-            rows = self._enrich(silver.orders_enriched(fresh)).withColumn(
-                "order_period", F.date_format("order_date", self.period)
+            rows = self._enrich(silver.orders_enriched(fresh)).withColumn("order_period", self._period())
+            # The first rows are enriched with all that the dimensions hold.
+            known = {"changes": self.changes, "products": self.products}
+            bookmarks = {a: str(i.target.manifest().version) for a, i in known.items()}
+            table.append(
+                rows,
+                txn=("orders", str(raw.manifest().version)),
+                bookmarks=None if stored else bookmarks,
+                cluster=True,
             )
-            table.append(rows, txn=("orders", str(raw.manifest().version)), cluster=True)
-        if not stored and table.exists():
-            table.mark("changes", str(self.changes.target.manifest().version))
-            table.mark("products", str(self.products.target.manifest().version))
-        return stored and relisted is not None
 
-    def _refresh_revenue(self, relisted: bool) -> str:
-        raw = self.orders.target
-        txn = ("orders", str(raw.manifest().version))
+    def _period(self) -> Column:
+        return F.date_format("order_date", self.period)
+
+    def _refresh_revenue(self) -> str:
+        raw, products = self.orders.target, self.products.target
+        initial = not self.revenue.exists()
         fresh = self._new_rows(raw, self.revenue, "orders")
+        relisted = not initial and self._new_rows(products, self.revenue, "products") is not None
         if fresh is None and not relisted:
             return "none"
         # Recorded row counts of the ingestion, no scan.
-        rows = {m.version: int(m.metrics.get("rows", 0)) for m in raw.history()}
-        seen = int((self.revenue.bookmark("orders") if self.revenue.exists() else None) or 0)
+        newest = raw.manifest()
+        seen = 0 if initial else int(self.revenue.bookmark("orders") or 0)
+        before = raw.manifest(seen).total_rows if seen else 0
         how = rf.choose_refresh(
             self.policy,
-            supported=self.revenue.exists() and not relisted,
-            delta_rows=sum(n for v, n in rows.items() if v > seen),
-            source_rows=sum(rows.values()),
+            supported=not relisted,
+            initial=initial,
+            delta_rows=newest.total_rows - before,
+            source_rows=newest.total_rows,
         )
         groups = ["product_category"]
         if how == "full":
@@ -144,24 +180,31 @@ class RetailCascade:
             new = silver.add_product(silver.orders_enriched(fresh), self._products())
             delta = rf.partials(gold.sold(new), groups, REVENUE)
             parts = rf.merge_partials(self.revenue.read(), delta, groups, REVENUE)
-        self.revenue.replace(parts, txn=txn, metrics={"technique": how})
+        bookmarks = {"orders": str(newest.version), "products": str(products.manifest().version)}
+        self.revenue.replace(parts, bookmarks=bookmarks, metrics={"technique": how})
         return how
 
     def _refresh_daily(self) -> None:
+        """Only the periods that new orders fall into are read and replaced."""
         raw = self.orders.target
         fresh = self._new_rows(raw, self.daily, "orders")
         if fresh is None:
             return
         txn = ("orders", str(raw.manifest().version))
-        source = self.enriched.read()
+
+        def summary(rows: DataFrame) -> DataFrame:
+            return gold.daily_sales_summary(rows).withColumn("order_period", self._period())
+
         if not self.daily.exists():
-            rows = gold.daily_sales_summary(source)
-        else:
-            delta = stage(silver.orders_enriched(fresh).select("order_date").distinct())
-            rows = rf.refresh_groups(
-                self.daily.read(), source, delta, ["order_date"], gold.daily_sales_summary
-            )
-        self.daily.replace(rows, txn=txn)
+            self.daily.replace(summary(self.enriched.read()), txn=txn)
+            return
+        days = stage(silver.orders_enriched(fresh).select("order_date").distinct())
+        periods = days.select(self._period()).distinct().collect()
+        slots = [self.enriched.slot(r[0]) for r in periods]
+        rows = rf.refresh_groups(
+            self.daily.read(slots), self.enriched.read(slots), days, ["order_date"], summary
+        )
+        self.daily.replace_slots(rows, slots, txn=txn, cluster=True)
 
     # ------------------------------------------------------------ entry
 
@@ -169,8 +212,8 @@ class RetailCascade:
         for ingest in (self.orders, self.products, self.changes):
             ingest.refresh()
         self._apply_changes()
-        relisted = self._refresh_enriched()
-        self._refresh_revenue(relisted)
+        self._refresh_enriched()
+        self._refresh_revenue()
         self._refresh_daily()
 
     def revenue_by_category(self) -> DataFrame:

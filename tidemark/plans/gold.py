@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import DIMENSIONS, dimension_expr, mean, order_tier
+from tidemark.functions import DIMENSIONS, dimension_expr, discounted_amount, line_total, mean, order_tier
 from tidemark.plans.silver import add_customer
 
 CANCELLED = "cancelled"
@@ -62,25 +62,28 @@ def _per_customer(orders: DataFrame) -> DataFrame:
     customer with very many orders is reduced on the map side.
     """
     return orders.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("order_count"),
-        F.sum("line_total").alias("total_spent"),
-        mean("line_total").alias("avg_order_value"),
-        F.max("order_date").alias("last_order_date"),
+        F.count(F.lit(1)).alias("order_count"), F.sum("line_total").alias("total_spent")
     )
 
 
-def customer_order_summary(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Per customer id, name, segment and state; orders are typed, not yet joined."""
-    return add_customer(_per_customer(orders), customers).select(
-        "customer_id",
-        "customer_name",
-        "customer_segment",
-        "customer_state",
-        "order_count",
-        "total_spent",
-        "avg_order_value",
-        "last_order_date",
+def customer_revenue(orders: DataFrame, customers: DataFrame, null_as_zero: bool) -> DataFrame:
+    """Discounted revenue of known customers with their names and loyalty tier.
+
+    Without ``null_as_zero``, orders with a NULL discount count as orders but have no amount.
+    """
+    amount = discounted_amount("quantity", "unit_price", "discount_pct", null_as_zero)
+    measures = orders.select("customer_id", "order_id", amount.alias("amount")).groupBy("customer_id").agg(
+        F.count("order_id").alias("order_count"),
+        F.sum("amount").alias("total_revenue"),
+        F.try_divide(F.sum("amount").cast("double"), F.count("amount")).alias("avg_order_value"),
     )
+    shown = customers.select("customer_id", "first_name", "last_name", "loyalty_tier")
+    return shown.join(measures, "customer_id")
+
+
+def customer_order_summary(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """Completed orders as delivered, per customer of the dimension."""
+    return customer_revenue(orders.filter(F.col("order_status") == COMPLETED), customers, False)
 
 
 def revenue_by_attributes(enriched: DataFrame, attributes: list[str]) -> DataFrame:
@@ -90,13 +93,15 @@ def revenue_by_attributes(enriched: DataFrame, attributes: list[str]) -> DataFra
 
 
 def top_spenders(orders: DataFrame, customers: DataFrame, n: int = 5) -> DataFrame:
-    """By display name, as customers are shown: equal names add up."""
-    done = orders.filter(F.col("order_status") == COMPLETED)
+    """Known customers by display name over all orders; equal names add up."""
+    spent = orders.select("customer_id", line_total("quantity", "unit_price").alias("line_total"))
+    name = F.concat("first_name", F.lit(" "), "last_name").alias("customer_name")
     return (
-        add_customer(_per_customer(done), customers)
+        _per_customer(spent)
+        .join(customers.select("customer_id", name), "customer_id")
         .groupBy("customer_name")
-        .agg(F.sum("order_count").alias("order_count"), F.sum("total_spent").alias("total_spent"))
-        .orderBy(F.desc("total_spent"), "customer_name")
+        .agg(F.sum("total_spent").alias("total_spend"))
+        .orderBy(F.desc("total_spend"), "customer_name")
         .limit(n)
     )
 
@@ -130,8 +135,8 @@ def feedback_by_order_tier(feedback: DataFrame, orders: DataFrame, threshold: fl
 
 
 def share_of_total(df: DataFrame, column: str) -> DataFrame:
-    """Count per value and its percentage; the window runs over the few groups."""
-    total = F.sum("event_count").over(Window.partitionBy())
+    """Count per value and its percentage of all rows, whose number is a scalar subquery."""
+    total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
     share = F.round((F.lit(100) * F.col("event_count")).cast("decimal(20,0)") / total, 1)
     return (
         df.groupBy(column)

@@ -1,7 +1,7 @@
 """Health analytics over refresh metrics, run histories and dimensions.
 
-A refresh log has one row per refresh: when, of which flow, its state, and a JSON
-column with the metrics.
+A refresh log has one row per event: when, of which type, update and flow, and its
+details as JSON. Flow events carry metrics, update events the state of an update.
 """
 
 from __future__ import annotations
@@ -12,30 +12,54 @@ from pyspark.sql import functions as F
 from tidemark.functions import metric
 from tidemark.operators.cdc import START
 
+FLOW, UPDATE = "flow_progress", "update_progress"
+METRICS = {
+    "num_upserted_rows": "$.flow_progress.metrics.num_upserted_rows",
+    "num_deleted_rows": "$.flow_progress.metrics.num_deleted_rows",
+}
+STATUS, STATE = "$.flow_progress.status", "$.state"
 
-def refresh_metrics(log: DataFrame, metrics: dict[str, str], newest: int | None = None) -> DataFrame:
+
+def refresh_metrics(
+    log: DataFrame, metrics: dict[str, str] | None = None, newest: int | None = None
+) -> DataFrame:
     """Metrics of each refresh out of its JSON details, newest first."""
-    rows = log.select(
-        "event_time", "flow", *[metric("details", path).alias(n) for n, path in metrics.items()]
-    ).orderBy(F.desc("event_time"))
+    rows = (
+        log.filter(F.col("event_type") == FLOW)
+        .select("event_time", "flow", *[metric("details", p).alias(n) for n, p in (metrics or METRICS).items()])
+        .orderBy(F.desc("event_time"))
+    )
     return rows.limit(newest) if newest else rows
 
 
-def dimension_growth(log: DataFrame, total: str, added: str) -> DataFrame:
-    """Rows and new versions over time, of refreshes that completed."""
+def dimension_growth(log: DataFrame) -> DataFrame:
+    """Total rows and new versions per completed refresh, newest first."""
+    done = (F.col("event_type") == FLOW) & (metric("details", STATUS, "string") == "COMPLETED")
     return (
-        log.filter(F.col("state") == "COMPLETED")
-        .groupBy(F.to_date("event_time").alias("day"))
-        .agg(
-            F.sum(metric("details", total)).alias("output_rows"),
-            F.sum(metric("details", added)).alias("new_versions"),
-            F.count(F.lit(1)).alias("refreshes"),
+        log.filter(done)
+        .select(
+            "event_time",
+            metric("details", "$.flow_progress.metrics.num_output_rows").alias("total_rows"),
+            metric("details", METRICS["num_upserted_rows"]).alias("new_versions"),
         )
+        .orderBy(F.desc("event_time"))
     )
 
 
 def failed_updates(log: DataFrame) -> DataFrame:
-    return log.filter(F.col("state") == "FAILED").orderBy(F.desc("event_time"))
+    failed = (F.col("event_type") == UPDATE) & (metric("details", STATE, "string") == "FAILED")
+    return log.filter(failed).select("event_time", "update_id", "message").orderBy(F.desc("event_time"))
+
+
+def update_states(log: DataFrame) -> DataFrame:
+    """The last state of each update, when it was reached and how many states came before."""
+    state = metric("details", STATE, "string")
+    return log.filter(F.col("event_type") == UPDATE).groupBy("update_id").agg(
+        F.max_by(state, F.struct("event_time", state)).alias("state"),
+        F.min("event_time").alias("started_at"),
+        F.max("event_time").alias("changed_at"),
+        F.count(F.lit(1)).alias("states"),
+    )
 
 
 def refresh_anomalies(
@@ -49,8 +73,8 @@ def refresh_anomalies(
 ) -> DataFrame:
     """Refreshes that stand out against the ones before them.
 
-    ``log`` has upserts, deletes, output_rows and duration per refresh; the baseline
-    is the mean of up to ``trailing`` earlier refreshes of the same flow.
+    ``log`` has upserts, deletes, output_rows (the table's total) and duration per refresh;
+    the baseline is the mean of up to ``trailing`` earlier refreshes of the same flow.
     """
     before = Window.partitionBy(*per).orderBy(order).rowsBetween(-trailing, -1)
     rows = log.withColumns(
@@ -66,7 +90,8 @@ def refresh_anomalies(
     return rows.withColumns(
         {
             "upsert_spike": flag(F.col("upserts") > upsert_factor * F.col("usual_upserts")),
-            "delete_spike": flag(F.col("deletes") > delete_share * F.col("upserts")),
+            "delete_spike": flag(F.col("deletes") > delete_share * F.col("output_rows")),
+            "delete_heavy": flag(F.col("deletes") > delete_share * F.col("upserts")),
             "zero_rows": flag(F.col("upserts") + F.col("deletes") == 0),
             "slow": flag(F.col("duration") > duration_factor * F.col("usual_duration")),
         }

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.sources import files as fs
-from tidemark.storage.versioned import GEN, VersionedTable
+from tidemark.storage.versioned import GEN, Files, VersionedTable
 from tidemark.streaming.identity import batch_txn
 
 # What the binary file source yields; its content column is never read here.
@@ -102,7 +102,12 @@ class FileIngest:
             )
 
     def refresh(self) -> StreamingQuery:
-        """Ingests the files that came since the last call, then stops."""
+        """Ingests the files that came since the last call, then stops.
+
+        A landing folder that does not exist yet has no files.
+        """
+        if not any(c in self.source for c in "*?[{"):
+            Files(self.spark).make_folder(self.source)
         listing = (
             self.spark.readStream.format("binaryFile")
             .schema(FILE_LISTING)

@@ -9,7 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.storage.versioned import Files
+
 # Merges session rows of a key before the shuffle.
+END_OF_TIME = "9000-01-01 00:00:00"
 LOCAL_SESSIONS = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
 
@@ -84,8 +87,29 @@ def join_within(
     return left.join(right, match).drop("__on", "__slot", "__at")
 
 
-def run_to_folder(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Drives a stream over everything available into Parquet and reads the result."""
+def closable(feed: DataFrame, marks: str) -> DataFrame:
+    """A feed that can be ended: with the rows of a folder that ``close`` writes to."""
+    spark: SparkSession = feed.sparkSession
+    Files(spark).make_folder(marks)
+    return feed.unionByName(spark.readStream.schema(feed.schema).parquet(marks))
+
+
+def close(feed: DataFrame, marks: str, time: str) -> None:
+    """Ends a closable feed: its next run delivers all windows that are still open.
+
+    The mark is one row far in the future, whose own window is never delivered. Rows
+    that come after it are late.
+    """
+    row = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in feed.schema}
+    row[time] = F.lit(END_OF_TIME).cast(feed.schema[time].dataType).alias(time)
+    feed.sparkSession.range(1).select(*row.values()).write.mode("append").parquet(marks)
+
+
+def run_to_folder(df: DataFrame, path: str, checkpoint: str, report: dict | None = None) -> DataFrame:
+    """Drives a stream over everything available into Parquet and reads the result.
+
+    ``report`` receives the number of rows that came too late for the watermark.
+    """
     spark: SparkSession = df.sparkSession
     before = spark.conf.get(LOCAL_SESSIONS, "false")
     spark.conf.set(LOCAL_SESSIONS, "true")
@@ -101,4 +125,7 @@ def run_to_folder(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
     finally:
         spark.conf.set(LOCAL_SESSIONS, before)
     query.awaitTermination()
+    if report is not None:
+        operators = [o for p in query.recentProgress for o in p.stateOperators]
+        report["late_rows"] = sum(o.numRowsDroppedByWatermark for o in operators)
     return spark.read.schema(df.schema).parquet(path)

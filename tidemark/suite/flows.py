@@ -23,10 +23,14 @@ from tidemark.streaming.enrich import enrich_stream
 from tidemark.suite import query
 from tidemark.suite.changes import DELETES, FEED, KEPT, versions_sql
 from tidemark.suite.inputs import (
+    LINE_TOTAL,
+    active_customers,
     avg_sql,
     change_columns,
     changes,
     day_sql,
+    listed_products,
+    number_k,
     plain,
     raw_customers,
     raw_orders,
@@ -275,8 +279,8 @@ def declared_schema(spark, sf):
 @query(with_views("orders_enriched", then=f"SELECT {ORDER_COLUMNS_SQL} FROM orders_enriched"))
 def orders_enriched_incremental(spark, sf):
     """Orders in two deliveries, one replayed, then a change of the customer dimension."""
-    orders, products = raw_orders(spark, sf), raw_products(spark, sf)
-    customers = raw_customers(spark, sf)
+    orders, products = raw_orders(spark, sf), listed_products(spark, sf)
+    customers = active_customers(spark, sf)
     moved = F.col("loyalty_tier") == "platinum"
     stale = customers.withColumn("city", F.when(moved, "Elsewhere").otherwise(F.col("city")))
     target = VersionedTable(spark, scratch_dir(spark, "enriched"), ["order_status"])
@@ -370,7 +374,7 @@ def replace_where_window(spark, sf):
 
 
 CASCADE_SQL = with_views(
-    "raw_customers", "changes", "raw_orders", "raw_products",
+    "active_customers", "changes", "raw_orders", "raw_products",
     then=f"""WITH feed AS (
       SELECT customer_id, city, 'INSERT' AS operation, CAST(registration_date AS TIMESTAMP) AS updated_at
       FROM raw_customers
@@ -446,6 +450,34 @@ def cascade_refresh(spark, sf):
     return reduce(DataFrame.unionByName, parts)
 
 
+@query(
+    with_views(
+        "raw_orders", "raw_products",
+        then=f"""SELECT CASE WHEN p.brand < 'Brand#3' THEN 'Relisted' ELSE p.category END AS product_category,
+                 COUNT(*) AS total_orders, CAST(SUM({LINE_TOTAL}) AS DOUBLE) AS total_revenue,
+                 'Unknown' AS customer_name
+                 FROM raw_orders o JOIN raw_products p ON o.product_id = p.product_id
+                 WHERE o.order_status <> 'cancelled' GROUP BY 1""",
+    )
+)
+def cascade_relisted(spark, sf):
+    """Some products move to another category, after orders whose customers never arrive."""
+    landing = scratch_dir(spark, "landing")
+    warehouse = RetailCascade(
+        spark, landing, scratch_dir(spark, "warehouse"), period="yyyy", policy="INCREMENTAL"
+    )
+    products = raw_products(spark, sf)
+    fs.export_csv(products, f"{landing}/products/a")
+    fs.export_csv(raw_orders(spark, sf), f"{landing}/orders/a")
+    warehouse.refresh()
+    moved = products.filter("brand < 'Brand#3'").withColumn("category", F.lit("Relisted"))
+    fs.export_csv(moved, f"{landing}/products/b")
+    warehouse.refresh()
+    name = warehouse.enriched.read().groupBy("product_category").agg(F.max("customer_name").alias("customer_name"))
+    revenue = warehouse.revenue_by_category().drop("avg_order_value")
+    return plain(revenue.join(name, "product_category"))
+
+
 # ---------------------------------------------------------------- streaming
 
 
@@ -455,11 +487,13 @@ def event_stream(spark, sf) -> DataFrame:
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def settled(spark, df: DataFrame) -> DataFrame:
-    out = windows.run_to_folder(df, scratch_dir(spark, "windows"), scratch_dir(spark, "bookmark"))
-    return plain(out)
-
-
+def settled(spark, feed: DataFrame, windowed) -> DataFrame:
+    """Windows of a feed that then ends, so that the last ones are delivered too."""
+    marks, out, bookmark = (scratch_dir(spark, n) for n in ("marks", "windows", "bookmark"))
+    df = windowed(windows.closable(feed, marks))
+    windows.run_to_folder(df, out, bookmark)
+    windows.close(feed, marks, "ts")
+    return plain(windows.run_to_folder(df, out, bookmark))
 
 
 def counted():
@@ -468,20 +502,19 @@ def counted():
 
 
 COUNTED_SQL = "COUNT(*) AS events, CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total"
-LATEST_SQL = "(SELECT MAX(ts) - INTERVAL 10 MINUTE FROM events)"
 
 
 @query(
     f"""SELECT {stamp_sql('w')} AS window_start, {stamp_sql('w + INTERVAL 1 HOUR')} AS window_end,
         event_type, events, total FROM (
-          SELECT date_trunc('hour', ts) AS w, event_type, {COUNTED_SQL} FROM events GROUP BY 1, 2)
-        WHERE w + INTERVAL 1 HOUR <= {LATEST_SQL}"""
+          SELECT date_trunc('hour', ts) AS w, event_type, {COUNTED_SQL} FROM events GROUP BY 1, 2)"""
 )
 def events_tumbling(spark, sf):
-    """Hourly windows; the last ones stay open until the watermark passes them."""
-    stream = event_stream(spark, sf)
+    """Hourly windows; the last ones are delivered when the feed ends."""
     return settled(
-        spark, windows.windowed(stream, "ts", "10 minutes", "1 hour", ["event_type"], counted())
+        spark,
+        event_stream(spark, sf),
+        lambda feed: windows.windowed(feed, "ts", "10 minutes", "1 hour", ["event_type"], counted()),
     )
 
 
@@ -489,15 +522,14 @@ def events_tumbling(spark, sf):
     f"""SELECT {stamp_sql('w')} AS window_start, {stamp_sql('w + INTERVAL 2 HOUR')} AS window_end,
         event_type, events, total FROM (
           SELECT date_trunc('hour', ts) - to_hours(CAST(i AS INTEGER)) AS w, event_type, {COUNTED_SQL}
-          FROM events, range(2) r(i) GROUP BY 1, 2)
-        WHERE w + INTERVAL 2 HOUR <= {LATEST_SQL}"""
+          FROM events, range(2) r(i) GROUP BY 1, 2)"""
 )
 def events_sliding(spark, sf):
-    stream = event_stream(spark, sf)
     return settled(
         spark,
-        windows.windowed(
-            stream, "ts", "10 minutes", "2 hours", ["event_type"], counted(), slide="1 hour"
+        event_stream(spark, sf),
+        lambda feed: windows.windowed(
+            feed, "ts", "10 minutes", "2 hours", ["event_type"], counted(), slide="1 hour"
         ),
     )
 
@@ -508,12 +540,13 @@ def events_sliding(spark, sf):
           SELECT *, SUM(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM (
             SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 3 HOUR
                            THEN 0 ELSE 1 END AS fresh FROM events))
-        GROUP BY user_id, session HAVING MAX(ts) + INTERVAL 3 HOUR <= {LATEST_SQL}"""
+        GROUP BY user_id, session"""
 )
 def events_session(spark, sf):
-    stream = event_stream(spark, sf)
     return settled(
-        spark, windows.sessions(stream, "ts", "10 minutes", "3 hours", ["user_id"], counted())
+        spark,
+        event_stream(spark, sf),
+        lambda feed: windows.sessions(feed, "ts", "10 minutes", "3 hours", ["user_id"], counted()),
     )
 
 
@@ -534,21 +567,22 @@ def view_to_purchase_join(spark, sf):
     pairs = windows.join_within(
         views, purchases, "user_id", "view_ts", "purchase_ts", 6 * 3600, "10 minutes"
     )
-    return settled(spark, pairs)
+    out = windows.run_to_folder(pairs, scratch_dir(spark, "pairs"), scratch_dir(spark, "bookmark"))
+    return plain(out)
 
 
 @query(
     with_views(
-        "raw_customers",
+        "active_customers",
         then=f"""SELECT event_id, user_id AS customer_id, event_type, {stamp_sql('ts')} AS ts,
           COALESCE(first_name || ' ' || last_name, 'Unknown') AS customer_name, customer_segment,
           city AS customer_city, state AS customer_state
-          FROM events LEFT JOIN raw_customers c ON user_id = c.customer_id""",
+          FROM events LEFT JOIN active_customers c ON user_id = c.customer_id""",
     )
 )
 def events_enriched_stream(spark, sf):
     """A stream of facts joined with a static dimension; a second run adds nothing."""
-    customers = raw_customers(spark, sf)
+    customers = active_customers(spark, sf)
     target, bookmark = VersionedTable(spark, scratch_dir(spark, "facts")), scratch_dir(spark, "bookmark")
     for _ in range(2):
         facts = event_stream(spark, sf).select(
@@ -576,48 +610,72 @@ def scd2_stream(spark, sf):
 
 
 def refresh_log(spark, sf) -> DataFrame:
-    """Events as refresh log: type as flow, props as details, errors as failures."""
+    """Events as refresh log: sign-ups and errors are updates, all others flows."""
+    kind = F.col("event_type")
+    state = F.when(kind == "error", "FAILED").when(number_k() % 3 == 0, "RUNNING").otherwise("COMPLETED")
+    metrics = F.struct(
+        number_k().alias("num_upserted_rows"),
+        F.floor("value").alias("num_output_rows"),
+        (number_k() % 7).alias("num_deleted_rows"),
+    )
+    is_update = kind.isin("signup", "error")
+    flow = F.struct(F.struct(metrics.alias("metrics"), state.alias("status")).alias("flow_progress"))
     return table(spark, sf, "events").select(
         F.col("ts").alias("event_time"),
-        F.col("event_type").alias("flow"),
-        F.when(F.col("event_type") == "error", "FAILED").otherwise("COMPLETED").alias("state"),
-        F.col("props").alias("details"),
+        F.when(is_update, monitor.UPDATE).otherwise(monitor.FLOW).alias("event_type"),
+        F.col("user_id").alias("update_id"),
+        kind.alias("flow"),
+        F.concat(F.lit("event "), "event_id").alias("message"),
+        F.when(is_update, F.to_json(F.struct(state.alias("state")))).otherwise(F.to_json(flow)).alias("details"),
         "value",
+        "props",
     )
 
 
 K_SQL = "CAST(regexp_extract(props, '\"k\": *([0-9]+)', 1) AS BIGINT)"
+STATE_SQL = f"CASE WHEN event_type = 'error' THEN 'FAILED' WHEN {K_SQL} % 3 = 0 THEN 'RUNNING' ELSE 'COMPLETED' END"
 
 
-@query(f"SELECT {stamp_sql('ts')} AS event_time, event_type AS flow, {K_SQL} AS num_upserted_rows FROM events")
+@query(
+    f"""SELECT {stamp_sql('ts')} AS event_time, event_type AS flow, {K_SQL} AS num_upserted_rows,
+               {K_SQL} % 7 AS num_deleted_rows FROM events WHERE event_type NOT IN ('signup', 'error')"""
+)
 def event_metrics_json(spark, sf):
-    return plain(monitor.refresh_metrics(refresh_log(spark, sf), {"num_upserted_rows": "$.k"}))
+    return plain(monitor.refresh_metrics(refresh_log(spark, sf)))
 
 
 @query(
-    f"""SELECT {day_sql('ts')} AS day, CAST(SUM({K_SQL}) AS BIGINT) AS output_rows,
-               CAST(SUM({K_SQL}) AS BIGINT) AS new_versions, COUNT(*) AS refreshes
-        FROM events WHERE event_type <> 'error' GROUP BY 1"""
+    f"""SELECT {stamp_sql('ts')} AS event_time, CAST(FLOOR(value) AS BIGINT) AS total_rows, {K_SQL} AS new_versions
+        FROM events WHERE event_type NOT IN ('signup', 'error') AND {STATE_SQL} = 'COMPLETED'"""
 )
 def dimension_growth(spark, sf):
-    return plain(monitor.dimension_growth(refresh_log(spark, sf), "$.k", "$.k"))
+    return plain(monitor.dimension_growth(refresh_log(spark, sf)))
 
 
 @query(
-    f"""SELECT {stamp_sql('ts')} AS event_time, event_type AS flow, 'FAILED' AS state, props AS details, value
+    f"""SELECT {stamp_sql('ts')} AS event_time, user_id AS update_id, 'event ' || event_id AS message
         FROM events WHERE event_type = 'error'"""
 )
 def failed_updates(spark, sf):
     return plain(monitor.failed_updates(refresh_log(spark, sf)))
 
 
+@query(
+    f"""SELECT user_id AS update_id, arg_max({STATE_SQL}, {{'t': ts, 's': {STATE_SQL}}}) AS state,
+               {stamp_sql('MIN(ts)')} AS started_at, {stamp_sql('MAX(ts)')} AS changed_at, COUNT(*) AS states
+        FROM events WHERE event_type IN ('signup', 'error') GROUP BY 1"""
+)
+def update_states(spark, sf):
+    return plain(monitor.update_states(refresh_log(spark, sf)))
+
+
 def daily_refreshes(spark, sf) -> DataFrame:
     """One refresh per flow and day, with its metrics added up from the log."""
-    k = metric("details", "$.k")
+    k = metric("props", "$.k")
     return refresh_log(spark, sf).groupBy("flow", F.to_date("event_time").alias("day")).agg(
         F.sum(F.when(k >= 10, k).otherwise(0)).alias("upserts"),
         F.sum(F.when(k < 10, k).otherwise(0)).alias("deletes"),
-        F.count(F.lit(1)).alias("output_rows"),
+        (100 * F.count(F.lit(1))).alias("output_rows"),
         F.sum(F.col("value").cast("decimal(12,2)")).cast("double").alias("duration"),
     )
 
@@ -625,7 +683,7 @@ def daily_refreshes(spark, sf) -> DataFrame:
 REFRESHES_SQL = f"""SELECT event_type AS flow, CAST(ts AS DATE) AS day,
     CAST(SUM(CASE WHEN {K_SQL} >= 10 THEN {K_SQL} ELSE 0 END) AS BIGINT) AS upserts,
     CAST(SUM(CASE WHEN {K_SQL} < 10 THEN {K_SQL} ELSE 0 END) AS BIGINT) AS deletes,
-    CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS duration FROM events GROUP BY 1, 2"""
+    CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS duration, 100 * COUNT(*) AS output_rows FROM events GROUP BY 1, 2"""
 
 
 @query(
@@ -634,7 +692,8 @@ REFRESHES_SQL = f"""SELECT event_type AS flow, CAST(ts AS DATE) AS day,
           WINDOW w AS (PARTITION BY flow ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
     SELECT flow, {day_sql('day')} AS day, upserts, deletes,
            COALESCE(upserts > 1.2 * usual_upserts, FALSE) AS upsert_spike,
-           COALESCE(deletes > 0.01 * upserts, FALSE) AS delete_spike,
+           COALESCE(deletes > 0.01 * output_rows, FALSE) AS delete_spike,
+           COALESCE(deletes > 0.01 * upserts, FALSE) AS delete_heavy,
            COALESCE(upserts + deletes = 0, FALSE) AS zero_rows,
            COALESCE(duration > 1.25 * usual_duration, FALSE) AS slow FROM b"""
 )

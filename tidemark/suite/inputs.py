@@ -1,7 +1,7 @@
 """The retail schema on top of the test tables, as DataFrames and as SQL.
 
-Inactive customers (negative balance) and bulky parts are missing from the
-dimensions, so that left joins have misses to handle.
+Every table is whole. Only the left joins of the enriched tables get dimensions without
+inactive customers (negative balance) and bulky parts, so that they have misses to handle.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.plans import silver
+
 # Source codes and what they mean here.
 STATUS = {"F": "completed", "P": "cancelled", "O": "pending"}
 OPERATIONS = {"signup": "INSERT", "error": "DELETE"}
@@ -61,8 +63,15 @@ def raw_orders(spark, sf) -> DataFrame:
     )
 
 
+def active_customers(spark, sf) -> DataFrame:
+    return _customers(spark, sf, table(spark, sf, "customer").filter("c_acctbal >= 0"))
+
+
 def raw_customers(spark, sf) -> DataFrame:
-    customers = table(spark, sf, "customer").filter("c_acctbal >= 0")
+    return _customers(spark, sf, table(spark, sf, "customer"))
+
+
+def _customers(spark, sf, customers: DataFrame) -> DataFrame:
     nations = table(spark, sf, "nation")
     return customers.join(nations, customers.c_nationkey == nations.n_nationkey).select(
         F.col("c_custkey").alias("customer_id"),
@@ -76,8 +85,16 @@ def raw_customers(spark, sf) -> DataFrame:
     )
 
 
+def listed_products(spark, sf) -> DataFrame:
+    return _products(table(spark, sf, "part").filter("p_size <= 45"))
+
+
 def raw_products(spark, sf) -> DataFrame:
-    return table(spark, sf, "part").filter("p_size <= 45").select(
+    return _products(table(spark, sf, "part"))
+
+
+def _products(parts: DataFrame) -> DataFrame:
+    return parts.select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
@@ -86,6 +103,16 @@ def raw_products(spark, sf) -> DataFrame:
     )
 
 
+def order_heads(spark, sf) -> DataFrame:
+    """One row per order, as feedback refers to: its value as one item of its first product."""
+    total = silver.line_total("quantity", "unit_price")
+    return raw_orders(spark, sf).groupBy("order_id", "customer_id", "order_date", "order_status").agg(
+        F.min("product_id").alias("product_id"),
+        F.lit(1).alias("quantity"),
+        F.sum(total).alias("unit_price"),
+    )
+
+
 def number_k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
@@ -139,6 +166,23 @@ def _changes_sql(value: str) -> str:
         FROM events"""
 
 
+def _customers_sql(where: str) -> str:
+    return f"""
+        SELECT c_custkey AS customer_id, split_part(c_name, '#', 1) AS first_name,
+               NULLIF(right(c_name, 3), '000') AS last_name, 'City ' || c_nationkey AS city,
+               n_name AS state, c_mktsegment AS customer_segment,
+               {_bands_sql('c_acctbal', 25)} AS loyalty_tier,
+               DATE '2023-06-01' + c_nationkey AS registration_date
+        FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE {where}"""
+
+
+def _products_sql(where: str) -> str:
+    return f"""
+        SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
+               p_brand AS brand, p_retailprice AS list_price
+        FROM part WHERE {where}"""
+
+
 VIEWS = {
     "raw_orders": """
         SELECT l_orderkey AS order_id, o_custkey AS customer_id, l_partkey AS product_id,
@@ -149,17 +193,10 @@ VIEWS = {
                                   WHEN 'O' THEN 'pending' END AS order_status,
                l_returnflag AS payment_method
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
-    "raw_customers": f"""
-        SELECT c_custkey AS customer_id, split_part(c_name, '#', 1) AS first_name,
-               NULLIF(right(c_name, 3), '000') AS last_name, 'City ' || c_nationkey AS city,
-               n_name AS state, c_mktsegment AS customer_segment,
-               {_bands_sql('c_acctbal', 25)} AS loyalty_tier,
-               DATE '2023-06-01' + c_nationkey AS registration_date
-        FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0""",
-    "raw_products": """
-        SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
-               p_brand AS brand, p_retailprice AS list_price
-        FROM part WHERE p_size <= 45""",
+    "raw_customers": _customers_sql("TRUE"),
+    "active_customers": _customers_sql("c_acctbal >= 0"),
+    "raw_products": _products_sql("TRUE"),
+    "listed_products": _products_sql("p_size <= 45"),
     "raw_feedback": f"""
         SELECT event_id AS feedback_id, user_id AS customer_id, event_id AS order_id,
                CAST(ts AS DATE) AS feedback_date, 1 + {K} % 5 AS rating,
@@ -183,21 +220,26 @@ VIEWS["orders_enriched"] = f"""
            p.category AS product_category, p.brand AS product_brand,
            CAST(p.list_price AS DECIMAL(10,2)) AS product_list_price
     FROM raw_orders o
-    LEFT JOIN raw_customers c ON o.customer_id = c.customer_id
-    LEFT JOIN raw_products p ON o.product_id = p.product_id"""
-VIEWS["feedback_enriched"] = f"""
+    LEFT JOIN active_customers c ON o.customer_id = c.customer_id
+    LEFT JOIN listed_products p ON o.product_id = p.product_id"""
+VIEWS["order_heads"] = f"""
+    SELECT order_id, customer_id, order_date, order_status, MIN(product_id) AS product_id,
+           SUM({LINE_TOTAL}) AS order_value
+    FROM raw_orders o GROUP BY order_id, customer_id, order_date, order_status"""
+VIEWS["feedback_enriched"] = """
     SELECT f.feedback_id, f.customer_id, f.order_id, f.feedback_date, f.rating,
            f.feedback_text, f.channel,
            COALESCE(c.first_name || ' ' || c.last_name, 'Unknown') AS customer_name,
-           c.customer_segment, o.order_date, o.order_status, {LINE_TOTAL} AS order_value,
+           c.customer_segment, o.order_date, o.order_status, o.order_value,
            p.product_name, p.category AS product_category, p.brand AS product_brand
     FROM raw_feedback f
-    LEFT JOIN raw_orders o ON f.order_id = o.order_id
-    LEFT JOIN raw_products p ON o.product_id = p.product_id
-    LEFT JOIN raw_customers c ON f.customer_id = c.customer_id"""
+    LEFT JOIN order_heads o ON f.order_id = o.order_id
+    LEFT JOIN listed_products p ON o.product_id = p.product_id
+    LEFT JOIN active_customers c ON f.customer_id = c.customer_id"""
 NEEDS = {
-    "orders_enriched": ["raw_orders", "raw_customers", "raw_products"],
-    "feedback_enriched": ["raw_feedback", "raw_orders", "raw_products", "raw_customers"],
+    "orders_enriched": ["raw_orders", "active_customers", "listed_products"],
+    "order_heads": ["raw_orders"],
+    "feedback_enriched": ["raw_feedback", "order_heads", "listed_products", "active_customers"],
 }
 
 

@@ -11,8 +11,12 @@ from tidemark.plans import gold, silver
 from tidemark.sources import files as fs
 from tidemark.suite import query
 from tidemark.suite.inputs import (
+    LINE_TOTAL,
+    active_customers,
     avg_sql,
     day_sql,
+    listed_products,
+    order_heads,
     plain,
     raw_customers,
     raw_feedback,
@@ -33,8 +37,8 @@ ORDER_COLUMNS_SQL = f"""order_id, customer_id, product_id, {day_sql('order_date'
 def enriched(spark, sf, customer: bool = True, product: bool = True) -> DataFrame:
     return silver.orders_enriched(
         raw_orders(spark, sf),
-        raw_customers(spark, sf) if customer else None,
-        raw_products(spark, sf) if product else None,
+        active_customers(spark, sf) if customer else None,
+        listed_products(spark, sf) if product else None,
     )
 
 
@@ -45,7 +49,7 @@ def typed_orders(spark, sf) -> DataFrame:
 
 def feedback(spark, sf) -> DataFrame:
     return silver.feedback_enriched(
-        raw_feedback(spark, sf), raw_orders(spark, sf), raw_products(spark, sf), raw_customers(spark, sf)
+        raw_feedback(spark, sf), order_heads(spark, sf), listed_products(spark, sf), active_customers(spark, sf)
     )
 
 
@@ -209,16 +213,16 @@ def feedback_by_order_tier(spark, sf):
 
 @query(
     with_views(
-        "raw_feedback", "raw_orders", "raw_products",
+        "raw_feedback", "order_heads", "raw_products",
         then=f"""SELECT p.category, COUNT(*) AS feedback_count, {avg_sql('f.rating')} AS avg_rating
-                 FROM raw_feedback f JOIN raw_orders o ON f.order_id = o.order_id
+                 FROM raw_feedback f JOIN order_heads o ON f.order_id = o.order_id
                  JOIN raw_products p ON o.product_id = p.product_id GROUP BY p.category""",
     )
 )
 def feedback_by_category(spark, sf):
     return plain(
         raw_feedback(spark, sf)
-        .join(raw_orders(spark, sf).select("order_id", "product_id"), "order_id")
+        .join(order_heads(spark, sf).select("order_id", "product_id"), "order_id")
         .join(raw_products(spark, sf), "product_id")
         .groupBy("category")
         .agg(F.count(F.lit(1)).alias("feedback_count"), mean("rating").alias("avg_rating"))
@@ -247,9 +251,9 @@ def revenue_by_tier_category(spark, sf):
 
 @query(
     with_views(
-        "raw_feedback", "raw_orders", "raw_products", "raw_customers",
+        "raw_feedback", "order_heads", "raw_products", "raw_customers",
         then="""SELECT f.feedback_id, f.rating, f.channel, p.product_name, p.category, c.state
-                FROM raw_feedback f JOIN raw_orders o ON f.order_id = o.order_id
+                FROM raw_feedback f JOIN order_heads o ON f.order_id = o.order_id
                 JOIN raw_products p ON o.product_id = p.product_id
                 JOIN raw_customers c ON f.customer_id = c.customer_id
                 WHERE c.loyalty_tier = 'platinum'""",
@@ -259,7 +263,7 @@ def platinum_feedback(spark, sf):
     return (
         raw_feedback(spark, sf)
         .join(raw_customers(spark, sf).filter("loyalty_tier = 'platinum'"), "customer_id")
-        .join(raw_orders(spark, sf).select("order_id", "product_id"), "order_id")
+        .join(order_heads(spark, sf).select("order_id", "product_id"), "order_id")
         .join(raw_products(spark, sf), "product_id")
         .select("feedback_id", "rating", "channel", "product_name", "category", "state")
     )
@@ -313,17 +317,17 @@ def latest_report(spark, sf):
 
 @query(
     """WITH s AS (SELECT s_nationkey AS nation, COUNT(*) AS suppliers FROM supplier
-                  WHERE s_acctbal > 5000 GROUP BY 1),
+                  GROUP BY 1),
             c AS (SELECT c_nationkey AS nation, COUNT(*) AS customers FROM customer
-                  WHERE c_acctbal < 0 GROUP BY 1)
+                  GROUP BY 1)
        SELECT n.n_name, f.suppliers, f.customers FROM
          (SELECT COALESCE(s.nation, c.nation) AS nation, suppliers, customers
           FROM s FULL JOIN c ON s.nation = c.nation) f
        RIGHT JOIN nation n ON f.nation = n.n_nationkey"""
 )
 def full_join_coverage(spark, sf):
-    suppliers = table(spark, sf, "supplier").filter("s_acctbal > 5000")
-    customers = table(spark, sf, "customer").filter("c_acctbal < 0")
+    suppliers = table(spark, sf, "supplier")
+    customers = table(spark, sf, "customer")
     counts = (
         suppliers.groupBy(F.col("s_nationkey").alias("n_nationkey"))
         .agg(F.count(F.lit(1)).alias("suppliers"))
@@ -425,28 +429,32 @@ def revenue_by_status(spark, sf):
     return plain(gold.revenue_by_status(typed_orders(spark, sf)))
 
 
-SUMMARY_SQL = f"""SELECT customer_id, customer_name, customer_segment, customer_state,
-    COUNT(*) AS order_count, CAST(SUM(line_total) AS DOUBLE) AS total_spent,
-    {avg_sql('line_total')} AS avg_order_value, {day_sql('MAX(order_date)')} AS last_order_date
-    FROM orders_enriched WHERE {{where}} GROUP BY 1, 2, 3, 4"""
+def _summary_sql(discount: str, where: str) -> str:
+    amount = f"CAST({LINE_TOTAL} * (1 - CAST({discount} AS DECIMAL(5,4))) AS DECIMAL(18,4))"
+    return f"""SELECT c.customer_id, c.first_name, c.last_name, c.loyalty_tier,
+        COUNT(o.order_id) AS order_count, CAST(SUM({amount}) AS DOUBLE) AS total_revenue,
+        CAST(SUM({amount}) AS DOUBLE) / COUNT({amount}) AS avg_order_value
+        FROM raw_orders o JOIN raw_customers c ON o.customer_id = c.customer_id
+        WHERE o.order_status = 'completed' AND {where}
+        GROUP BY c.customer_id, c.first_name, c.last_name, c.loyalty_tier"""
 
 
-@query(with_views("orders_enriched", then=SUMMARY_SQL.format(where="order_status = 'completed'")))
+@query(with_views("raw_orders", "raw_customers", then=_summary_sql("o.discount_pct", "TRUE")))
 def customer_order_summary(spark, sf):
-    done = typed_orders(spark, sf).filter(F.col("order_status") == gold.COMPLETED)
-    return plain(gold.customer_order_summary(done, raw_customers(spark, sf)))
+    return plain(gold.customer_order_summary(raw_orders(spark, sf), raw_customers(spark, sf)))
 
 
 @query(
     with_views(
-        "orders_enriched",
-        then="""SELECT customer_name, COUNT(*) AS order_count, CAST(SUM(line_total) AS DOUBLE) AS total_spent
-                FROM orders_enriched WHERE order_status = 'completed' GROUP BY customer_name
-                ORDER BY SUM(line_total) DESC, customer_name LIMIT 5""",
+        "raw_orders", "raw_customers",
+        then=f"""SELECT c.first_name || ' ' || c.last_name AS customer_name,
+                CAST(SUM({LINE_TOTAL}) AS DOUBLE) AS total_spend
+                FROM raw_orders o JOIN raw_customers c ON o.customer_id = c.customer_id
+                GROUP BY customer_name ORDER BY SUM({LINE_TOTAL}) DESC, customer_name LIMIT 5""",
     )
 )
 def top5_spenders(spark, sf):
-    return plain(gold.top_spenders(typed_orders(spark, sf), raw_customers(spark, sf)))
+    return plain(gold.top_spenders(raw_orders(spark, sf), raw_customers(spark, sf)))
 
 
 @query(
@@ -459,7 +467,7 @@ def top5_spenders(spark, sf):
     )
 )
 def state_leaderboard(spark, sf):
-    return plain(gold.state_leaderboard(typed_orders(spark, sf), raw_customers(spark, sf)))
+    return plain(gold.state_leaderboard(typed_orders(spark, sf), active_customers(spark, sf)))
 
 
 def _report_sql(dimension: str) -> str:
@@ -501,9 +509,10 @@ def categories_having(spark, sf):
 
 @query(
     with_views(
-        "orders_enriched",
-        then=SUMMARY_SQL.format(
-            where="order_date >= DATE '1999-01-01' AND order_status = 'completed'"
+        "raw_orders", "raw_customers",
+        then=_summary_sql(
+            "COALESCE(o.discount_pct, 0)",
+            "o.order_date >= DATE '1999-01-01' AND o.unit_price IS NOT NULL AND o.quantity > 0",
         ),
     )
 )
