@@ -41,11 +41,33 @@ def test_type2_is_one_shuffle_and_one_sort(spark, tracked):
     assert text.count("- Sort [") == 1
 
 
-def test_as_of_join_is_linear(spark, low_join_limits):
+def as_of(spark):
     versions = cdc.apply_changes(feed(spark), **OPTIONS, scd_type=2, track_history=["tier"])
     facts = inputs.table(spark, SF, "events").select("event_id", F.col("user_id").alias("customer_id"), "ts")
-    text = plan(cdc.join_as_of(facts, versions.select("customer_id", "__START_AT", "__END_AT", F.col("tier").alias("then")), ["customer_id"], "ts", ["then"]))
-    assert "Join" not in text
+    shown = versions.select("customer_id", "__START_AT", "__END_AT", F.col("tier").alias("then"))
+    return cdc.join_as_of(facts, shown, ["customer_id"], "ts", ["then"])
+
+
+def test_as_of_join_is_linear(spark, low_join_limits, monkeypatch):
+    monkeypatch.setattr(cdc, "FEW_VERSIONS", 0)
+    assert "Join" not in plan(as_of(spark))
+
+
+def test_as_of_join_with_few_versions_moves_no_fact(spark, monkeypatch):
+    monkeypatch.setattr(cdc, "FEW_VERSIONS", 1 << 30)
+    by_range = as_of(spark)
+    assert "BroadcastHashJoin" in plan(by_range)
+    monkeypatch.setattr(cdc, "FEW_VERSIONS", 0)
+    assert sorted(map(str, by_range.collect())) == sorted(map(str, as_of(spark).collect()))
+
+
+@pytest.mark.parametrize("options", [{"track_history": ["tier"]}, {"track_history": ["tier"], "ignore_null_updates": True}])
+def test_hot_keys_do_not_multiply_the_scans(spark, options):
+    """What leads to an edge table is staged: the plan reads stored rows, twice at most."""
+    cut = cdc.apply_changes(feed(spark), **OPTIONS, scd_type=2, chunk_rows=20, **options)
+    whole = cdc.apply_changes(feed(spark), **OPTIONS, scd_type=2, **options)
+    assert plan(cut).count("FileScan parquet") <= 2
+    assert sorted(map(str, cut.collect())) == sorted(map(str, whole.collect()))
 
 
 def test_filters_and_columns_reach_the_scan(spark):
@@ -62,9 +84,8 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 
 def test_summary_aggregates_before_the_dimension_join(spark, low_join_limits):
-    orders = silver.orders_enriched(inputs.raw_orders(spark, SF))
-    text = plan(gold.customer_order_summary(orders, inputs.raw_customers(spark, SF)))
-    assert text.index("LeftOuter") < text.index("HashAggregate") < text.index("l_orderkey")
+    text = plan(gold.customer_order_summary(inputs.raw_orders(spark, SF), inputs.raw_customers(spark, SF)))
+    assert text.index("Inner") < text.index("HashAggregate") < text.index("l_orderkey")
 
 
 def test_unused_dimension_is_not_joined(spark):

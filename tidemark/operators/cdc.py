@@ -13,9 +13,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import timeline
-from tidemark.operators.joins import null_safe_join
+from tidemark.operators.joins import fits_broadcast, null_safe_join
 
 START, END = "__START_AT", "__END_AT"
 SEQ, DEL = "__seq", "__deleted"
@@ -404,6 +405,27 @@ def key_history(rows: DataFrame, key: str, value, order: str) -> DataFrame:
     return rows.filter(F.col(key) == value).orderBy(order)
 
 
+# Versions of one key that a broadcast as-of join looks through per fact.
+FEW_VERSIONS = 32
+
+
+def _hashable(df: DataFrame) -> list[str]:
+    return [f"`{f.name}`" for f in df.schema if not isinstance(f.dataType, T.MapType)]
+
+
+def _join_by_range(facts, versions, keys, at, columns, how) -> DataFrame:
+    renamed = versions.select(
+        *[F.col(k).alias(f"__k_{k}") for k in keys], START, END,
+        *[F.col(c).alias(f"__v_{c}") for c in columns],
+    )
+    holds = (F.col(START) <= F.col(at)) & (F.col(END).isNull() | (F.col(END) > F.col(at)))
+    for k in keys:
+        holds = holds & (F.col(k) == F.col(f"__k_{k}"))
+    return facts.join(F.broadcast(renamed), holds, how).select(
+        *[F.col(f"`{c}`") for c in facts.columns], *[F.col(f"__v_{c}").alias(c) for c in columns]
+    )
+
+
 def join_as_of(
     facts: DataFrame,
     versions: DataFrame,
@@ -415,17 +437,24 @@ def join_as_of(
 ) -> DataFrame:
     """Each fact with the version of its key that held at the fact's time.
 
-    Facts and versions are laid on one timeline per key and the last version start
+    ``versions`` is a type 2 table: intervals of a key do not overlap. A small one, with
+    few versions of each key, both counted, is broadcast and no fact is moved. Else
+    facts and versions are laid on one timeline per key and the last version start
     is carried forward, so work is linear in both sides also for a key with many
-    facts and many versions. ``versions`` is a type 2 table: intervals of a key do
-    not overlap.
+    facts and many versions.
     """
+    if chunk_rows is None and how in ("left", "inner"):
+        known = versions.select(*keys, START, END, *columns).dropna(subset=keys)
+        found = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.max("n")).first()
+        if fits_broadcast(known.schema, found[0] or 0) and (found[1] or 0) <= FEW_VERSIONS:
+            return _join_by_range(facts, known, keys, at, columns, how)
     taken = F.struct(F.col(END).alias("end"), *columns)
     version_type = versions.select(taken.alias("v")).schema["v"].dataType
     right = versions.select(
         *keys,
         F.col(START).alias("__at"),
         F.lit(0).alias("__kind"),
+        F.lit(0).cast("long").alias("__tie"),
         taken.alias("__version"),
         F.lit(None).cast(facts.select(F.struct("*").alias("f")).schema["f"].dataType).alias("__fact"),
     )
@@ -433,11 +462,13 @@ def join_as_of(
         *keys,
         F.col(at).alias("__at"),
         F.lit(1).alias("__kind"),
+        # Facts of one moment may lie in different chunks.
+        F.xxhash64(*_hashable(facts)).alias("__tie"),
         F.lit(None).cast(version_type).alias("__version"),
         F.struct("*").alias("__fact"),
     )
     lined_up = timeline.carry_last(
-        right.unionByName(left), keys, ["__at", "__kind"], {"__held": F.col("__version")}, chunk_rows
+        right.unionByName(left), keys, ["__at", "__kind", "__tie"], {"__held": F.col("__version")}, chunk_rows
     ).filter(F.col("__kind") == 1)
     end = F.col("__held.end")
     holds = F.col("__held").isNotNull() & (end.isNull() | (end > F.col("__at")))

@@ -9,15 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import stage
 
 
-def enrich(fact: DataFrame, dimension: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
-    """Adds the columns of a dimension that has one row per key."""
-    return fact.join(dimension, on, how)
-
-
 def keep_best(df: DataFrame, keys: list[str], best: list[Column]) -> DataFrame:
     """One row per key: the one with the greatest ``best`` tuple.
 
@@ -28,18 +24,32 @@ def keep_best(df: DataFrame, keys: list[str], best: list[Column]) -> DataFrame:
     return kept.select(*keys, *[F.col(f"kept.`{c}`") for c in rest]).select(*df.columns)
 
 
-# Key tables up to this many rows are broadcast; a row is a few values.
-BROADCAST_ROWS = 500_000
+# Tables up to this size are broadcast, their rows counted and taken at ``row_bytes``.
+BROADCAST_BYTES = 32 << 20
+TEXT_BYTES = 64
+
+
+def row_bytes(schema: T.DataType) -> int:
+    """A generous guess at the size of a row, for limits in bytes."""
+    if isinstance(schema, T.StructType):
+        return 8 + sum(row_bytes(f.dataType) for f in schema)
+    if isinstance(schema, (T.ArrayType, T.MapType)):
+        return 16 * TEXT_BYTES
+    return TEXT_BYTES if isinstance(schema, (T.StringType, T.BinaryType)) else 16
+
 
+def fits_broadcast(schema: T.StructType, rows: int) -> bool:
+    return rows * row_bytes(schema) <= BROADCAST_BYTES
 
-def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+
+def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """A broadcast hint for a frame whose counted rows stay below the limit."""
-    return F.broadcast(df) if rows <= limit else df
+    return F.broadcast(df) if fits_broadcast(df.schema, rows) else df
 
 
 def staged_keys(df: DataFrame) -> DataFrame:
     """A key table that is used more than once: staged, counted, broadcast if small."""
-    df = stage(df)
+    df = stage(df, "keys")
     return broadcast_if_small(df, df.count())
 
 
@@ -52,16 +62,6 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str) -> DataFra
     return left.join(renamed, match, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def with_match(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
-    """EXISTS."""
-    return left.join(right, on, "left_semi")
-
-
-def without_match(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
-    """NOT EXISTS."""
-    return left.join(right, on, "left_anti")
-
-
 def latest_batch(df: DataFrame, stamp: str) -> DataFrame:
     """Rows of the newest batch: stamp = (SELECT MAX(stamp))."""
     return df.filter(F.col(stamp) == df.agg(F.max(stamp)).scalar())

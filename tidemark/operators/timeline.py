@@ -18,24 +18,20 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.joins import fits_broadcast, row_bytes
+from tidemark.session import stage
+
 CHUNK = "__chunk"
 
-# A frame whose size estimate stays below this fits one task whatever its keys.
-SMALL_BYTES = 64 << 20
-# A key with fewer rows than this is never cut.
-MIN_CHUNK_ROWS = 2_000_000
-# The most frequent keys looked at; a key past them has under 1/4096 of the rows.
-MAX_HOT_KEYS = 4096
+# A key with fewer bytes than this, at a guessed size of its rows, is never cut.
+MIN_CHUNK_BYTES = 128 << 20
+# The most keys that can be told to be hot. A key is hot from this part of the rows on at
+# the latest, so there are never more of them.
+MAX_HOT_KEYS = 50_000
 # Sampled points per chunk, from which every n-th becomes a cut.
 POINTS_PER_CHUNK = 16
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate: file sizes for scans, products for joins."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
-
-
 def key_hash(keys: list[str]) -> Column:
     return F.xxhash64(*keys) if keys else F.lit(0).cast("long")
 
@@ -143,8 +139,10 @@ class Layout:
 
         ``summary`` holds aggregates per (key, chunk) of the hot keys and
         ``carry(w)`` maps a window over the chunks of a key to columns, built from
-        the summary columns. The joined side has one row per chunk.
+        the summary columns. The joined side has one row per chunk. ``df`` is staged, so
+        what leads to it runs once and not for the rows and the chunks each.
         """
+        df = stage(df, "timeline")
         per_chunk = (
             df.filter(self.is_hot())
             .groupBy(*self.partition_columns())
@@ -160,7 +158,9 @@ class Layout:
         match = F.col(CHUNK) == F.col("__c")
         for i, k in enumerate(self.keys):
             match = match & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-        joined = df.join(F.broadcast(small), match, "left")
+        if fits_broadcast(small.schema, len(self.bounds) + len(self.hot)):
+            small = F.broadcast(small)
+        joined = df.join(small, match, "left")
         return joined.drop("__c", *[f"__k{i}" for i in range(len(self.keys))])
 
 
@@ -169,12 +169,15 @@ def plan_layout(
 ) -> Layout:
     """Finds the hot keys of a frame and the points at which to cut them.
 
-    One pass over the key columns with a mergeable frequent-items sketch; a second
-    one, over hot rows only, for the cuts. Frames below ``SMALL_BYTES`` skip both.
+    One pass counts the rows. If a key could have too many, a second one, over the key
+    columns, looks for such keys with a mergeable frequent-items sketch, and a third,
+    over hot rows only, for the cuts.
     """
     layout = Layout(list(keys), list(order))
     spark = df.sparkSession
-    if chunk_rows is None and estimated_bytes(df) <= SMALL_BYTES:
+    least = chunk_rows or max(1, MIN_CHUNK_BYTES // row_bytes(df.schema))
+    rows = df.count()
+    if rows <= least:
         return layout
     slots = 2 * max(
         spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -182,13 +185,10 @@ def plan_layout(
     top = min(slots, MAX_HOT_KEYS)
     seen = (
         df.select(key_hash(keys).alias("h"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.expr(f"approx_top_k(h, {top}, {16 * top})").alias("top"),
-        )
+        .agg(F.expr(f"approx_top_k(h, {top}, {16 * top})").alias("top"))
         .first()
     )
-    limit = chunk_rows or max(MIN_CHUNK_ROWS, seen["n"] // slots)
+    limit = chunk_rows or max(least, rows // top)
     layout.hot = [r["item"] for r in seen["top"] or [] if r["count"] > limit]
     if not layout.hot:
         return layout

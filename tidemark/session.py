@@ -6,9 +6,11 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import suppress
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -78,10 +80,36 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df):
-    """Cut the lineage of a frame that is read more than once, reliably."""
+@cache
+def _staged_paths() -> list:
+    """Paths to delete when the process ends, each with a session to delete it by."""
+    paths: list = []
+
+    def clear() -> None:
+        for spark, path in paths:
+            with suppress(Exception):  # the session may be gone
+                conf = spark._jsc.hadoopConfiguration()
+                p = spark._jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(conf).delete(p, True)
+
+    atexit.register(clear)
+    return paths
+
+
+def stage(df: DataFrame, label: str = "staged") -> DataFrame:
+    """The frame written as Parquet to the shared folder and read back.
+
+    Cuts the lineage of a frame that is read more than once: readers take only the
+    columns they need, all see the same rows, and a lost executor costs only the tasks
+    that it ran. Frames with columns that Parquet has no type for are checkpointed.
+    """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
+    if any(f.dataType == T.NullType() for f in df.schema):
+        context = spark.sparkContext
+        if context._jsc.sc().getCheckpointDir().isEmpty():
+            context.setCheckpointDir(shared_dir(spark))
+        return df.checkpoint()
+    path = scratch_dir(spark, label)
+    df.write.parquet(path)
+    _staged_paths().append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import cdc
 from tidemark.operators.cdc import DEL, END, SEQ, START, ChangeSpec
-from tidemark.operators.joins import BROADCAST_ROWS, null_safe_join, staged_keys
+from tidemark.operators.joins import fits_broadcast, null_safe_join, staged_keys
 from tidemark.session import stage
 from tidemark.storage.versioned import GRACE_SECONDS, Files, VersionedTable
 from tidemark.streaming.identity import batch_txn
@@ -123,7 +123,7 @@ class ChangeTarget:
         slots = [self.state.slot(r[BUCKET]) for r in touched]
         old = self.state.read(slots).drop(BUCKET) if self.state.exists() else None
         untouched = None
-        if old is not None and sum(r["count"] for r in touched) <= BROADCAST_ROWS:
+        if old is not None and fits_broadcast(keys.schema, sum(r["count"] for r in touched)):
             # Rows of other keys are copied as they are; only touched ones are shuffled.
             keys = F.broadcast(keys.drop(BUCKET))
             untouched = null_safe_join(old, keys, self.spec.keys, "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import cdc, joins, quality
+from tidemark.operators import cdc, quality
 from tidemark.operators.cdc import END, START, apply_changes
 from tidemark.plans import monitor, silver
 from tidemark.session import scratch_dir
@@ -374,7 +374,7 @@ def orders_enriched_scd1(spark, sf):
     """Orders with the current row of a type 1 dimension."""
     current = apply_changes(changes(spark, sf), **FEED, **DELETES, **KEPT)
     orders = silver.orders_enriched(raw_orders(spark, sf))
-    rows = joins.enrich(orders, current.select("customer_id", "tier", "city"), "customer_id")
+    rows = orders.join(current.select("customer_id", "tier", "city"), "customer_id", "left")
     return plain(rows.select("order_id", "customer_id", "order_date", "line_total", "tier", "city"))
 
 

@@ -291,7 +291,7 @@ def dedupe_lines(spark, sf):
 def customers_with_orders(spark, sf):
     done = table(spark, sf, "orders").filter("o_orderstatus = 'F'")
     done = done.select(F.col("o_custkey").alias("c_custkey"))
-    return joins.with_match(table(spark, sf, "customer"), done, "c_custkey").select("c_custkey", "c_name")
+    return table(spark, sf, "customer").join(done, "c_custkey", "left_semi").select("c_custkey", "c_name")
 
 
 @query(
@@ -301,7 +301,7 @@ def customers_with_orders(spark, sf):
 def customers_without_orders(spark, sf):
     large = table(spark, sf, "orders").filter("o_totalprice > 450000")
     large = large.select(F.col("o_custkey").alias("c_custkey"))
-    return joins.without_match(table(spark, sf, "customer"), large, "c_custkey").select(
+    return table(spark, sf, "customer").join(large, "c_custkey", "left_anti").select(
         "c_custkey", "c_name"
     )
 
