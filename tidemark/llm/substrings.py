@@ -40,18 +40,24 @@ HOT_CLASSES = 1 << 16
 NO_ID = 2**63 - 1
 
 
-def anchors(words: w.Words) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the anchors of all texts with a window."""
+def windows(words: w.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each window of all texts begins, the place of its anchor, and all hashes of GRAM words."""
     grams, _ = words.runs(GRAM)
     _, whole = words.runs(WINDOW)
     starts = np.flatnonzero(whole)
     if not len(starts):
-        return starts, grams[:0]
+        return starts, starts, grams
     best, place = grams[starts + SIDE], starts + SIDE
     for j in range(SIDE - 1, -1, -1):
         here = grams[starts + j]
         less = here < best
         best, place = np.where(less, here, best), np.where(less, starts + j, place)
+    return starts, place, grams
+
+
+def anchors(words: w.Words) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the anchors of all texts with a window."""
+    _, place, grams = windows(words)
     place = np.unique(place)
     return place, grams[place]
 
@@ -133,75 +139,87 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _surroundings(often: bool):
-    """What surrounds the listed anchors, or the windows around those that are frequent."""
+def _listed(batches, often: bool, places):
+    """Per piece: words, classes, ids, and which of the given places have a listed anchor."""
+    for batch in batches:
+        lists = batch.column("anchors")
+        flat, ends = lists.flatten(), lists.offsets.to_numpy()
+        ends = ends - ends[0]
+        wanted = flat.field("anchor").to_numpy()
+        marks = flat.field("often").to_numpy(zero_copy_only=False)
+        classes, ids = batch.column("class").to_numpy(), batch.column("id").to_numpy()
+        for lo, hi, data, offsets in w.pieces(batch.column("text")):
+            words = w.find_words(data, offsets, lower=False)
+            same = w.signed(w.mix(words.whole() + words.counts().astype(w.U))) == classes[lo:hi]
+            found, prints = places(words)
+            on = np.zeros(len(found), dtype=bool)
+            bounds = np.searchsorted(found, words.first)
+            for i in np.flatnonzero(same):
+                a, b = ends[lo + i], ends[lo + i + 1]
+                mine = slice(bounds[i], bounds[i + 1])
+                on[mine] = np.isin(w.signed(prints[mine]), wanted[a:b][marks[a:b] == often])
+            yield words, classes[lo:hi], ids[lo:hi], on
+
+
+def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What surrounds the listed anchors that are not frequent."""
+    for words, classes, ids, on in _listed(batches, False, anchors):
+        place, prints = anchors(words)
+        place, prints = place[on], prints[on]
+        text = np.searchsorted(words.first, place, side="right") - 1
+        first, last = words.first[text], words.first[text + 1]
+        left, right = np.minimum(place - first, SIDE), np.minimum(last - place - GRAM, SIDE)
+        size = left + right
+        ends = np.concatenate(([0], np.cumsum(size)))
+        inside = np.arange(ends[-1]) - np.repeat(ends[:-1], size)
+        at = np.repeat(place - left, size) + inside + np.where(inside >= np.repeat(left, size), GRAM, 0)
+        codes = words.hashes[at].view(np.uint8).reshape(-1, 8)[:, :CODE_BYTES].tobytes()
+        around = pa.Array.from_buffers(
+            pa.binary(),
+            len(place),
+            [None, pa.py_buffer((ends * CODE_BYTES).astype(np.int32)), pa.py_buffer(codes)],
+        )
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(w.signed(prints)),
+                pa.array(ids[text]),
+                pa.array(classes[text]),
+                pa.array((place - first - left).astype(np.int32)),
+                pa.array(left.astype(np.int32)),
+                around,
+            ],
+            ["anchor", "id", "class", "start", "n_left", "around"],
+        )
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("anchors")
-            flat, ends = lists.flatten(), lists.offsets.to_numpy()
-            ends = ends - ends[0]
-            wanted = flat.field("anchor").to_numpy()
-            marks = flat.field("often").to_numpy(zero_copy_only=False)
-            classes, ids = batch.column("class").to_numpy(), batch.column("id").to_numpy()
-            for lo, hi, data, offsets in w.pieces(batch.column("text")):
-                words = w.find_words(data, offsets, lower=False)
-                same = w.signed(w.mix(words.whole() + words.counts().astype(w.U))) == classes[lo:hi]
-                place, prints = anchors(words)
-                text = np.searchsorted(words.first, place, side="right") - 1
-                on = np.zeros(len(place), dtype=bool)
-                bounds = np.searchsorted(place, words.first)
-                for i in np.flatnonzero(same):
-                    a, b = ends[lo + i], ends[lo + i + 1]
-                    chosen = wanted[a:b][marks[a:b] == often]
-                    mine = slice(bounds[i], bounds[i + 1])
-                    on[mine] = np.isin(w.signed(prints[mine]), chosen)
-                place, prints, text = place[on], prints[on], text[on]
-                first, last = words.first[text], words.first[text + 1]
-                left, right = np.minimum(place - first, SIDE), np.minimum(last - place - GRAM, SIDE)
-                if often:
-                    # Every window around the anchor; a window with two anchors counts once.
-                    runs, _ = words.runs(WINDOW)
-                    count = left + right - SIDE + 1
-                    back = np.concatenate(([0], np.cumsum(count)))
-                    at = np.unique(
-                        np.arange(back[-1]) - np.repeat(back[:-1], count) + np.repeat(place - left, count)
-                    )
-                    text = np.searchsorted(words.first, at, side="right") - 1
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(w.signed(runs[at])),
-                            pa.array(ids[lo:hi][text]),
-                            pa.array(classes[lo:hi][text]),
-                            pa.array((at - words.first[text]).astype(np.int32)),
-                        ],
-                        ["run", "id", "class", "start"],
-                    )
-                    continue
-                size = left + right
-                ends_at = np.concatenate(([0], np.cumsum(size)))
-                inside = np.arange(ends_at[-1]) - np.repeat(ends_at[:-1], size)
-                from_left = np.repeat(left, size)
-                at = np.repeat(place - left, size) + inside + np.where(inside >= from_left, GRAM, 0)
-                codes = words.hashes[at].view(np.uint8).reshape(-1, 8)[:, :CODE_BYTES].tobytes()
-                around = pa.Array.from_buffers(
-                    pa.binary(),
-                    len(place),
-                    [None, pa.py_buffer((ends_at * CODE_BYTES).astype(np.int32)), pa.py_buffer(codes)],
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(w.signed(prints)),
-                        pa.array(ids[lo:hi][text]),
-                        pa.array(classes[lo:hi][text]),
-                        pa.array((place - first - left).astype(np.int32)),
-                        pa.array(left.astype(np.int32)),
-                        around,
-                    ],
-                    ["anchor", "id", "class", "start", "n_left", "around"],
-                )
 
-    return scan
+def _window_anchors(words: w.Words) -> tuple[np.ndarray, np.ndarray]:
+    starts, place, grams = windows(words)
+    return starts, grams[place]
+
+
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per frequent anchor the windows that chose it, which follow each other, and a hash of them all."""
+    for words, classes, ids, on in _listed(batches, True, _window_anchors):
+        starts, place, _ = windows(words)
+        runs, _ = words.runs(WINDOW)
+        starts, place = starts[on], place[on]
+        new = np.ones(len(starts), dtype=bool)
+        new[1:] = place[1:] != place[:-1]
+        bounds = np.append(np.flatnonzero(new), len(starts))
+        first, last, count = starts[bounds[:-1]], starts[bounds[1:] - 1], np.diff(bounds)
+        text = np.searchsorted(words.first, first, side="right") - 1
+        # The first and the last window hold all words of the stretch.
+        whole = w.mix(runs[first] + w.mix(runs[last]) + count.astype(w.U))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(w.signed(whole)),
+                pa.array(ids[text]),
+                pa.array(classes[text]),
+                pa.array((first - words.first[text]).astype(np.int32)),
+                pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(w.signed(runs[starts]))),
+            ],
+            ["stretch", "id", "class", "start", "runs"],
+        )
 
 
 class SuffixAutomaton:
@@ -371,24 +389,32 @@ def removed_spans(docs: DataFrame, described: DataFrame, classes: DataFrame) ->
 
     around = (
         texts(lists).mapInArrow(
-            _surroundings(False),
+            _surroundings,
             "anchor bigint, id bigint, class bigint, start int, n_left int, around binary",
         )
         .repartition("anchor").sortWithinPartitions("anchor", "id")
         .mapInArrow(_match, "class bigint, s int, e int")
     )
+    # Frequent anchors: stretches that a smaller id has go as a whole; of each other one,
+    # one text remains, whose windows are looked up one by one.
     often = staged(
         texts(lists.filter(F.exists("anchors", lambda x: x["often"]))).mapInArrow(
-            _surroundings(True), "run bigint, id bigint, class bigint, start int"
+            _stretches, "stretch bigint, id bigint, class bigint, start int, runs array<bigint>"
         ),
-        "span-windows",
+        "span-stretches",
+    )
+    smallest = often.groupBy(F.col("stretch").alias("x")).agg(F.min("id").alias("least"))
+    known = often.join(smallest, F.col("stretch") == F.col("x"))
+    copied = known.filter("id > least").select(
+        "class", F.col("start").alias("s"), (F.col("start") + F.size("runs") - 1 + WINDOW).alias("e")
     )
-    least = often.groupBy(F.col("run").alias("r")).agg(F.min("id").alias("least"), F.max("id").alias("most"))
-    least = least.filter("least < most").drop("most")
-    windows = often.join(least, F.col("run") == F.col("r")).filter("id > least").select(
-        "class", F.col("start").alias("s"), (F.col("start") + WINDOW).alias("e")
+    single = known.filter("id = least").select("id", "class", "start", F.posexplode("runs").alias("i", "run"))
+    least = single.groupBy(F.col("run").alias("r")).agg(F.min("id").alias("least"), F.max("id").alias("most"))
+    found = single.join(least.filter("least < most").drop("most"), F.col("run") == F.col("r")).filter("id > least")
+    alone = found.select(
+        "class", (F.col("start") + F.col("i")).alias("s"), (F.col("start") + F.col("i") + WINDOW).alias("e")
     )
-    return around.union(windows)
+    return around.union(copied).union(alone)
 
 
 def _texts_of(identified: DataFrame, wanted: DataFrame) -> DataFrame:
