@@ -42,7 +42,7 @@ def edge_rows():
         (6, long, "c"), (7, passage, "c"), (8, passage, "c"), (9, "x " + passage + " y", None),
         (10, passage.upper(), "a"), (10, passage.upper(), "a"), (11, "Zz\n" + passage + "\n" + passage, "a"),
         (12, "a b\na b\na b\n c", "b"), (None, passage + " tail", "b"), (None, "alone here", None),
-        (13, "#" * 50 + " " + "9" * 5000 + " +1 (234) 567-8901 a.b@c.de 1.2.3.4 4111 1111 1111 1111", "b"),
+        (13, "#" * 50 + " " + "9" * 5000 + " +1 (234) 567-8901 a.b@c.de 1.2.3.4, 4111 1111 1111 1111", "b"),
     ]
     rows += [(20 + i, t, rng.choice(["a", "b", "c", None])) for i, t in enumerate(texts)]
     rows += [(60 + i, "w1 w2 " * 20 + str(i // 2), "d") for i in range(6)]
