@@ -231,6 +231,25 @@ def test_triggered_stream(spark, new_path):
     assert contents(target.read().select(*expected.columns)) == contents(expected)
 
 
+@pytest.mark.parametrize("kind", ["number", "struct"])
+def test_sequences_that_are_no_dates_have_periods(spark, new_path, kind):
+    rng = random.Random(4)
+    rows = [(rng.randrange(5), rng.randrange(3), n * 1000 - 20_000, n % 7) for n in range(60)]
+    feed = spark.createDataFrame(rows, "id long, a long, at long, part int")
+    sequence = ["at"] if kind == "number" else ["at", "part"]
+    options = {"keys": "id", "sequence_by": sequence, "scd_type": 2, "track_history": ["a"]}
+    target = ChangeTarget(spark, new_path(), ChangeSpec.of(**options), 2)
+    order = sorted(range(60), key=lambda n: (n // 20 == 1, n))
+    for lo in range(0, 60, 20):
+        chosen = [rows[n][2] for n in order[lo : lo + 20]]
+        target.apply(feed.filter(F.col("at").isin(chosen)))
+    assert len({s.split("/")[1] for s in target.events.slots()}) > 5
+    expected = apply_changes(feed, **options)
+    columns = sorted(expected.columns)
+    got = sorted(str(r) for r in target.read().select(*columns).collect())
+    assert got == sorted(str(r) for r in expected.select(*columns).collect())
+
+
 @pytest.mark.parametrize("seed", [21, 22])
 def test_version_intervals_are_sound(spark, seed):
     data = random_feed(seed)

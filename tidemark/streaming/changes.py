@@ -37,9 +37,21 @@ def month_of(seq: Column) -> Column:
     return F.date_format(seq, "yyyy-MM")
 
 
-def default_period(dtype: T.DataType) -> Callable[[Column], Column] | None:
-    dated = isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType))
-    return month_of if dated else None
+def is_time(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def leading(dtype: T.DataType, value: Column) -> tuple[T.DataType, Column]:
+    """A sequence's first part, by which it is ordered first."""
+    while isinstance(dtype, T.StructType):
+        dtype, value = dtype[0].dataType, value[dtype[0].name]
+    return dtype, value
+
+
+def number_range(number: Column, shift: int) -> Column:
+    """The upper bits as text that sorts like the numbers, negative ones first."""
+    upper = F.shiftright(number.cast("long"), shift).bitwiseXOR(F.lit(-(2**63)))
+    return F.lpad(F.hex(upper), 16, "0")
 
 
 class ChangeTarget:
@@ -56,7 +68,7 @@ class ChangeTarget:
         grace_seconds: float = GRACE_SECONDS,
     ):
         spec.check()
-        self.grace_seconds = grace_seconds
+        self.grace_seconds, self.path, self.shift = grace_seconds, path, None
         self.spark, self.spec, self.chunk_rows = spark, spec, chunk_rows
         self.buckets = self._pinned_buckets(path, buckets)
         self.period = period
@@ -81,8 +93,27 @@ class ChangeTarget:
         return F.pmod(F.hash(*self.spec.keys), F.lit(self.buckets)).alias(BUCKET)
 
     def _period(self, events: DataFrame, at: str) -> Column:
-        period = self.period or default_period(events.schema[at].dataType)
-        return period(F.col(at)) if period else F.lit("all")
+        """Months of a time, ranges of a number; of a sequence of several parts, by the first."""
+        if self.period:
+            return self.period(F.col(at))
+        dtype, value = leading(events.schema[at].dataType, F.col(at))
+        if is_time(dtype):
+            found = month_of(value)
+        elif isinstance(dtype, T.IntegralType):
+            found = number_range(value, self._pinned_shift(events, value))
+        else:
+            return F.lit("all")
+        return F.coalesce(found, F.lit(""))
+
+    def _pinned_shift(self, events: DataFrame, value: Column) -> int:
+        """How wide ranges of numbers are: the first batch spans up to 32; then fixed."""
+        files, pinned_at = Files(self.spark), f"{self.path}/_shift"
+        if self.shift is None:
+            if not files.exists(pinned_at):
+                low, high = events.agg(F.min(value), F.max(value)).first()
+                files.create_text(pinned_at, str(max(0, ((high or 0) - (low or 0)).bit_length() - 5)))
+            self.shift = int(files.read_text(pinned_at))
+        return self.shift
 
     def read(self) -> DataFrame:
         """The consumer's view."""
@@ -264,7 +295,7 @@ class ChangeTarget:
         rows = table.read()
         if self.spec.scd_type == 2:
             at = SEQ
-            if default_period(rows.schema[SEQ].dataType) is None:
+            if not is_time(rows.schema[SEQ].dataType):
                 raise ValueError("deletes of a type 2 target expire only if its sequence is a time")
             if self.spec.ignore_null_updates:
                 raise ValueError("with ignore_null_updates all events of a type 2 target are needed")
