@@ -277,7 +277,8 @@ def classify(docs: DataFrame) -> DataFrame:
     chosen = chosen.select(F.col("dealt").alias("d"), "good").dropDuplicates(["d"])
     labelled = staged(
         docs.select(dealt.alias("dealt"), "text")
-        .join(chosen, F.col("dealt") == F.col("d"))
+        # At most TRAIN_ROWS rows of two numbers.
+        .join(F.broadcast(chosen), F.col("dealt") == F.col("d"))
         .select("good", "text")
         .mapInArrow(_featured, "good double, feature array<int>, value array<double>"),
         "weak-features",
