@@ -169,6 +169,11 @@ def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         text = np.searchsorted(words.first, place, side="right") - 1
         first, last = words.first[text], words.first[text + 1]
         left, right = np.minimum(place - first, SIDE), np.minimum(last - place - GRAM, SIDE)
+        # Equal surroundings in one text fare alike: one row with all their places.
+        order, bounds = _alike(text, words.stretch(place - left, place + GRAM + right) + left.astype(w.U))
+        starts = (place - first - left)[order]
+        one = order[bounds[:-1]]
+        place, prints, text, left, right = place[one], prints[one], text[one], left[one], right[one]
         size = left + right
         ends = np.concatenate(([0], np.cumsum(size)))
         inside = np.arange(ends[-1]) - np.repeat(ends[:-1], size)
@@ -184,14 +189,22 @@ def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 pa.array(w.signed(prints)),
                 pa.array(ids[text]),
                 pa.array(classes[text]),
-                pa.array((place - first - left).astype(np.int32)),
+                pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(starts.astype(np.int32))),
                 pa.array(left.astype(np.int32)),
                 around,
             ],
-            ["anchor", "id", "class", "start", "n_left", "around"],
+            ["anchor", "id", "class", "starts", "n_left", "around"],
         )
 
 
+def _alike(text: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that puts equal hashes of a text together, and where each group begins, and the end."""
+    order = np.lexsort((hashes, text))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (text[order][1:] != text[order][:-1]) | (hashes[order][1:] != hashes[order][:-1])
+    return order, np.append(np.flatnonzero(new), len(order))
+
+
 def _window_anchors(words: w.Words) -> tuple[np.ndarray, np.ndarray]:
     starts, place, grams = windows(words)
     return starts, grams[place]
@@ -210,15 +223,22 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text = np.searchsorted(words.first, first, side="right") - 1
         # The first and the last window hold all words of the stretch.
         whole = w.mix(runs[first] + w.mix(runs[last]) + count.astype(w.U))
+        order, groups = _alike(text, whole)
+        one = order[groups[:-1]]
+        size = count[one]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        at = np.arange(ends[-1]) + np.repeat(first[one] - ends[:-1], size)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(w.signed(whole)),
-                pa.array(ids[text]),
-                pa.array(classes[text]),
-                pa.array((first - words.first[text]).astype(np.int32)),
-                pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(w.signed(runs[starts]))),
+                pa.array(w.signed(whole[one])),
+                pa.array(ids[text[one]]),
+                pa.array(classes[text[one]]),
+                pa.ListArray.from_arrays(
+                    pa.array(groups, pa.int32()), pa.array((first - words.first[text])[order].astype(np.int32))
+                ),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(w.signed(runs[at]))),
             ],
-            ["stretch", "id", "class", "start", "runs"],
+            ["stretch", "id", "class", "starts", "runs"],
         )
 
 
@@ -284,7 +304,6 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans that a smaller id has too, from the surroundings of one anchor after another."""
     for table, starts in runs_of(batches, ["anchor"]):
         ids, lefts = table.column("id").to_numpy(), table.column("n_left").to_numpy()
-        places = table.column("start").to_numpy()
         around = table.column("around")
         rows, opens, closes = [], [], []
         for lo, hi in zip(starts[:-1], starts[1:], strict=True):
@@ -311,14 +330,15 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         closes.append(b)
                 seen[key] = ids[row]
                 waiting.append((ids[row], sequence))
-        taken = np.array(rows, dtype=np.int64)
+        taken = pa.array(np.array(rows, dtype=np.int64))
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(table.column("class").to_numpy()[taken]),
-                pa.array((places[taken] + np.array(opens, dtype=np.int64)).astype(np.int32)),
-                pa.array((places[taken] + np.array(closes, dtype=np.int64)).astype(np.int32)),
+                table.column("class").combine_chunks().take(taken),
+                table.column("starts").combine_chunks().take(taken),
+                pa.array(opens, pa.int32()),
+                pa.array(closes, pa.int32()),
             ],
-            ["class", "s", "e"],
+            ["class", "starts", "s", "e"],
         )
 
 
@@ -332,9 +352,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words left and their digest, for texts with spans to remove."""
     for batch in batches:
         lists = batch.column("spans")
-        flat, ends = lists.flatten(), lists.offsets.to_numpy()
-        ends = ends - ends[0]
-        opens, closes = flat.field("s").to_numpy(), flat.field("e").to_numpy()
+        starts, opens, closes = lists.flatten().flatten()
+        each = np.diff(starts.offsets.to_numpy())
+        # One entry per start: how far from it the span reaches.
+        opens = starts.flatten().to_numpy() + np.repeat(opens.to_numpy(), each)
+        closes = starts.flatten().to_numpy() + np.repeat(closes.to_numpy(), each)
+        ends = lists.offsets.to_numpy()
+        ends = np.concatenate(([0], np.cumsum(each)))[ends - ends[0]]
         classes = batch.column("class").to_numpy()
         for lo, hi, data, offsets in w.pieces(batch.column("text")):
             words = w.find_words(data, offsets, lower=False)
@@ -362,7 +386,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def removed_spans(docs: DataFrame, described: DataFrame, classes: DataFrame) -> DataFrame:
-    """(class, s, e): spans of words that a document with a smaller id has too.
+    """(class, starts, s, e): words that a document with a smaller id has too, from s to e after each start.
 
     For the document with the smallest id of each class of equal texts.
     """
@@ -390,30 +414,28 @@ def removed_spans(docs: DataFrame, described: DataFrame, classes: DataFrame) ->
     around = (
         texts(lists).mapInArrow(
             _surroundings,
-            "anchor bigint, id bigint, class bigint, start int, n_left int, around binary",
+            "anchor bigint, id bigint, class bigint, starts array<int>, n_left int, around binary",
         )
         .repartition("anchor").sortWithinPartitions("anchor", "id")
-        .mapInArrow(_match, "class bigint, s int, e int")
+        .mapInArrow(_match, "class bigint, starts array<int>, s int, e int")
     )
     # Frequent anchors: stretches that a smaller id has go as a whole; of each other one,
     # one text remains, whose windows are looked up one by one.
     often = staged(
         texts(lists.filter(F.exists("anchors", lambda x: x["often"]))).mapInArrow(
-            _stretches, "stretch bigint, id bigint, class bigint, start int, runs array<bigint>"
+            _stretches, "stretch bigint, id bigint, class bigint, starts array<int>, runs array<bigint>"
         ),
         "span-stretches",
     )
     smallest = often.groupBy(F.col("stretch").alias("x")).agg(F.min("id").alias("least"))
     known = often.join(smallest, F.col("stretch") == F.col("x"))
     copied = known.filter("id > least").select(
-        "class", F.col("start").alias("s"), (F.col("start") + F.size("runs") - 1 + WINDOW).alias("e")
+        "class", "starts", F.lit(0).alias("s"), (F.size("runs") - 1 + WINDOW).alias("e")
     )
-    single = known.filter("id = least").select("id", "class", "start", F.posexplode("runs").alias("i", "run"))
+    single = known.filter("id = least").select("id", "class", "starts", F.posexplode("runs").alias("i", "run"))
     least = single.groupBy(F.col("run").alias("r")).agg(F.min("id").alias("least"), F.max("id").alias("most"))
     found = single.join(least.filter("least < most").drop("most"), F.col("run") == F.col("r")).filter("id > least")
-    alone = found.select(
-        "class", (F.col("start") + F.col("i")).alias("s"), (F.col("start") + F.col("i") + WINDOW).alias("e")
-    )
+    alone = found.select("class", "starts", F.col("i").alias("s"), (F.col("i") + WINDOW).alias("e"))
     return around.union(copied).union(alone)
 
 
@@ -456,7 +478,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
         "span-classes",
     )
     spans = removed_spans(docs, described, classes).groupBy("class").agg(
-        F.collect_set(F.struct("s", "e")).alias("spans")
+        F.collect_set(F.struct("starts", "s", "e")).alias("spans")
     )
     spans = staged(spans.join(classes.select("class", "id"), "class"), "span-spans")
     identified = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text")

@@ -104,6 +104,10 @@ class Words:
         last = np.repeat(self.first[1:], self.counts())
         return found, np.arange(n) + k <= last
 
+    def stretch(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hash of the words from each start to its end."""
+        return _run_sums(self.hashes, _word_powers, starts, ends)
+
     def whole(self) -> np.ndarray:
         """Hash of all words of each text; equals the run hash of as many words."""
         return _run_sums(self.hashes, _word_powers, self.first[:-1], self.first[1:])
