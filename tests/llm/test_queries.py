@@ -4,7 +4,7 @@ from collections import Counter
 
 import duckdb
 import pytest
-from tests.llm import brute
+from tests.llm import brute, data
 
 import corpus_pipeline
 from check import canonical
@@ -68,3 +68,24 @@ def test_pipeline(spark):
         if at == 4:
             assert new == Counter(r["doc_id"] for r in before.collect())
         before = after
+
+
+@pytest.mark.parametrize("rows", [[], data.edge_rows()])
+def test_stages_on_awkward_rows(spark, rows):
+    """Each stage by itself, on rows with NULLs, copies and columns named like its own."""
+    docs = data.documents(spark, rows)
+    for at, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        after = stage(spark, docs, SF)
+        if at < 4:
+            assert after.columns == docs.columns, name
+        found = Counter((r["doc_id"], r["text"]) for r in after.collect()) if at < 4 else None
+        given = Counter((d, t) for d, t, _ in rows)
+        if at in (0, 2):
+            assert all(n == given[k] for k, n in found.items())
+        if at == 1:
+            assert set(found.values()) <= {1, *[n for k, n in given.items() if not (k[1] or "").split()]}
+            assert sum(not (t or "").split() for _, t in found.elements()) == sum(
+                not (t or "").split() for _, t in given.elements()
+            )
+        if at == 4:
+            assert after.count() == len(rows)
