@@ -94,6 +94,34 @@ def test_sources_that_have_not_delivered_are_empty(spark, new_path):
     assert {r["customer_name"] for r in warehouse.enriched.read().collect()} == {"Unknown", "Ann Lee"}
 
 
+FEEDBACK = "feedback_id,customer_id,order_id,feedback_date,rating,feedback_text,channel\n"
+
+
+def test_new_feedback_changes_values_not_groups(spark, new_path):
+    landing = new_path("landing")
+    warehouse = RetailCascade(spark, landing, new_path("root"))
+    deliver(spark, landing, FIRST, "a")
+    rows = "1,1,1,2024-03-01,5,good,web\n2,2,2,2024-03-01,3,fair,web\n3,9,77,2024-03-02,1,lost,web\n"
+    deliver(spark, landing, {"feedback": FEEDBACK + rows}, "a")
+    warehouse.refresh()
+    before = {r["product_category"]: r["feedback_count"] for r in warehouse.feedback_summary.read().collect()}
+    assert before == {"Toys": 1, "Office": 1}
+    added = "4,1,1,2024-03-03,1,bad,web\n5,1,1,2024-03-03,2,bad,web\n6,2,2,2024-03-03,4,good,web\n"
+    deliver(spark, landing, {"feedback": FEEDBACK + added}, "b")
+    warehouse.refresh()
+    after = {r["product_category"]: r["feedback_count"] for r in warehouse.feedback_summary.read().collect()}
+    assert after == {"Toys": 3, "Office": 2}
+    deliver(spark, landing, SECOND, "b")
+    warehouse.refresh()
+    moved = {r["product_category"]: r["feedback_count"] for r in warehouse.feedback_summary.read().collect()}
+    assert moved == {"Games": 3, "Office": 2}
+    names = {r["feedback_id"]: r["customer_name"] for r in warehouse.feedback_enriched.read().collect()}
+    assert names == {1: "Ann Lee", 2: "Bob Ray", 3: "Unknown", 4: "Ann Lee", 5: "Ann Lee", 6: "Bob Ray"}
+    for _ in range(2):
+        warehouse.report("product_category")
+    assert warehouse.reports.read().count() == 2 * 3
+
+
 def test_only_periods_with_new_orders_are_replaced(spark, new_path):
     landing = new_path("landing")
     warehouse = RetailCascade(spark, landing, new_path("root"))

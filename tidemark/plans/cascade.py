@@ -1,7 +1,7 @@
 """The warehouse as one refreshable whole.
 
-Landing files -> raw tables -> customer dimensions -> enriched orders -> business
-tables. ``refresh`` brings everything up to date in that order, each step from the
+Landing files -> raw tables -> customer dimensions -> enriched orders and feedback ->
+business tables and reports. ``refresh`` brings everything up to date in that order, each step from the
 rows that are new to it. Every table remembers, with its own rows, how far it has read
 each of its sources, so a refresh that died after any commit is completed by the next one.
 Sources that have not delivered yet are empty.
@@ -21,6 +21,7 @@ from tidemark.operators.cdc import ChangeSpec
 from tidemark.operators.joins import keep_best
 from tidemark.plans import gold, silver
 from tidemark.session import stage
+from tidemark.sources.files import require_columns
 from tidemark.sources.ingest import FileIngest
 from tidemark.storage.versioned import GEN, VersionedTable
 from tidemark.streaming.changes import ChangeTarget
@@ -29,6 +30,10 @@ CUSTOMER_HINTS = {"zip_code": "string", "last_name": "string"}
 NO_CUSTOMERS = (
     "customer_id long, first_name string, last_name string, customer_segment string, city string, state string"
 )
+NO_ORDERS = (
+    "order_id long, product_id long, order_date date, order_status string, quantity int, unit_price double"
+)
+FEEDBACK = ["feedback_id", "customer_id", "order_id", "feedback_date", "rating", "feedback_text", "channel"]
 NO_PRODUCTS = "product_id long, product_name string, category string, brand string, list_price double"
 REVENUE = {
     "total_orders": ("count", "1"),
@@ -56,6 +61,7 @@ class RetailCascade:
             )
 
         self.orders, self.products = raw("orders"), raw("products")
+        self.feedback = raw("feedback")
         self.changes = raw("customer_changes", CUSTOMER_HINTS)
         spec = {
             "keys": "customer_id",
@@ -70,6 +76,9 @@ class RetailCascade:
         self.enriched = VersionedTable(spark, f"{root}/orders_enriched", ["order_period"])
         self.revenue = VersionedTable(spark, f"{root}/revenue_by_category_parts")
         self.daily = VersionedTable(spark, f"{root}/daily_sales_summary", ["order_period"])
+        self.feedback_enriched = VersionedTable(spark, f"{root}/feedback_enriched")
+        self.feedback_summary = VersionedTable(spark, f"{root}/feedback_by_category")
+        self.reports = VersionedTable(spark, f"{root}/feedback_reports")
 
     # ------------------------------------------------------------ steps
 
@@ -206,15 +215,74 @@ class RetailCascade:
         )
         self.daily.replace_slots(rows, slots, txn=txn, cluster=True)
 
+    def _orders(self) -> DataFrame:
+        raw = self.orders.target
+        return raw.read() if raw.exists() else self.spark.createDataFrame([], NO_ORDERS)
+
+    def _refresh_feedback(self) -> None:
+        """New feedback is enriched; stored feedback again where its order, product or customer changed."""
+        table, raw = self.feedback_enriched, self.feedback.target
+
+        def enrich(rows: DataFrame) -> DataFrame:
+            told = rows.select(*FEEDBACK)
+            return silver.feedback_enriched(told, self._orders(), self._products(), self._customers())
+
+        def orders_of(products: DataFrame) -> DataFrame:
+            return self._orders().join(products.select("product_id").distinct(), "product_id", "left_semi")
+
+        sources = {
+            "orders": (self.orders.target, "order_id", lambda rows: rows),
+            "products": (self.products.target, "order_id", orders_of),
+            "changes": (self.changes.target, "customer_id", lambda rows: rows),
+        }
+        if table.exists():
+            for app, (source, key, keys_of) in sources.items():
+                rows = self._new_rows(source, table, app)
+                if rows is not None:
+                    txn = (app, str(source.manifest().version))
+                    rf.refresh_dimension_change(table, keys_of(rows).select(key), [key], enrich, txn)
+        fresh = self._new_rows(raw, table, "feedback")
+        if fresh is not None:
+            known = {app: str(source.manifest().version) for app, (source, _, _) in sources.items()}
+            table.append(
+                enrich(fresh),
+                txn=("feedback", str(raw.manifest().version)),
+                bookmarks=None if table.exists() else known,
+            )
+
+    def _refresh_feedback_summary(self) -> None:
+        """Categories that appended feedback falls into, or all once stored feedback was changed."""
+        source, table = self.feedback_enriched, self.feedback_summary
+        if not source.exists():
+            return
+        newest = source.manifest()
+        seen = int(table.bookmark("enriched") or 0) if table.exists() else 0
+        if newest.version == seen:
+            return
+        if seen and newest.rewritten <= seen:
+            rows = rf.refresh_groups(
+                table.read(), source.read(), source.added_since(seen), ["product_category"], gold.feedback_by_category
+            )
+        else:
+            rows = gold.feedback_by_category(source.read())
+        table.replace(rows, bookmarks={"enriched": str(newest.version)})
+
+    def report(self, dimension: str) -> None:
+        """Appends the feedback report for one dimension, as of now."""
+        rows = gold.dimension_report(self.feedback_enriched.read(), dimension)
+        self.reports.append(require_columns(rows, gold.REPORT_SCHEMA))
+
     # ------------------------------------------------------------ entry
 
     def refresh(self) -> None:
-        for ingest in (self.orders, self.products, self.changes):
+        for ingest in (self.orders, self.products, self.changes, self.feedback):
             ingest.refresh()
         self._apply_changes()
         self._refresh_enriched()
         self._refresh_revenue()
         self._refresh_daily()
+        self._refresh_feedback()
+        self._refresh_feedback_summary()
 
     def revenue_by_category(self) -> DataFrame:
         average = F.round(F.col("total_revenue") / F.col("total_orders"), 2)

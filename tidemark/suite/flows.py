@@ -31,8 +31,10 @@ from tidemark.suite.inputs import (
     day_sql,
     listed_products,
     number_k,
+    order_heads,
     plain,
     raw_customers,
+    raw_feedback,
     raw_orders,
     raw_products,
     stamp_sql,
@@ -478,6 +480,53 @@ def cascade_relisted(spark, sf):
     return plain(revenue.join(name, "product_category"))
 
 
+def _feedback_sql(dimension: str, name: str) -> str:
+    return f"""SELECT {dimension} AS value, '{name}' AS grouping, COUNT(*) AS feedback_count,
+        {avg_sql('f.rating')} AS avg_rating, {avg_sql('o.order_value')} AS avg_order_value
+        FROM raw_feedback f LEFT JOIN order_heads o ON f.order_id = o.order_id
+        LEFT JOIN raw_products p ON o.product_id = p.product_id
+        LEFT JOIN raw_customers c ON f.customer_id = c.customer_id"""
+
+
+@query(
+    with_views(
+        "raw_feedback", "order_heads", "raw_products", "raw_customers",
+        then=f"""{_feedback_sql('p.category', 'category')} WHERE p.category IS NOT NULL GROUP BY 1
+             UNION ALL {_feedback_sql('c.customer_segment', 'customer_segment')} GROUP BY 1""",
+    )
+)
+def feedback_cascade(spark, sf):
+    """Feedback in two deliveries, its customers in between, and the report appended at the end."""
+    landing = scratch_dir(spark, "landing")
+    warehouse = RetailCascade(spark, landing, scratch_dir(spark, "warehouse"), period="yyyy")
+    orders = order_heads(spark, sf).withColumns(
+        {"discount_pct": F.lit(0.0), "shipping_cost": F.lit(1.0), "payment_method": F.lit("card")}
+    )
+    told = raw_feedback(spark, sf).withColumn("feedback_text", F.lit("text"))
+    customers = raw_customers(spark, sf).select(
+        "customer_id", "first_name", "last_name", "city", "state", "customer_segment",
+        F.lit("INSERT").alias("operation"), F.col("registration_date").cast("timestamp_ntz").alias("updated_at"),
+    )
+    early = F.col("feedback_id") % 3 > 0
+    fs.export_csv(raw_products(spark, sf), f"{landing}/products/a")
+    fs.export_csv(orders, f"{landing}/orders/a")
+    fs.export_csv(told.filter(early), f"{landing}/feedback/a")
+    warehouse.refresh()
+    fs.export_csv(customers, f"{landing}/customer_changes/a")
+    warehouse.refresh()
+    fs.export_csv(told.filter(~early), f"{landing}/feedback/b")
+    warehouse.refresh()
+    warehouse.report("customer_segment")
+    measures = ["feedback_count", "avg_rating", "avg_order_value"]
+    categories = warehouse.feedback_summary.read().select(
+        F.col("product_category").alias("value"), F.lit("category").alias("grouping"), *measures
+    )
+    reported = warehouse.reports.read().select(
+        F.col("dimension_value").alias("value"), F.col("dimension_name").alias("grouping"), *measures
+    )
+    return plain(categories.union(reported))
+
+
 # ---------------------------------------------------------------- streaming
 
 
