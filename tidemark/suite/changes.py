@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.operators import cdc, quality
 from tidemark.operators.cdc import END, START, apply_changes
 from tidemark.plans import monitor, silver
-from tidemark.session import scratch_dir
+from tidemark.session import scratch_dir, stage
 from tidemark.streaming.changes import ChangeTarget
 from tidemark.suite import query
 from tidemark.suite.inputs import (
@@ -475,3 +475,32 @@ def quarantine_split(spark, sf):
 )
 def expect_violation_rate(spark, sf):
     return quality.violation_rate(quality.rule_metrics(table(spark, sf, "events"), RULES))
+
+
+@query(
+    f"""SELECT event_type, COUNT(*) AS kept, COUNT(*) FILTER (NOT ({PASS_SQL})) AS violating,
+               (SELECT COUNT(*) FROM events WHERE NOT ({PASS_SQL})) AS observed FROM events GROUP BY 1"""
+)
+def expect_warn(spark, sf):
+    """A warning keeps every row; what it observed on the way stands beside the rows."""
+    seen = Observation()
+    warned = quality.expect(table(spark, sf, "events"), RULES, "warn", seen)
+    kept = stage(quality.tag(warned, RULES).select("event_type", "failed_rules"))
+    counts = kept.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("kept"), F.count("failed_rules").alias("violating")
+    )
+    return counts.withColumn("observed", F.lit(seen.get["violating_rows"]))
+
+
+@query("SELECT event_id, value FROM events")
+def expect_fail_passes(spark, sf):
+    """Rules that all rows keep: nothing fails and nothing is lost."""
+    rules = {"has_id": "event_id >= 0", "has_type": "event_type IS NOT NULL"}
+    return quality.expect(table(spark, sf, "events"), rules, "fail").select("event_id", "value")
+
+
+@query("SELECT event_id FROM events WHERE event_type <> 'view' AND value > 5")
+def expect_null_violates(spark, sf):
+    """A rule that is NULL is not kept."""
+    rules = {"not_view": "nullif(event_type, 'view') <> ''", "worth": "value > 5"}
+    return quality.expect(table(spark, sf, "events"), rules, "drop").select("event_id")
