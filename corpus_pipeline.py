@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import mixing, ngram_join, rules, shards, winnowing
 from tidemark.llm.frames import staged, table
+from tidemark.operators.joins import broadcast_if_small
 
 # Near duplicates of a training corpus: five words, a similarity of 0.8 or more.
 NEAR = ngram_join.Spec(k=5, percent=80)
@@ -31,10 +32,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A row that repeats another one's id and text is a near duplicate of it.
     """
-    found = ngram_join.near_duplicates(docs.select("doc_id", "text"), NEAR)
-    first = staged(found.filter("is_first").groupBy(F.col("key").alias("k")).agg(F.count("*").alias("n")), "first")
-    kept = docs.withColumn("__key", _key("doc_id", "text")).join(first.drop("n"), F.col("__key") == F.col("k"))
-    if not first.filter("n > 1").isEmpty():
+    found = staged(
+        ngram_join.near_duplicates(docs.select("doc_id", "text"), NEAR).select("key", "is_first"), "near"
+    )
+    others = staged(found.filter("NOT is_first").select(F.col("key").alias("__other")).distinct(), "near-others")
+    kept = docs.withColumn("__key", _key("doc_id", "text"))
+    kept = kept.join(broadcast_if_small(others, others.count()), F.col("__key") == F.col("__other"), "left_anti")
+    if not found.filter("is_first").groupBy("key").count().filter("count > 1").isEmpty():
         kept = kept.dropDuplicates(["__key"])
     return kept.select(docs.columns)
 
@@ -43,8 +47,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents without a window of the benchmark."""
     keyed = docs.select(_key("doc_id", "text").alias("doc_id"), "text")
     found = winnowing.contamination(keyed, table(spark, sf_dir, "benchmark"))
-    hit = found.filter("contaminated").select(F.col("doc_id").alias("k")).distinct()
-    return docs.join(hit, _key("doc_id", "text") == F.col("k"), "left_anti")
+    hit = staged(found.filter("contaminated").select(F.col("doc_id").alias("__other")).distinct(), "hit")
+    return docs.join(broadcast_if_small(hit, hit.count()), _key("doc_id", "text") == F.col("__other"), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

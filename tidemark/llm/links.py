@@ -29,7 +29,6 @@ def components(links: DataFrame) -> DataFrame:
             both.join(least, F.col("a") == F.col("u"))
             .filter("b > a")
             .select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .distinct()
         )
         large = staged(large, "links")
         least = large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))

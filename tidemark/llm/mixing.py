@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import BLANK_WORD, staged, text_or_empty
+from tidemark.operators.joins import broadcast_if_small
 
 # Weights of the sources in order, repeating; the mix has 150% of all words.
 WEIGHTS = (5, 2, 1)
@@ -206,6 +207,7 @@ def take_copies(docs: DataFrame) -> DataFrame:
     )
     rows = docs.withColumn("__row_key", key)
     taken = totals.filter("__copies > 0").drop("__rows")
+    taken = broadcast_if_small(taken, totals.count())
     joined = rows.join(taken, F.col("__row_key") == F.col("__key"))
     if not totals.filter("__rows > 1").isEmpty():
         joined = joined.dropDuplicates(["__key"])

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import words as w
 from tidemark.llm.frames import staged
 from tidemark.llm.links import components
+from tidemark.operators.joins import broadcast_if_small
 
 # Shingles known to be frequent, which come last in the common order; changes cost, not results.
 HOT_SHINGLES = 1 << 16
@@ -47,7 +48,7 @@ LISTED = 4096
 # A block with more open pairs than this many times its members is compared as a whole.
 OPEN_PAIRS = 4
 # Largest blocks of each class that the first round compares.
-FIRST_BLOCKS = 3
+FIRST_BLOCKS = 1
 # Times a shingle must have been seen to deal its block by node right away.
 DEALT_SEEN = 1 << 16
 SET_BYTES = 6
@@ -365,7 +366,7 @@ def _similar(a: np.ndarray, b: np.ndarray, spec: Spec) -> bool:
 
 
 def _link_blocks(spec: Spec):
-    """Links within a block, or between two parts of it, as many as connect what is similar."""
+    """Links of roots within a block, or between two parts of it, that connect what is similar."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in runs_of(batches, ["block", "x", "y"]):
@@ -377,12 +378,16 @@ def _link_blocks(spec: Spec):
                 sets = _unpacked(task.column("members"))
                 order = np.argsort([len(x) for x in sets], kind="stable")
                 sets = [sets[i] for i in order]
-                nodes = task.column("node").to_numpy()[order]
-                group = np.unique(task.column("root").to_numpy()[order], return_inverse=True)[1]
+                roots = task.column("root").to_numpy()[order]
+                group = np.unique(roots, return_inverse=True)[1]
                 for a, b in SignatureTree(sets).pairs(group, spec) if len(sets) > 2 else [(0, 1)]:
                     if group[a] != group[b] and _similar(sets[a], sets[b], spec):
                         group[group == group[b]] = group[a]
-                        links.append((nodes[a], nodes[b]))
+                # All roots of a group with its smallest: short ways make few rounds later.
+                by_group = np.lexsort((roots, group))
+                first = np.searchsorted(group[by_group], group[by_group])
+                least, own = roots[by_group][first], roots[by_group]
+                links += zip(own[own != least].tolist(), least[own != least].tolist(), strict=True)
             if links:
                 a, b = zip(*links, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -515,8 +520,9 @@ def _dealt(blocks: DataFrame) -> DataFrame:
 
 def _linked(rows: DataFrame, sets: DataFrame, spec: Spec) -> DataFrame:
     """Links among rows (block, x, y, node, root)."""
+    rows = staged(rows.select("block", "x", "y", "node", "root"), "ngram-rows")
     return staged(
-        rows.join(sets, "node")
+        sets.join(broadcast_if_small(rows, rows.count()), "node")
         .select("block", "x", "y", "node", "root", "members")
         .repartition("block", "x", "y").sortWithinPartitions("block", "x", "y")
         .mapInArrow(_link_blocks(spec), "a bigint, b bigint"),
@@ -596,9 +602,11 @@ def similar_classes(docs: DataFrame, spec: Spec) -> tuple[DataFrame, DataFrame]:
         .mapInArrow(_open_pairs(spec), "block bigint, a bigint, b bigint"),
         "ngram-open",
     )
-    pairs = opened.filter("a IS NOT NULL").select("a", "b").distinct()
-    ours = sets.select(F.col("node").alias("a"), F.col("members").alias("ours"))
-    theirs = sets.select(F.col("node").alias("b"), F.col("members").alias("theirs"))
+    pairs = staged(opened.filter("a IS NOT NULL").select("a", "b").distinct(), "ngram-pairs")
+    ends = staged(pairs.selectExpr("explode(array(a, b)) AS node").distinct(), "ngram-ends")
+    asked = sets.join(broadcast_if_small(ends, ends.count()), "node", "left_semi")
+    ours = asked.select(F.col("node").alias("a"), F.col("members").alias("ours"))
+    theirs = asked.select(F.col("node").alias("b"), F.col("members").alias("theirs"))
     second = pairs.join(ours, "a").join(theirs, "b").select("a", "b", "ours", "theirs").mapInArrow(
         _verify(spec), "a bigint, b bigint"
     )
@@ -619,7 +627,24 @@ def similar_classes(docs: DataFrame, spec: Spec) -> tuple[DataFrame, DataFrame]:
         )
     )
     third = _linked(rest.join(meet, (F.col("block") == F.col("mb")) & (F.col("part") == F.col("mp"))), sets, spec)
-    return described, components(staged(first.union(second).union(third), "ngram-links"))
+    return described, _joined_roots(roots, second, third)
+
+
+def _joined_roots(roots: DataFrame, pairs: DataFrame, links: DataFrame) -> DataFrame:
+    """Roots after further links: ``pairs`` of nodes and ``links`` of roots."""
+    known = roots.withColumnRenamed("root", "to")
+    over = (
+        pairs.join(known.withColumnsRenamed({"node": "a", "to": "ra"}), "a", "left")
+        .join(known.withColumnsRenamed({"node": "b", "to": "rb"}), "b", "left")
+        .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    )
+    more = staged(over.union(links).filter("a != b").distinct(), "ngram-more")
+    if more.isEmpty():
+        return roots
+    further = staged(components(more), "ngram-further")
+    moved = roots.join(further.withColumnsRenamed({"node": "old", "root": "new"}), F.col("root") == F.col("old"), "left")
+    moved = moved.select("node", F.coalesce("new", "root").alias("root"))
+    return moved.union(further.join(roots, "node", "left_anti").select("node", "root"))
 
 
 def near_duplicates(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
