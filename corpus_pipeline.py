@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import mixing, ngram_join, rules, shards, winnowing
-from tidemark.llm.frames import staged, table
+from tidemark.llm.frames import prepare, staged, table
 from tidemark.operators.joins import broadcast_if_small
 
 # Near duplicates of a training corpus: five words, a similarity of 0.8 or more.
@@ -32,6 +32,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A row that repeats another one's id and text is a near duplicate of it.
     """
+    prepare(spark)
     found = staged(
         ngram_join.near_duplicates(docs.select("doc_id", "text"), NEAR).select("key", "is_first"), "near"
     )

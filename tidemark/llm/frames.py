@@ -11,8 +11,18 @@ from tidemark.session import scratch_dir, settle
 BLANK_WORD = r"[^\x20\x09-\x0D]+"
 
 
+# Bytes that a Python worker gets at once; texts can be long.
+BATCH_BYTES = "8m"
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Runtime settings that the operators rely on."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return settle(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return settle(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def text_or_empty(name: str = "text") -> Column:

@@ -39,7 +39,7 @@ from tidemark.operators.joins import broadcast_if_small
 # Shingles known to be frequent, which come last in the common order; changes cost, not results.
 HOT_SHINGLES = 1 << 16
 HOT_SEEN = 4  # times in HOT_ROWS shingles
-HOT_ROWS = 4 << 20
+HOT_ROWS = 1 << 20
 # Shingles of the members that are compared in one task, members that all parts of a larger
 # block share, and members of a block whose open pairs are listed.
 PART_SHINGLES = 1 << 21

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text handled at once; a single longer text is handled alone.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 PIECE_ROWS = 1 << 10
 
 U = np.uint64
