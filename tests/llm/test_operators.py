@@ -290,6 +290,32 @@ def test_telling_terms(spark):
     assert found[400]["spans"].count(":") == 2
 
 
+def _occurrences(text, term):
+    return [(i, i + len(term)) for i in range(len(text)) if text.startswith(term, i)]
+
+
+def _terms_at(row):
+    found = [x.split(":") for x in row["spans"].split(",") if x]
+    return sorted((int(a), int(b)) for k, a, b in found if k in privacy.ACTIONS)
+
+
+def test_telling_terms_far_from_their_entity(spark):
+    far = "quite common words stand here with many others around them " * 4
+    rows = [(i, far) for i in range(200)]
+    # Near and again far; in most texts only far; a mail address that holds the name itself.
+    rows += [(300 + i, f"Zebrowski {i} {far} Zebrowski zebrowski@clinic.example.org {far} Zebrowski") for i in range(2)]
+    rows += [(310 + i, f"Zebrowski {i} {far} zebrowski@clinic.example.org") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    found = {r["doc_id"]: r for r in privacy.sanitise(docs, render=True).collect()}
+    for i in [300, 301, *range(310, 314)]:
+        assert _terms_at(found[i]) == _occurrences(texts[i], "Zebrowski")
+        assert "ebrowski" not in found[i]["sanitised"]
+        assert "clinic" not in found[i]["sanitised"]
+        assert "common words" in found[i]["sanitised"]
+    assert all(found[i]["spans"] == "" for i in range(200))
+
+
 # ------------------------------------------------------------------ WARC
 
 
