@@ -316,6 +316,21 @@ def test_telling_terms_far_from_their_entity(spark):
     assert all(found[i]["spans"] == "" for i in range(200))
 
 
+def test_telling_terms_of_any_length_beside_other_entities(spark):
+    far = "quite common words stand here with many others around them " * 4
+    rows = [(i, f"{far} 1 2 3 a b x org") for i in range(200)]
+    # Only the last address is in several texts; others and what is no entity stand between.
+    rows += [(300 + i, f"{far} Kim Li 金明 zeb77 QX 4711: u{i}@x.org, 1.2.3.999 shared@x.org {far}") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    found = {r["doc_id"]: r for r in privacy.sanitise(docs, render=True).collect()}
+    for i in range(300, 303):
+        expected = [x for term in ("Kim", "Li", "金明", "zeb77", "QX", "4711", "999") for x in _occurrences(texts[i], term)]
+        assert _terms_at(found[i]) == sorted(expected)
+        assert "[EMAIL], 1.2.3. [EMAIL]" in found[i]["sanitised"]
+    assert all(found[i]["spans"] == "" for i in range(200))
+
+
 # ------------------------------------------------------------------ WARC
 
 
