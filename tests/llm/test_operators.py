@@ -135,6 +135,23 @@ def test_removed_substrings_of_near_copies(spark, monkeypatch, texts):
     assert rows_of(found, "doc_id", "n_words", "n_removed", "kept_sha256") == Counter(brute.removed(rows))
 
 
+@pytest.mark.parametrize("texts", [2000, 1])
+def test_removed_substrings_of_equal_ids(spark, monkeypatch, texts):
+    monkeypatch.setattr(substrings, "ANCHOR_TEXTS", texts)
+    passage = " ".join(f"p{i}" for i in range(20))
+    around = [" ".join(f"{side}{i}" for i in range(12)) for side in "xy"]
+    longer = f"{around[0]} {passage} {around[1]}"
+    rows = [(3, passage)]
+    rows += [(d, f"{longer} end{d}{i}") for d in (None, 7) for i in range(4)]
+    docs = data.documents(spark, [(d, t, "s") for d, t in rows])
+    found = substrings.dedup_substrings(docs)
+    assert rows_of(found, "doc_id", "n_words", "n_removed", "kept_sha256") == Counter(brute.removed(rows))
+    rows = [r for r in rows if r[0] != 7]
+    docs = data.documents(spark, [(d, t, "s") for d, t in rows])
+    found = substrings.dedup_substrings(docs)
+    assert rows_of(found, "doc_id", "n_words", "n_removed", "kept_sha256") == Counter(brute.removed(rows))
+
+
 def test_suffix_automaton():
     rng = random.Random(0)
     for _ in range(200):

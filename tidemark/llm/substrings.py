@@ -309,26 +309,29 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, hi in zip(starts[:-1], starts[1:], strict=True):
             if ids[lo] == ids[hi - 1]:
                 continue
-            seen: dict = {}  # surroundings -> smallest id
+            seen: dict = {}  # surroundings -> smallest id, and the spans found for it
             automaton, waiting = None, []
             for row in range(lo, hi):
                 key = (around[row].as_py(), int(lefts[row]))
                 if key in seen:
-                    if seen[key] < ids[row]:
+                    least, spans = seen[key]
+                    if least < ids[row]:
+                        spans = [(0, len(key[0]) // CODE_BYTES + GRAM)]
+                    for a, b in spans:
                         rows.append(row)
-                        opens.append(0)
-                        closes.append(len(key[0]) // CODE_BYTES + GRAM)
+                        opens.append(a)
+                        closes.append(b)
                     continue
                 while waiting and waiting[0][0] < ids[row]:
                     automaton = automaton or SuffixAutomaton()
                     automaton.add(waiting.pop(0)[1])
                 sequence = _symbols(*key)
-                if automaton is not None:
-                    for a, b in automaton.spans(sequence, WINDOW):
-                        rows.append(row)
-                        opens.append(a)
-                        closes.append(b)
-                seen[key] = ids[row]
+                spans = automaton.spans(sequence, WINDOW) if automaton is not None else []
+                for a, b in spans:
+                    rows.append(row)
+                    opens.append(a)
+                    closes.append(b)
+                seen[key] = ids[row], spans
                 waiting.append((ids[row], sequence))
         taken = pa.array(np.array(rows, dtype=np.int64))
         yield pa.RecordBatch.from_arrays(
