@@ -152,6 +152,20 @@ def test_removed_substrings_of_equal_ids(spark, monkeypatch, texts):
     assert rows_of(found, "doc_id", "n_words", "n_removed", "kept_sha256") == Counter(brute.removed(rows))
 
 
+def test_texts_of_one_id_meet_their_own_lists_only(spark):
+    rows = [(d, f"text {i} of some words", "s") for d in (None, 7) for i in range(6)]
+    docs = data.documents(spark, rows + rows)
+    described = docs.select("doc_id", "text").mapInArrow(
+        substrings._describe, "doc_id bigint, n_words bigint, class bigint, digest string"
+    )
+    key = F.coalesce("doc_id", F.lit(substrings.NO_ID)).alias("id")
+    wanted = described.select(key, "class").distinct()
+    found = substrings._texts_of(docs.select(key, "text"), wanted)
+    pairs = Counter((r["id"], r["class"], r["text"]) for r in found.collect())
+    assert len(pairs) == len(rows)
+    assert sum(pairs.values()) <= 2 * len(rows)
+
+
 def test_suffix_automaton():
     rng = random.Random(0)
     for _ in range(200):
@@ -239,6 +253,25 @@ def test_mix_comes_near_its_targets(spark, monkeypatch, chunk):
         assert r["t"] == pytest.approx(sizes[r["source"]], rel=0.02)
 
 
+@pytest.mark.parametrize("texts", [1, 300])
+def test_mix_deals_rows_of_one_id_and_size(spark, monkeypatch, tmp_path, texts):
+    monkeypatch.setattr(mixing, "CHUNK_ROWS", 50)
+    whole, seen = mixing._round_chunk, str(tmp_path)
+
+    def noted(frame):
+        from uuid import uuid4
+
+        with open(f"{seen}/{uuid4()}", "w") as f:
+            f.write(str(len(frame)))
+        return whole(frame)
+
+    monkeypatch.setattr(mixing, "_round_chunk", noted)
+    docs = data.documents(spark, [(None, f"some words {i % texts}", "s") for i in range(300)])
+    assert mixing.mix(docs).count() == 300
+    sizes = [int(f.read_text()) for f in tmp_path.iterdir()]
+    assert sizes and max(sizes) <= 100
+
+
 # ------------------------------------------------------------------ sharding
 
 

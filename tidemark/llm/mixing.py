@@ -159,6 +159,7 @@ def mix(docs: DataFrame) -> DataFrame:
         "doc_id",
         "source",
         F.size(F.regexp_extract_all(text_or_empty(), F.lit(BLANK_WORD), F.lit(0))).cast("long").alias("size"),
+        F.xxhash64("text").alias("__text"),
     )
     sizes = staged(sizes, "mix-sizes")
     histogram = staged(sizes.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-histogram")
@@ -172,12 +173,21 @@ def mix(docs: DataFrame) -> DataFrame:
         .join(per_source.select(F.col("source").alias("p"), "rows"), F.col("source").eqNullSafe(F.col("p")))
         .select(F.col("source").alias("g"), "source_size", "target", "mean", "lam", "rows")
     )
-    order = F.xxhash64("doc_id", "size")
+    # Rows that are alike are counted and numbered in blocks, so that they are dealt as well.
+    last = F.col("n") - 1
+    numbered = (
+        sizes.groupBy("doc_id", "source", "size", "__text").agg(F.count("*").alias("n"))
+        .withColumn("__block", F.explode(F.sequence(F.lit(0), F.floor(last / CHUNK_ROWS))))
+        .withColumn("__first", F.col("__block") * CHUNK_ROWS)
+        .withColumn("__copy", F.explode(F.sequence("__first", F.least(last, F.col("__first") + CHUNK_ROWS - 1))))
+        .drop("n", "__block", "__first")
+    )
+    order = F.xxhash64("doc_id", "size", "__text", "__copy")
     rate = F.when(F.col("size") == 0, F.lit(0.0)).otherwise(
         tilted(F.col("size") / F.col("mean"), F.col("lam"))
     )
     rated = (
-        sizes.join(facts, F.col("source").eqNullSafe(F.col("g")))
+        numbered.join(facts, F.col("source").eqNullSafe(F.col("g")))
         .withColumn("rate", rate)
         .withColumn("__order", order)
         .withColumn("__chunk", F.pmod("__order", F.ceil(F.col("rows") / CHUNK_ROWS)))

@@ -443,7 +443,10 @@ def removed_spans(docs: DataFrame, described: DataFrame, classes: DataFrame) ->
 
 
 def _texts_of(identified: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``wanted`` (with an id) with the texts of that id; few other texts are shuffled."""
+    """``wanted`` (with an id and a class) with a text of that id and class; few other texts are shuffled.
+
+    Rows that repeat a text under one id count once in each batch, so a text may come several times.
+    """
     bits, _ = _wanted(wanted.select(F.col("id").alias("doc_id")))
     slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
 
@@ -452,12 +455,23 @@ def _texts_of(identified: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             at = batch.column("slot").to_numpy()
             keep = (on[at >> 6] >> (at & 63).astype(w.U)) & w.U(1)
-            yield batch.filter(pa.array(keep.astype(bool))).select(["key", "text"])
+            batch = batch.filter(pa.array(keep.astype(bool)))
+            for lo, hi, data, offsets in w.pieces(batch.column("text")):
+                words = w.find_words(data, offsets, lower=False)
+                keys = w.signed(w.mix(words.whole() + words.counts().astype(w.U)))
+                ids = batch.column("key").slice(lo, hi - lo).to_numpy()
+                order = np.lexsort((keys, ids))
+                new = np.ones(hi - lo, dtype=bool)
+                new[1:] = (ids[order][1:] != ids[order][:-1]) | (keys[order][1:] != keys[order][:-1])
+                one = pa.array(np.sort(order[new]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids), pa.array(keys), batch.column("text").slice(lo, hi - lo)], ["key", "of", "text"]
+                ).take(one)
 
     texts = identified.select(slot.alias("slot"), F.col("id").alias("key"), "text").mapInArrow(
-        chosen, "key bigint, text string"
+        chosen, "key bigint, of bigint, text string"
     )
-    return texts.join(wanted, F.col("key") == F.col("id")).drop("key")
+    return texts.join(wanted, (F.col("key") == F.col("id")) & (F.col("of") == F.col("class"))).drop("key", "of")
 
 
 def dedup_substrings(docs: DataFrame) -> DataFrame:
