@@ -88,14 +88,28 @@ def _staged_paths() -> list:
     def clear() -> None:
         for spark, path in paths:
             with suppress(Exception):  # the session may be gone
-                conf = spark._jsc.hadoopConfiguration()
-                p = spark._jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(conf).delete(p, True)
+                _delete(spark, path)
 
     atexit.register(clear)
     return paths
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def remember(spark: SparkSession, path: str) -> None:
+    """Has a folder deleted when the process ends."""
+    _staged_paths().append((spark, path))
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Deletes a remembered folder now."""
+    _delete(spark, path)
+    _staged_paths()[:] = [kept for kept in _staged_paths() if kept[1] != path]
+
+
 def stage(df: DataFrame, label: str = "staged") -> DataFrame:
     """The frame written as Parquet to the shared folder and read back.
 
@@ -111,5 +125,5 @@ def stage(df: DataFrame, label: str = "staged") -> DataFrame:
         return df.checkpoint()
     path = scratch_dir(spark, label)
     df.write.parquet(path)
-    _staged_paths().append((spark, path))
+    remember(spark, path)
     return spark.read.schema(df.schema).parquet(path)
