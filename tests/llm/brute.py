@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from itertools import product
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -174,3 +175,101 @@ def cheapest_repair(roles, merge, insert, relabel, known):
         cost += {"system": 2 * insert, "user": insert, "assistant": 0, "start": 0}[state]
         best = cost if best is None else min(best, cost)
     return best
+
+
+def aligned(rows):
+    """{(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups)} of [(doc_id, text)], whole texts at once."""
+    import public_tokenizers
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    b = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    code = {chr(x): x for x in printable}
+    code |= {chr(256 + i): x for i, x in enumerate(x for x in range(256) if x not in printable)}
+
+    def of_b(i):
+        piece = b.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("▁", " ").encode()
+
+    found, counts = [], Counter()
+    for doc, text in rows:
+        ids_a, ids_b, groups, links = [], [], [], []
+        if text:
+            ids_a = a.encode(" " + text, add_special_tokens=False).ids
+            ids_b = b.encode(text)
+            bytes_a = [bytes(code[c] for c in a.id_to_token(i)) for i in ids_a]
+            bytes_b = [of_b(i) for i in ids_b]
+            if not b"".join(bytes_a) == b"".join(bytes_b) == (" " + text).encode():
+                ids_a = ids_b = []
+        if ids_a:
+            i = j = i0 = j0 = at_a = at_b = 0
+            while i < len(ids_a):
+                at_a += len(bytes_a[i])
+                i += 1
+                while at_b < at_a:
+                    at_b += len(bytes_b[j])
+                    j += 1
+                if at_a == at_b:
+                    groups.append(",".join(map(str, ids_a[i0:i])) + "|" + ",".join(map(str, ids_b[j0:j])))
+                    links.append((ids_a[i - 1], ids_b[j - 1]))
+                    i0, j0 = i, j
+        counts.update(links)
+        found.append((doc, len(ids_a), len(ids_b), ";".join(groups), links))
+    best = Counter()
+    for (_, y), n in counts.items():
+        best[y] = max(best[y], n)
+    return [
+        (doc, n_a, n_b, len(links), len(links), sum(counts[x] == best[x[1]] for x in links),
+         sum(counts[x] for x in links), groups)
+        for doc, n_a, n_b, groups, links in found
+    ], counts
+
+
+def phrases(rows, threshold=10, covered=50, top=2000):
+    """[(lang, rank, phrase, a, l, r, n, score)] of [(lang, text)]."""
+    counted = {}
+    for lang, text in rows:
+        f = counted.setdefault("und" if lang is None else lang, [Counter() for _ in range(4)])
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            for k in (1, 2, 3):
+                f[k].update(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+    out = []
+    for lang, f in counted.items():
+        kept = []
+        for k in (2, 3):
+            for phrase, a in f[k].items():
+                if a < threshold:
+                    continue
+                if k == 2 and any(phrase in (x[:2], x[1:]) and 100 * m >= covered * a for x, m in f[3].items() if m >= threshold):
+                    continue
+                cuts = [(1_000_000 * a * a // (f[j][phrase[:j]] * f[k - j][phrase[j:]]), j) for j in range(1, k)]
+                score, j = min(cuts)
+                kept.append((-score, -a, " ".join(phrase).encode(), f[j][phrase[:j]], f[k - j][phrase[j:]]))
+        n = sum(f[1].values())
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(kept)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n, -score))
+    return out
+
+
+def tokenized(text, vocabulary="word_bpe_49k.json", end=1):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    made = Tokenizer.from_file(public_tokenizers.path(vocabulary))
+    return [*made.encode(text or "", add_special_tokens=False).ids, end]
+
+
+def best_fit(lengths, room):
+    """Sequences that best fit decreasing needs, piece by piece."""
+    left = []
+    for n in sorted(lengths, reverse=True):
+        fitting = [i for i, x in enumerate(left) if x >= n]
+        if fitting:
+            left[min(fitting, key=lambda i: left[i])] -= n
+        else:
+            left.append(room - n)
+    return len(left)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tidemark.session import scratch_dir, settle
+from tidemark.session import forget, remember, scratch_dir, settle
 
 BLANK_WORD = r"[^\x20\x09-\x0D]+"
 
@@ -29,16 +29,25 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, partition_by: list[str] = ()) -> DataFrame:
     """The frame written as Parquet to the shared folder and read back.
 
     Later passes read it, so they see the same rows, and a lost executor costs only
-    the tasks that it ran.
+    the tasks that it ran. The folder is deleted by ``discard`` or when the process ends.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, f"llm-{label}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.parquet(path, partitionBy=list(partition_by) or None)
+    remember(spark, path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.staged_at = path
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes the folders of staged frames that nothing reads any more."""
+    for df in frames:
+        forget(df.sparkSession, df.staged_at)
 
 
 def number_rows(df: DataFrame, group: str, order: list[str], rows: int, into: str) -> DataFrame:

@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, mixing, ngram_join, privacy, rules, shards, substrings, warc, weak_labels, winnowing
+from tidemark.llm import (
+    alignment,
+    chat,
+    collocations,
+    mixing,
+    ngram_join,
+    packing,
+    privacy,
+    rules,
+    shards,
+    substrings,
+    warc,
+    weak_labels,
+    winnowing,
+)
 from tidemark.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,3 +203,46 @@ def op6_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_labels.classify(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents")).documents
+
+
+PHRASES = collocations.Spec()
+PHRASES_SQL = f"""
+WITH d AS (SELECT COALESCE(lang, 'und') AS lang, row_number() OVER () AS row,
+                  regexp_split_to_array(translate(COALESCE(text, ''), {CAPITALS_SQL}), '[.,;:!?\x0A-\x0D]') AS pieces
+           FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') AS w FROM d),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+      FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM p, (VALUES (1), (2), (3)) AS sizes(k) WHERE len(w) >= k)
+      GROUP BY ALL),
+total AS (SELECT lang, sum(f) AS n FROM g WHERE k = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM g WHERE k > 1 AND f >= {PHRASES.threshold}),
+cut AS (
+    SELECT c.lang, c.phrase, c.k, c.f AS a, l.f AS l, r.f AS r, j,
+           (CAST(c.f AS HUGEINT) * c.f * 1000000) // (CAST(l.f AS HUGEINT) * r.f) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+    JOIN g l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:j], ' ')
+    JOIN g r ON r.lang = c.lang AND r.phrase = array_to_string(w[j + 1:], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+kept AS (
+    SELECT * FROM best b WHERE NOT EXISTS (
+        SELECT 1 FROM c x WHERE x.lang = b.lang AND x.k = 3 AND b.k = 2
+                          AND b.phrase IN (array_to_string(x.w[1:2], ' '), array_to_string(x.w[2:3], ' '))
+                          AND 100 * x.f >= {PHRASES.covered_percent} * b.a))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept JOIN total USING (lang) QUALIFY rank <= {PHRASES.top}"""
+
+
+@query(PHRASES_SQL)
+def op12_phrase_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), PHRASES)
+
+
+@query()
+def op13_length_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
