@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -131,11 +131,11 @@ def solve(histogram: DataFrame, goals: DataFrame, most: int = MOST) -> DataFrame
     return state.select("source", "mean", "lam")
 
 
-def _round_chunk(frame: pd.DataFrame) -> pd.DataFrame:
+def _round_chunk(chunk: pa.Table) -> pa.Table:
     """Whole copies, from large to small; what rounding leaves open passes to the next."""
-    frame = frame.sort_values(["size", "__order"], ascending=[False, True], kind="stable")
+    chunk = chunk.sort_by([("size", "descending"), ("__order", "ascending")])
     carry, copies = 0.0, []
-    for size, rate in zip(frame["size"].tolist(), frame["rate"].tolist(), strict=True):
+    for size, rate in zip(chunk["size"].to_pylist(), chunk["rate"].to_pylist(), strict=True):
         if size == 0:
             copies.append(0)
             continue
@@ -143,7 +143,8 @@ def _round_chunk(frame: pd.DataFrame) -> pd.DataFrame:
         n = min(MOST, max(0, math.floor(wanted / size + 0.5)))
         carry = wanted - n * size
         copies.append(n)
-    return frame.assign(copies=copies)[["doc_id", "source", "size", "rate", "copies"]]
+    chunk = chunk.select(["doc_id", "source", "size", "rate"])
+    return chunk.append_column("copies", pa.array(copies, pa.int64()))
 
 
 def mix(docs: DataFrame) -> DataFrame:
@@ -153,7 +154,10 @@ def mix(docs: DataFrame) -> DataFrame:
     source are dealt by hash into chunks; each chunk rounds its rates so that its words
     differ from the wanted ones by less than its smallest documents, so reruns agree
     and no source sits in one task. Repeated rows count as documents of their own,
-    a NULL source is a source, a table without words takes nothing.
+    a NULL source is a source, a table without words takes nothing, an empty one gives no
+    rows. Ids keep their type and value, NULL beside large ones included. Of a text, however
+    long, only its number of words and a hash are kept; columns but doc_id, source and text
+    are not read, so their names cannot clash.
     """
     sizes = docs.select(
         "doc_id",
@@ -192,10 +196,11 @@ def mix(docs: DataFrame) -> DataFrame:
         .withColumn("__order", order)
         .withColumn("__chunk", F.pmod("__order", F.ceil(F.col("rows") / CHUNK_ROWS)))
     )
-    schema = "doc_id bigint, source string, size bigint, rate double, copies bigint"
+    kinds = dict(docs.dtypes)
+    schema = f"doc_id {kinds['doc_id']}, source {kinds['source']}, size bigint, rate double, copies bigint"
     rounded = rated.select("doc_id", "source", "size", "rate", "__order", "__chunk").groupBy(
         "source", "__chunk"
-    ).applyInPandas(_round_chunk, schema)
+    ).applyInArrow(_round_chunk, schema)
     return rounded.join(facts.drop("rows", "mean", "lam"), F.col("source").eqNullSafe(F.col("g"))).select(
         "doc_id", "source", "size", "source_size", "target", "rate", "copies",
         (F.col("copies") * F.col("size")).alias("taken"),

@@ -48,12 +48,13 @@ def op5_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _broken_sql(rules_) -> str:
-    return " OR ".join(f"COALESCE({m} {c} {t} AND n_words >= {w}, FALSE)" for m, c, t, w in rules_)
+    known = f" AND list_contains({rules.LANGUAGES}, lang)"
+    return " OR ".join(f"COALESCE({m} {c} {t} AND n_words >= {w}{known * one}, FALSE)" for m, c, t, w, one in rules_)
 
 
 RULES_SQL = f"""
 WITH split AS (
-    SELECT doc_id, COALESCE(text, '') AS t,
+    SELECT doc_id, lang, COALESCE(text, '') AS t,
            regexp_extract_all(COALESCE(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
            list_filter(string_split(COALESCE(text, ''), chr(10)),
                        lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
@@ -67,7 +68,7 @@ covered AS (
     FROM (SELECT doc_id, i, unnest(range(0, {rules.WINDOW})) AS j FROM runs JOIN twice USING (doc_id, run))
     GROUP BY doc_id),
 measured AS (
-    SELECT s.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+    SELECT s.doc_id, lang, CAST(len(words) AS BIGINT) AS n_words,
            CAST(COALESCE(list_sum(list_transform(words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
            CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
            length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_capitals,

@@ -13,7 +13,9 @@ from tidemark.llm.frames import BLANK_WORD, text_or_empty
 
 WINDOW = 8
 
-# Frequent function words of the languages that the corpus is meant to hold.
+# Frequent function words of LANGUAGES. Rules on words can only judge these languages;
+# others may have no such words, or write no blanks between words.
+LANGUAGES = ["en", "de", "fr", "es"]
 STOP_WORDS = [
     "the", "of", "and", "to", "a", "in", "is", "that", "for", "with", "was", "on", "as", "are", "by", "an", "at",
     "der", "die", "das", "und", "ist", "ein", "eine", "von", "zu", "den", "für", "nicht", "mit", "des", "im",
@@ -25,19 +27,20 @@ SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANKS = " \t\n\x0b\x0c\r"
 
-# What a document is rejected for: measure, comparison, threshold, and the number of
-# words from which on the rule applies (ratios of short texts say little).
+# What a document is rejected for: measure, comparison, threshold, the number of words from
+# which on the rule applies (ratios of short texts say little), and whether only texts whose
+# ``lang`` is one of LANGUAGES are judged by it.
 BASE_RULES = [
-    ("n_words", "<", 20, 0),
-    ("repeat_percent", ">", 30, 0),
+    ("n_words", "<", 20, 0, False),
+    ("repeat_percent", ">", 30, 0, False),
 ]
 RULES = [
-    ("mean_word_chars", "<", 1.5, 0),
-    ("mean_word_chars", ">", 30.0, 0),
-    ("symbol_ratio", ">", 0.25, 0),
-    ("capital_ratio", ">", 0.6, 0),
-    ("dup_line_ratio", ">", 0.6, 0),
-    ("stop_word_ratio", "<", 0.002, 300),
+    ("mean_word_chars", "<", 1.5, 0, False),
+    ("mean_word_chars", ">", 30.0, 0, True),
+    ("symbol_ratio", ">", 0.25, 0, False),
+    ("capital_ratio", ">", 0.6, 0, False),
+    ("dup_line_ratio", ">", 0.6, 0, False),
+    ("stop_word_ratio", "<", 0.002, 300, True),
 ]
 
 
@@ -89,10 +92,13 @@ def repeat_words(words: Column, n_words: Column, window: int = WINDOW) -> Column
 def _compiled(rules) -> Column:
     """TRUE where any rule of the table rejects."""
     failed = F.lit(False)
-    for measure, comparison, threshold, words in rules:
+    for measure, comparison, threshold, words, by_language in rules:
         value = F.col(f"__{measure}")
         broken = value < threshold if comparison == "<" else value > threshold
-        failed = failed | F.coalesce(broken & (F.col("__n_words") >= words), F.lit(False))
+        applies = F.col("__n_words") >= words
+        if by_language:
+            applies = applies & F.col("__known")
+        failed = failed | F.coalesce(broken & applies, F.lit(False))
     return failed
 
 
@@ -102,12 +108,14 @@ def judge(docs: DataFrame, base=BASE_RULES, rules=RULES) -> DataFrame:
     A NULL text is empty: it has no words and is rejected by the base rules, as is any
     text of blanks. Ratios without a denominator are NULL and reject nothing. Repeated
     rows are judged alike, and columns of ``docs`` with the names of the measures are
-    replaced. Texts are read whole, however long.
+    replaced. Texts are read whole, however long. Where ``lang`` is NULL, missing or none of
+    LANGUAGES, the rules that need a language reject nothing. An empty table gives no rows.
     """
     text = F.col("__text")
     lines = F.filter(F.split("__text", "\n"), lambda x: F.length(F.translate(x, BLANKS, "")) > 0)
     out = (
         docs.withColumn("__text", text_or_empty())
+        .withColumn("__known", F.col("lang").isin(LANGUAGES) if "lang" in docs.columns else F.lit(False))
         .withColumn("__words", F.regexp_extract_all("__text", F.lit(BLANK_WORD), F.lit(0)))
         .withColumn("__lines", lines)
         .withColumn("__n_words", F.size("__words").cast("long"))
@@ -139,7 +147,8 @@ def judge(docs: DataFrame, base=BASE_RULES, rules=RULES) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no rule rejects, with their own columns only."""
-    judged = judge(docs.select(F.struct(*docs.columns).alias("__doc_"), "text"))
+    language = ["lang"] if "lang" in docs.columns else []
+    judged = judge(docs.select(F.struct(*docs.columns).alias("__doc_"), "text", *language))
     # A filter on a row number stays above the measures. Without it, the optimizer would
     # write the measures into the filter, once for every place that uses them.
     numbered = judged.withColumn("row", F.monotonically_increasing_id())

@@ -2,7 +2,7 @@
 
 The tree starts with all documents and splits every node along its widest metadata
 dimension at a weighted median, until each leaf is one shard with its share of the
-bytes. A dimension is a coordinate with a hash of the document below it, one 62-bit
+bytes. A dimension is a coordinate with a hash of the row's number below it, one 62-bit
 key that can be cut anywhere, so a source or a size that a third of the rows share
 is split like any other. Medians come from histograms of all nodes of a level at
 once, refined until one bucket holds next to nothing. Only histograms, of bounded
@@ -40,6 +40,7 @@ def describe(docs: DataFrame) -> DataFrame:
     """Metadata that the tree works on; NULL texts are empty."""
     text = text_or_empty()
     base = docs.select(
+        F.monotonically_increasing_id().alias("row"),
         "doc_id",
         "source",
         "lang",
@@ -48,8 +49,9 @@ def describe(docs: DataFrame) -> DataFrame:
     )
     keys = {}
     for at, name in enumerate(DIMENSIONS):
-        # Each dimension breaks ties by another hash, so cuts along two of them differ.
-        tie = F.shiftrightunsigned(F.xxhash64("doc_id", "text_crc32", "size", F.lit(at)), 32)
+        # Each dimension breaks ties by another hash, so cuts along two of them differ. The row
+        # number keeps rows that repeat each other apart.
+        tie = F.shiftrightunsigned(F.xxhash64("row", F.lit(at)), 32)
         keys[f"k{at}"] = F.shiftleft(_coordinate(name), 32).bitwiseOR(tie)
     return base.withColumns(keys).drop("source", "lang")
 
@@ -161,13 +163,15 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
     The law is ``bytes``: shards get nearly equal bytes, within what whole documents
     allow, counting 16 bytes per document besides its text. NULL texts count as empty,
-    NULL ids and metadata as values. Repeated rows have equal keys and stay together.
-    Slots number a shard's rows from 0 without gaps; an empty table gives no rows.
+    NULL ids and metadata as values. Rows that repeat each other have keys of their own,
+    so the law holds however many there are. Of a text, however long, only its bytes and checksum
+    are kept; columns but doc_id, text, source and lang are not read, so their names
+    cannot clash. Slots number a shard's rows from 0 without gaps; an empty table gives no rows.
     """
     meta = staged(describe(docs), "shard-meta")
     tree = grow(meta, shards)
-    placed = meta.withColumn("shard", tree.shard().cast("int")).select("doc_id", "size", "text_crc32", "shard")
-    numbered = number_rows(placed, "shard", ["doc_id", "text_crc32", "size"], SLOT_ROWS, "slot")
+    placed = meta.withColumn("shard", tree.shard().cast("int")).select("row", "doc_id", "size", "text_crc32", "shard")
+    numbered = number_rows(placed, "shard", ["row"], SLOT_ROWS, "slot")
     return numbered.select(
         "doc_id",
         "size",

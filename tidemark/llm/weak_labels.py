@@ -254,8 +254,9 @@ def classify(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, score (probability of good quality), kept (score of KEEP or more).
 
     NULL and empty texts score 0. Repeated rows score alike and come out as often as
-    they go in; ties among the hashes that choose training rows are broken by doc_id. An
-    empty table gives no rows. Only doc_id and text are read.
+    they go in, but train once. Texts are read whole, however long, a megabyte's arrays at a
+    time. An empty table gives no rows. Only doc_id and text are read, so names of other
+    columns cannot clash.
     """
     spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
@@ -272,13 +273,15 @@ def classify(docs: DataFrame) -> DataFrame:
     labels = spark.createDataFrame(
         [([int(x) for x in v], float(g)) for v, g in zip(votes, good, strict=True)], "votes array<tinyint>, good double"
     )
-    # The hash below which TRAIN_ROWS documents lie.
-    chosen = voted.select("dealt", "votes").orderBy("dealt").limit(TRAIN_ROWS).join(F.broadcast(labels), "votes")
-    chosen = chosen.select(F.col("dealt").alias("d"), "good").dropDuplicates(["d"])
+    # The TRAIN_ROWS smallest of the different hashes; rows that repeat each other train once.
+    distinct = voted.groupBy("dealt").agg(F.first("votes").alias("votes"))
+    chosen = distinct.orderBy("dealt").limit(TRAIN_ROWS).join(F.broadcast(labels), "votes")
+    chosen = chosen.select(F.col("dealt").alias("d"), "good")
     labelled = staged(
         docs.select(dealt.alias("dealt"), "text")
         # At most TRAIN_ROWS rows of two numbers.
         .join(F.broadcast(chosen), F.col("dealt") == F.col("d"))
+        .groupBy("dealt").agg(F.first("good").alias("good"), F.first("text").alias("text"))
         .select("good", "text")
         .mapInArrow(_featured, "good double, feature array<int>, value array<double>"),
         "weak-features",
