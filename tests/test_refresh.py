@@ -163,3 +163,89 @@ def test_update_where(spark):
     df = spark.createDataFrame([("orders", 1), ("other", 2)], "name string, stamp long")
     out = refresh.update_where(df, "name = 'orders'", {"stamp": F.lit(9)})
     assert {r["name"]: r["stamp"] for r in out.collect()} == {"orders": 9, "other": 2}
+
+
+# ---------------------------------------------------------------- stored windows
+
+
+@pytest.fixture
+def days(spark, new_path):
+    """Three months of days, each with a value that is out of date."""
+    target = VersionedTable(spark, new_path("days"), ["month"])
+    rows = spark.sql("SELECT explode(sequence(DATE '2024-01-01', DATE '2024-03-31')) AS day")
+    source = rows.select("day", F.lit(1).alias("v"), F.date_format("day", "yyyy-MM").alias("month"))
+    target.append(source.withColumn("v", F.lit(0)).unionByName(source.limit(1).withColumns(
+        {"day": F.lit(None).cast("date"), "v": F.lit(7), "month": F.lit("none")})))
+    return target, source
+
+
+def values(target):
+    return {r["day"]: r["v"] for r in target.read().collect()}
+
+
+def test_stored_window_leaves_other_files_alone(days):
+    target, source = days
+    before = target.manifest().slots
+    window = "day >= DATE '2024-02-10'"
+    slots = refresh.replace_where_stored(target, window, source, ("w", "1"))
+    after = target.manifest().slots
+    assert sorted(slots) == ["month=2024-02", "month=2024-03"]
+    assert all(after[s] == before[s] for s in ("month=2024-01", "month=none"))
+    for day, v in values(target).items():
+        assert v == (7 if day is None else int(day >= dt.date(2024, 2, 10)))
+    assert refresh.replace_where_stored(target, window, source, ("w", "1")) == []
+    assert target.read().count() == 92
+
+
+def test_stored_window_takes_rows_of_the_window_only(days):
+    target, source = days
+    moved = source.withColumn("day", F.date_add("day", 365)).withColumn("month", F.date_format("day", "yyyy-MM"))
+    slots = refresh.replace_where_stored(target, "day >= DATE '2024-03-20'", moved.unionByName(source))
+    assert slots == ["month=2024-03"]
+    found = values(target)
+    assert len(found) == 92 + 90 + 1 and found[dt.date(2024, 3, 19)] == 0 and found[dt.date(2025, 3, 31)] == 1
+
+
+def test_full_refresh_brings_back_the_window_only(days):
+    target, source = days
+    with pytest.raises(PermissionError, match="may not be reset"):
+        refresh.full_refresh_window(target, "day >= DATE '2024-03-20'", source, reset_allowed=False)
+    refresh.full_refresh_window(target, "day >= DATE '2024-03-20'", source)
+    assert values(target) == {dt.date(2024, 3, 20 + i): 1 for i in range(12)}
+
+
+def test_stored_update_rewrites_its_slots_and_moves_rows(days):
+    target, _ = days
+    before = target.manifest().slots
+    slots = refresh.update_stored(target, "day = DATE '2024-02-05'", {"v": F.lit(9), "month": F.lit("moved")}, ("u", "1"))
+    after = target.manifest().slots
+    assert slots == ["month=2024-02"] and "month=moved" in after
+    assert all(after[s] == before[s] for s in ("month=2024-01", "month=2024-03", "month=none"))
+    assert values(target)[dt.date(2024, 2, 5)] == 9 and target.read().count() == 92
+    assert refresh.update_stored(target, "v = 12345", {"v": F.lit(0)}, ("u", "2")) == []
+    assert target.has_txn("u", "2")
+
+
+def test_window_of_an_unpartitioned_table(spark, new_path):
+    target = VersionedTable(spark, new_path("flat"))
+    target.append(spark.range(10).select("id", F.lit(0).alias("v")))
+    source = spark.range(20).select("id", F.lit(1).alias("v"))
+    assert refresh.replace_where_stored(target, "id >= 100", source) == []
+    refresh.replace_where_stored(target, "id >= 8", source)
+    assert {r["id"]: r["v"] for r in target.read().collect()} == {i: int(i >= 8) for i in range(20)}
+
+
+# ---------------------------------------------------------------- sketches
+
+
+def test_sketches_add_up_within_their_error(spark):
+    """Values that several days share count once; 4 standard errors of 2 ** 12 slots are 6.5%."""
+    rows = spark.range(60_000).select((F.col("id") % 30).alias("day"), (F.hash("id") % 20_000).alias("v"))
+    daily = gold.distinct_sketches(rows, ["day"], "v")
+    whole = gold.distinct_estimates(gold.merge_sketches(daily, [F.lit("all").alias("period")]), "n").first()
+    exact = rows.select("v").distinct().count()
+    assert abs(whole["n"] - exact) <= 0.065 * exact
+    for r in gold.distinct_estimates(daily, "n").join(rows.groupBy("day").agg(F.countDistinct("v").alias("m")), "day").collect():
+        assert abs(r["n"] - r["m"]) <= 0.065 * r["m"]
+    plan = gold.merge_sketches(daily, ["day"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "hll_union_agg" in plan

@@ -7,6 +7,7 @@ a table is declared by its owner, not planned here:
 - groups: any aggregate, by recomputing the groups that the change touches
 - merge: SUM, COUNT and AVG (as sum and count), MIN and MAX for inserts
 - partitions, replace_where: windows of a date or other partition column
+- signed changes: joins, value counts and top rows in ``plans.maintained``
 - full: everything else, for instance rankings over a whole table
 """
 
@@ -171,6 +172,65 @@ def replace_where(target: DataFrame, predicate: str | Column, source: DataFrame)
     return kept.unionByName(source.filter(window).select(*target.columns))
 
 
+def slots_where(target: VersionedTable, condition: str | Column) -> list[str]:
+    """The slots of a stored table that hold rows for which a condition is TRUE.
+
+    Partition values and file statistics rule most files out before they are read. There are no
+    more names to gather than slots.
+    """
+    matched = F.expr(condition) if isinstance(condition, str) else condition
+    rows = target.read().filter(matched)
+    if not target.partition_by:
+        return [] if rows.isEmpty() else target.slots()
+    return [target.slot(*r) for r in rows.select(*target.partition_by).distinct().collect()]
+
+
+def replace_where_stored(
+    target: VersionedTable, predicate: str | Column, source: DataFrame, txn: tuple[str, str] | None = None
+) -> list[str]:
+    """Recomputes the window of a stored table in one commit; returns the slots it rewrote.
+
+    Slots without a row of the window keep their files. Those within it are replaced, those on its
+    border by row: what is outside the window, or for which the predicate is NULL, stays. Rows of the
+    source, by name, outside the window are not taken.
+    """
+    if txn and target.has_txn(*txn):
+        return []
+    window = F.expr(predicate) if isinstance(predicate, str) else predicate
+    slots = slots_where(target, window)
+    kept = target.read(slots).filter(~F.coalesce(window, F.lit(False)))
+    fresh = source.filter(window).select(*kept.columns)
+    target.replace_slots(kept.unionByName(fresh), slots, txn=txn, cluster=True)
+    return slots
+
+
+def full_refresh_window(
+    target: VersionedTable, predicate: str | Column, source: DataFrame, reset_allowed: bool = True
+) -> None:
+    """A full refresh of a table with a window: all rows go, and only the window comes back."""
+    if not reset_allowed:
+        raise PermissionError(f"{target.path} may not be reset: rows outside the window would be lost")
+    window = F.expr(predicate) if isinstance(predicate, str) else predicate
+    target.replace(source.filter(window).select(*target.schema().names), cluster=True)
+
+
+def update_stored(
+    target: VersionedTable, condition: str | Column, values: dict[str, Column], txn: tuple[str, str] | None = None
+) -> list[str]:
+    """UPDATE ... SET ... WHERE on a stored table; rewrites the slots that hold such rows only.
+
+    Rows whose partition values change move to the slots of the new ones.
+    """
+    if txn and target.has_txn(*txn):
+        return []
+    slots = slots_where(target, condition)
+    if slots:
+        target.replace_slots(update_where(target.read(slots), condition, values), slots, txn=txn, cluster=True)
+    elif txn:
+        target.mark(*txn)
+    return slots
+
+
 def update_where(df: DataFrame, condition: str | Column, values: dict[str, Column]) -> DataFrame:
     """UPDATE ... SET ... WHERE as a projection."""
     matched = F.expr(condition) if isinstance(condition, str) else condition

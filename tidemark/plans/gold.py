@@ -154,6 +154,26 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+# ---------------------------------------------------------------- distinct counts that add up
+
+# Sketches have 2 ** SKETCH_BITS slots: a standard error of about 1.04 / sqrt(2 ** SKETCH_BITS).
+SKETCH_BITS = 12
+
+
+def distinct_sketches(df: DataFrame, groups: list[str], column: str, bits: int = SKETCH_BITS) -> DataFrame:
+    """Per group a sketch of a column's different values, of fixed size however many there are."""
+    return df.groupBy(*groups).agg(F.hll_sketch_agg(column, bits).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, groups: list) -> DataFrame:
+    """Sketches of coarser groups from those of finer ones; values in several count once."""
+    return sketches.groupBy(*groups).agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def distinct_estimates(sketches: DataFrame, into: str) -> DataFrame:
+    return sketches.withColumn(into, F.hll_sketch_estimate("sketch")).drop("sketch")
+
+
 # ---------------------------------------------------------------- parameterised report
 
 REPORT_SCHEMA = T.StructType(

@@ -459,15 +459,16 @@ def top5_spenders(spark, sf):
 
 @query(
     with_views(
-        "orders_enriched",
-        then="""SELECT customer_state, COUNT(DISTINCT customer_id) AS customers, COUNT(*) AS orders,
-                CAST(SUM(line_total) AS DOUBLE) AS revenue FROM orders_enriched
-                WHERE customer_state IS NOT NULL GROUP BY customer_state
-                ORDER BY SUM(line_total) DESC, customer_state LIMIT 10""",
+        "raw_orders", "raw_customers",
+        then=f"""SELECT c.state AS customer_state, COUNT(DISTINCT o.customer_id) AS customers, COUNT(*) AS orders,
+                CAST(SUM({LINE_TOTAL}) AS DOUBLE) AS revenue
+                FROM raw_orders o JOIN raw_customers c ON o.customer_id = c.customer_id
+                WHERE c.state IS NOT NULL GROUP BY c.state
+                ORDER BY SUM({LINE_TOTAL}) DESC, c.state LIMIT 10""",
     )
 )
 def state_leaderboard(spark, sf):
-    return plain(gold.state_leaderboard(typed_orders(spark, sf), active_customers(spark, sf)))
+    return plain(gold.state_leaderboard(typed_orders(spark, sf), raw_customers(spark, sf)))
 
 
 def _report_sql(dimension: str) -> str:
