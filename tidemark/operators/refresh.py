@@ -72,7 +72,7 @@ def refresh_rows(
 
 def touched_slots(target: VersionedTable, rows: DataFrame) -> list[str]:
     if not target.partition_by:
-        return target.slots()
+        return [] if rows.isEmpty() else target.slots()
     found = rows.select(*target.partition_by).distinct().collect()
     return [target.slot(*r) for r in found]
 
@@ -83,14 +83,16 @@ def refresh_dimension_change(
     keys: list[str],
     enrich: Callable[[DataFrame], DataFrame],
     txn: tuple[str, str] | None = None,
+    within: list[str] | None = None,
 ) -> None:
     """Enriches again the stored rows whose dimension row changed.
 
     Only the slots that hold such rows are rewritten; ``enrich`` takes rows of the
-    target and returns them with fresh dimension columns.
+    target and returns them with fresh dimension columns. ``within`` names the slots that
+    can hold such rows, where that is known; no others are read.
     """
     changed = staged_keys(changed_keys.select(*keys).distinct())
-    slots = touched_slots(target, target.read().join(changed, keys, "left_semi"))
+    slots = touched_slots(target, target.read(within).join(changed, keys, "left_semi"))
     if not slots:
         if txn:
             target.mark(*txn)

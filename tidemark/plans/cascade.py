@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import refresh as rf
 from tidemark.operators.cdc import ChangeSpec
-from tidemark.operators.joins import keep_best
+from tidemark.operators.joins import keep_best, null_safe_join, staged_keys
 from tidemark.plans import gold, silver
 from tidemark.session import stage
 from tidemark.sources.files import require_columns
 from tidemark.sources.ingest import FileIngest
-from tidemark.storage.versioned import GEN, VersionedTable
+from tidemark.storage.versioned import GEN, GRACE_SECONDS, VersionedTable
 from tidemark.streaming.changes import ChangeTarget
 
 CUSTOMER_HINTS = {"zip_code": "string", "last_name": "string"}
@@ -35,6 +35,9 @@ NO_ORDERS = (
 )
 FEEDBACK = ["feedback_id", "customer_id", "order_id", "feedback_date", "rating", "feedback_text", "channel"]
 NO_PRODUCTS = "product_id long, product_name string, category string, brand string, list_price double"
+# Refreshes after which small generations are merged and superseded files removed.
+UPKEEP_EVERY = 8
+SMALL_BYTES = 128 << 20
 REVENUE = {
     "total_orders": ("count", "1"),
     "total_revenue": ("sum", "line_total"),
@@ -50,8 +53,9 @@ class RetailCascade:
         period: str = "yyyy-MM",
         policy: str = "AUTO",
         glob: str = "*.csv",
+        grace_seconds: float = GRACE_SECONDS,
     ):
-        self.spark, self.period, self.policy = spark, period, policy
+        self.spark, self.period, self.policy, self.grace = spark, period, policy, grace_seconds
 
         def raw(name: str, hints: dict[str, str] | None = None) -> FileIngest:
             target = VersionedTable(spark, f"{root}/raw/{name}")
@@ -74,9 +78,12 @@ class RetailCascade:
             spark, f"{root}/customers_history", ChangeSpec.of(**spec, scd_type=2)
         )
         self.enriched = VersionedTable(spark, f"{root}/orders_enriched", ["order_period"])
+        # Which periods the orders of a customer or product lie in.
+        self.placed = VersionedTable(spark, f"{root}/orders_enriched_keys", ["kind"])
         self.revenue = VersionedTable(spark, f"{root}/revenue_by_category_parts")
         self.daily = VersionedTable(spark, f"{root}/daily_sales_summary", ["order_period"])
-        self.feedback_enriched = VersionedTable(spark, f"{root}/feedback_enriched")
+        self.feedback_enriched = VersionedTable(spark, f"{root}/feedback_enriched", ["feedback_period"])
+        self.feedback_parts = VersionedTable(spark, f"{root}/feedback_by_category_parts", ["feedback_period"])
         self.feedback_summary = VersionedTable(spark, f"{root}/feedback_by_category")
         self.reports = VersionedTable(spark, f"{root}/feedback_reports")
 
@@ -116,10 +123,35 @@ class RetailCascade:
         with_customer = silver.add_customer(rows, self._customers())
         return silver.add_product(with_customer, self._products())
 
-    def _shown_otherwise(self, rows: DataFrame, key: str, fresh: Callable, shown: list[str]) -> DataFrame:
+    def _slots_of(self, key: str, keys: DataFrame) -> list[str]:
+        """The slots of enriched orders that can hold rows with these keys."""
+        known = self.placed.read([self.placed.slot(key)]).filter(F.col("kind") == key)
+        periods = known.join(keys.withColumnRenamed(key, "key"), "key", "left_semi").select("order_period").distinct()
+        return [self.enriched.slot(r[0]) for r in periods.collect()]
+
+    def _place(self, fresh: DataFrame, txn: tuple[str, str]) -> None:
+        """Notes the periods of new orders per key, before the orders themselves appear."""
+        table = self.placed
+        if table.exists() and table.has_txn(*txn):
+            return
+        dated = silver.orders_enriched(fresh).withColumn("order_period", self._period())
+        pairs = reduce(
+            DataFrame.unionByName,
+            [
+                dated.select(F.lit(key).alias("kind"), F.col(key).cast("string").alias("key"), "order_period").distinct()
+                for key in ("customer_id", "product_id")
+            ],
+        )
+        if table.exists():
+            pairs = null_safe_join(pairs, table.read(), ["kind", "key", "order_period"], "left_anti")
+        table.append(pairs, txn=txn, cluster=True)
+
+    def _shown_otherwise(
+        self, rows: DataFrame, key: str, fresh: Callable, shown: list[str], slots: list[str]
+    ) -> DataFrame:
         """Keys among the delivered rows whose stored orders show other values than they should."""
         keys = rows.select(key).distinct()
-        old = self.enriched.read().select(key, *shown).join(keys, key, "left_semi").distinct()
+        old = self.enriched.read(slots).select(key, *shown).join(keys, key, "left_semi").distinct()
         new = fresh(keys).select(key, *[F.col(c).alias(f"__{c}") for c in shown])
         same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in shown])
         return old.join(new, key).filter(~same).select(key).distinct()
@@ -145,11 +177,14 @@ class RetailCascade:
             ):
                 rows = self._new_rows(source, table, app)
                 if rows is not None:
-                    changed = self._shown_otherwise(rows, key, fresh, list(shown))
+                    delivered = staged_keys(rows.select(F.col(key)).distinct())
+                    slots = self._slots_of(key, delivered.select(F.col(key).cast("string").alias(key)))
+                    changed = self._shown_otherwise(delivered, key, fresh, list(shown), slots)
                     txn = (app, str(source.manifest().version))
-                    rf.refresh_dimension_change(table, changed, [key], again, txn)
+                    rf.refresh_dimension_change(table, changed, [key], again, txn, slots)
         fresh = self._new_rows(raw, table, "orders")
         if fresh is not None:
+            self._place(fresh, ("orders", str(raw.manifest().version)))
             rows = self._enrich(silver.orders_enriched(fresh)).withColumn("order_period", self._period())
             # The first rows are enriched with all that the dimensions hold.
             known = {"changes": self.changes, "products": self.products}
@@ -173,8 +208,7 @@ class RetailCascade:
             return "none"
         # Recorded row counts of the ingestion, no scan.
         newest = raw.manifest()
-        seen = 0 if initial else int(self.revenue.bookmark("orders") or 0)
-        before = raw.manifest(seen).total_rows if seen else 0
+        before = 0 if initial else int(self.revenue.bookmark("orders_rows") or 0)
         how = rf.choose_refresh(
             self.policy,
             supported=not relisted,
@@ -189,7 +223,11 @@ class RetailCascade:
             new = silver.add_product(silver.orders_enriched(fresh), self._products())
             delta = rf.partials(gold.sold(new), groups, REVENUE)
             parts = rf.merge_partials(self.revenue.read(), delta, groups, REVENUE)
-        bookmarks = {"orders": str(newest.version), "products": str(products.manifest().version)}
+        bookmarks = {
+            "orders": str(newest.version),
+            "orders_rows": str(newest.total_rows),
+            "products": str(products.manifest().version),
+        }
         self.revenue.replace(parts, bookmarks=bookmarks, metrics={"technique": how})
         return how
 
@@ -224,8 +262,13 @@ class RetailCascade:
         table, raw = self.feedback_enriched, self.feedback.target
 
         def enrich(rows: DataFrame) -> DataFrame:
+            """Only what the rows refer to is joined; the keys are broadcast if they are few."""
             told = rows.select(*FEEDBACK)
-            return silver.feedback_enriched(told, self._orders(), self._products(), self._customers())
+            wanted = {k: staged_keys(told.select(k).distinct()) for k in ("order_id", "customer_id")}
+            orders = self._orders().join(wanted["order_id"], "order_id", "left_semi")
+            customers = self._customers().join(wanted["customer_id"], "customer_id", "left_semi")
+            full = silver.feedback_enriched(told, orders, self._products(), customers)
+            return full.withColumn("feedback_period", F.date_format("feedback_date", self.period))
 
         def orders_of(products: DataFrame) -> DataFrame:
             return self._orders().join(products.select("product_id").distinct(), "product_id", "left_semi")
@@ -251,21 +294,33 @@ class RetailCascade:
             )
 
     def _refresh_feedback_summary(self) -> None:
-        """Categories that appended feedback falls into, or all once stored feedback was changed."""
-        source, table = self.feedback_enriched, self.feedback_summary
+        """Parts of the periods whose stored feedback is not what it was; the summary adds parts up."""
+        source, parts, table = self.feedback_enriched, self.feedback_parts, self.feedback_summary
         if not source.exists():
             return
         newest = source.manifest()
-        seen = int(table.bookmark("enriched") or 0) if table.exists() else 0
-        if newest.version == seen:
-            return
-        if seen and newest.rewritten <= seen:
-            rows = rf.refresh_groups(
-                table.read(), source.read(), source.added_since(seen), ["product_category"], gold.feedback_by_category
-            )
-        else:
-            rows = gold.feedback_by_category(source.read())
-        table.replace(rows, bookmarks={"enriched": str(newest.version)})
+        version = str(newest.version)
+        seen = int(parts.bookmark("enriched") or 0) if parts.exists() else 0
+        if newest.version != seen:
+            changed = [s for s, gens in newest.slots.items() if max(gens) > seen]
+            gone = [s for s in parts.slots() if s not in newest.slots] if parts.exists() else []
+            rows = source.read(changed).filter(F.col("product_category").isNotNull())
+            fresh = rf.partials(rows, ["feedback_period", "product_category"], gold.FEEDBACK_PARTS)
+            parts.replace_slots(fresh, [*changed, *gone], txn=("enriched", version), cluster=True)
+        if not table.exists() or table.bookmark("enriched") != version:
+            table.replace(gold.feedback_from_parts(parts.read()), bookmarks={"enriched": version})
+
+    def _upkeep(self) -> None:
+        """Merges what many refreshes left in small pieces, and removes what nothing refers to."""
+        raws = [i.target for i in (self.orders, self.products, self.feedback, self.changes)]
+        tables = [
+            *raws, self.enriched, self.placed, self.revenue, self.daily, self.feedback_enriched, self.feedback_parts,
+            self.feedback_summary, self.reports,
+        ]
+        for table in tables:
+            if len(table.versions()) >= UPKEEP_EVERY:
+                table.compact(UPKEEP_EVERY, SMALL_BYTES)
+                table.reclaim(self.grace)
 
     def report(self, dimension: str) -> None:
         """Appends the feedback report for one dimension, as of now."""
@@ -283,6 +338,7 @@ class RetailCascade:
         self._refresh_daily()
         self._refresh_feedback()
         self._refresh_feedback_summary()
+        self._upkeep()
 
     def revenue_by_category(self) -> DataFrame:
         average = F.round(F.col("total_revenue") / F.col("total_orders"), 2)

@@ -49,6 +49,29 @@ def feedback_by_category(enriched: DataFrame) -> DataFrame:
     )
 
 
+# What feedback per category consists of, so that parts of it add up.
+FEEDBACK_PARTS = {
+    "feedback_count": ("count", "1"),
+    "rating_sum": ("sum", "CAST(rating AS DECIMAL(18,6))"),
+    "rating_n": ("count", "rating"),
+    "value_sum": ("sum", "CAST(order_value AS DECIMAL(18,6))"),
+    "value_n": ("count", "order_value"),
+}
+
+
+def feedback_from_parts(parts: DataFrame) -> DataFrame:
+    """``feedback_by_category`` from partial results."""
+
+    def ratio(total: str, n: str) -> Column:
+        return F.round(F.try_divide(F.sum(total), F.sum(n)), 2)
+
+    return parts.groupBy("product_category").agg(
+        ratio("rating_sum", "rating_n").alias("avg_rating"),
+        F.sum("feedback_count").alias("feedback_count"),
+        ratio("value_sum", "value_n").alias("avg_order_value"),
+    )
+
+
 def revenue_by_status(enriched: DataFrame) -> DataFrame:
     return enriched.groupBy("order_status").agg(
         F.count(F.lit(1)).alias("total_orders"), F.sum("line_total").alias("total_revenue")
