@@ -81,10 +81,12 @@ def _counts(rules: dict[str, str]) -> list[Column]:
 
 
 def expect(
-    df: DataFrame, rules: dict[str, str], action: str = "warn", observation: Observation | None = None
+    df: DataFrame, rules: dict[str, str], action: str = "warn", observation: Observation | str | None = None
 ) -> DataFrame:
     """Applies named rules. Counts per rule appear in ``observation`` after an action.
 
+    On a stream, ``observation`` is the name under which each batch reports its counts.
+
     warn keeps every row, drop removes violating ones, fail raises at the first.
     """
     if action not in ACTIONS:

@@ -145,15 +145,21 @@ def ingest_table(
     checkpoint: str,
     transform=None,
     max_files: int | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
-    """Appends what a Parquet folder gained since the last call to another one."""
+    """Appends what a Parquet folder gained since the last call to another one.
+
+    ``name`` is what the stream is called in reports (see ``streaming.metrics``).
+    """
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     rows = reader.parquet(table_path(source))
+    writer = (transform(rows) if transform else rows).writeStream
+    if name:
+        writer = writer.queryName(name)
     query = (
-        (transform(rows) if transform else rows)
-        .writeStream.format("parquet")
+        writer.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

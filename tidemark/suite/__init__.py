@@ -11,7 +11,7 @@ from tidemark.session import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
-MODULES = ("tables", "changes", "flows", "maintained")
+MODULES = ("tables", "changes", "flows", "streams", "maintained")
 
 
 def query(sql: str | None = None, name: str | None = None):
