@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm import words as w
 from tidemark.llm.frames import discard, prepare, staged
-from tidemark.llm.vocabulary import Lists, Memo, resolve
+from tidemark.llm.vocabulary import LOOKUP_BYTES, Lists, Memo, resolve
 from tidemark.operators.joins import broadcast_if_small
 
 # Characters that are tokenized together.
@@ -150,9 +150,9 @@ class Aligner:
             self.counts.extend(np.array([0, 0, 0, 1]), np.array([4]))
             self.groups.append("")
 
-    def _learn(self, chunks: list[str]) -> None:
+    def _learn(self, new: pa.Array) -> None:
         """Chunks that neither start nor end oddly are tokenized as one text, which cuts between them."""
-        lo = 0
+        chunks, lo = new.to_pylist(), 0
         while lo < len(chunks):
             hi, size = lo, 0
             while hi < len(chunks) and size < TOGETHER and self._is_plain(chunks[hi]):
@@ -304,7 +304,7 @@ def index(docs: DataFrame, spec: Spec = Spec(), groups: bool = False) -> DataFra
         radix = len(aligner.bytes_a) * len(aligner.bytes_b)
         block = _Block(TaskContext.get().partitionId() << 24)
         for batch in batches:
-            for lo, hi, data, offsets in w.pieces(batch.column("text")):
+            for lo, hi, data, offsets in w.pieces(batch.column("text"), LOOKUP_BYTES):
                 size = hi - lo
                 if block.docs + size > block_docs or block.entries >= block_entries:
                     yield from finished(block)

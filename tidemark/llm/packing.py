@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,14 +34,23 @@ from pyspark.sql import types as T
 
 from tidemark.llm import words as w
 from tidemark.llm.frames import discard, prepare, staged
-from tidemark.llm.vocabulary import Lists, Memo, ranges, resolve
+from tidemark.llm.vocabulary import LOOKUP_BYTES, Lists, Memo, ranges, resolve
 from tidemark.operators.joins import broadcast_if_small
 
 # Stands between chunks that are tokenized together; a token of its own.
 MARK = "\x01"
-# Characters that are tokenized together.
-TOGETHER = 1 << 14
+# Chunks that are tokenized as one text.
+TOGETHER = 1 << 11
 BLANK = ~w.BLANKS
+# Kinds of characters by their first byte: letters, and other signs that neither join letters to a
+# word nor begin a contraction. Of those beyond ASCII, U+00C0 to U+00FF are told by two bytes.
+LETTER = np.zeros(256, dtype=bool)
+LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+SIGN = np.zeros(256, dtype=bool)
+SIGN[[b for b in range(0x21, 0x7F) if not LETTER[b] and not chr(b).isdigit() and chr(b) != "'"]] = True
+LATIN, NO_LETTERS = 0xC3, (0x97, 0xB7)  # the lead byte; multiplication and division sign
+ONE_WORD = "^[a-z\u00e0-\u00f6\u00f8-\u00ff]+[ \\t\\n\\x0b\\x0c\\r]*$"
+SPECIAL = b"<|"
 
 
 @dataclass(frozen=True)
@@ -53,13 +63,19 @@ class Spec:
 
 
 class Encoder:
-    """Token ids of texts, chunk by chunk; a chunk is a word with the blanks behind it."""
+    """Token ids of texts, chunk by chunk: a word or what stands between words, with the blanks behind it."""
 
     def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
         self.tokenizer = Tokenizer.from_file(resolve(vocabulary))
+        # Words of ONE_WORD are in their normal form.
+        self.words = Tokenizer.from_file(resolve(vocabulary))
+        self.words.normalizer = normalizers.Sequence([])
         (self.mark,) = self._ids(MARK)
+        names = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(names.values()) + 1, dtype=bool)
+        self.ends_word[[i for name, i in names.items() if name.endswith("</w>")]] = True
         self.memo = Memo(self._learn, self._reset)
 
     def _ids(self, text: str) -> list[int]:
@@ -68,31 +84,46 @@ class Encoder:
     def _reset(self) -> None:
         self.tokens = Lists(np.int32)
 
-    def _learn(self, chunks: list[str]) -> None:
-        lo = 0
-        while lo < len(chunks):
-            if MARK in chunks[lo]:
-                ids = np.array(self._ids(chunks[lo]), dtype=np.int32)
-                self.tokens.extend(ids, np.array([len(ids)]))
-                lo += 1
-                continue
-            hi, size = lo, 0
-            while hi < len(chunks) and size < TOGETHER and MARK not in chunks[hi]:
-                size += len(chunks[hi])
-                hi += 1
+    def _learn(self, chunks: pa.Array) -> None:
+        one = pc.match_substring_regex(chunks, ONE_WORD).to_numpy(zero_copy_only=False)
+        order, ids, sizes = [], [], []
+        for words, some in ((True, np.flatnonzero(one)), (False, np.flatnonzero(~one))):
+            order.append(some)
+            texts = chunks.take(pa.array(some)).to_pylist()
+            for lo in range(0, len(texts), TOGETHER):
+                found, n = self._together(texts[lo : lo + TOGETHER], words)
+                ids.append(found)
+                sizes.append(n)
+        back = np.argsort(np.concatenate(order))
+        n = np.concatenate(sizes)
+        first = np.cumsum(n) - n
+        self.tokens.extend(np.concatenate(ids)[ranges(first[back], n[back])], n[back])
+
+    def _together(self, chunks: list[str], words: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks and how many each has. One word ends with a token that ends words; others get a mark."""
+        if words:
+            ids = np.array(self.words.encode(" ".join(chunks), add_special_tokens=False).ids, dtype=np.int32)
+            n = np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1)
+        elif any(MARK in x for x in chunks):
+            each = [self._ids(x) for x in chunks]
+            return np.array(sum(each, []), dtype=np.int32), np.array(list(map(len, each)))
+        else:
             between = f" {MARK} "
-            ids = np.array(self._ids(between.join(chunks[lo:hi]) + between), dtype=np.int32)
-            ends = np.flatnonzero(ids == self.mark)
-            self.tokens.extend(ids[ids != self.mark], np.diff(ends, prepend=-1) - 1)
-            lo = hi
+            ids = np.array(self._ids(between.join(chunks) + between), dtype=np.int32)
+            n = np.diff(np.flatnonzero(ids == self.mark), prepend=-1) - 1
+            ids = ids[ids != self.mark]
+        assert len(n) == len(chunks) and n.sum() == len(ids)
+        return ids, n
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text's begin, and one more."""
         blank = BLANK[data]
         opens = np.zeros(len(data), dtype=bool)
-        if len(data):
-            opens[1:] = blank[:-1] & ~blank[1:]
-            opens[offsets[:-1][offsets[:-1] < len(data)]] = True
+        opens[1:] = blank[:-1] & ~blank[1:]
+        if not ((data[:-1] == SPECIAL[0]) & (data[1:] == SPECIAL[1])).any():
+            data, fine = self._simplified(data)
+            opens |= fine
+        opens[offsets[:-1][offsets[:-1] < len(data)]] = True
         cuts = np.append(np.flatnonzero(opens), len(data))
         ids, counts = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int64)]
         for _, _, slots in self.memo.look_up(data, cuts):
@@ -101,6 +132,23 @@ class Encoder:
         before = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
         return np.concatenate(ids), before[np.searchsorted(cuts[:-1], offsets)]
 
+    @staticmethod
+    def _simplified(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Text in lower case where nothing joins the letter, and cuts between letters and signs."""
+        letter, sign = LETTER[data], SIGN[data]
+        opens = np.zeros(len(data), dtype=bool)
+        if len(data) < 2:
+            return data, opens
+        # Both bytes of a Latin letter beyond ASCII.
+        latin = np.zeros(len(data), dtype=bool)
+        latin[:-1] = (data[:-1] == LATIN) & (data[1:] != NO_LETTERS[0]) & (data[1:] != NO_LETTERS[1])
+        begins, ends = letter | latin, letter.copy()
+        ends[1:] |= latin[:-1]
+        opens[1:] = (ends[:-1] & sign[1:]) | (sign[:-1] & begins[1:])
+        capital = (data >= 0x41) & (data <= 0x5A)
+        capital[:-1] &= data[1:] < 0x80
+        return np.where(capital, data + 32, data).astype(np.uint8), opens
+
 
 def _closed(ids: np.ndarray, first: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Each text's ids with the closing token behind them."""
@@ -131,7 +179,7 @@ def pieces(docs: DataFrame, spec: Spec = Spec(), ids: bool = False) -> DataFrame
         encoder = Encoder(vocabulary)
         seen = np.zeros(room + 1, dtype=np.int64)
         for batch in batches:
-            for lo, hi, data, offsets in w.pieces(batch.column("text")):
+            for lo, hi, data, offsets in w.pieces(batch.column("text"), LOOKUP_BYTES):
                 tokens, first = _closed(*encoder.encode(data, offsets), end)
                 sizes = np.diff(first)
                 n = -(-sizes // room)

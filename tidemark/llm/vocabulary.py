@@ -12,12 +12,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Distinct chunks that a task remembers, and the bytes that they may have together.
-MEMO_CHUNKS = 300_000
-MEMO_BYTES = 24 << 20
-# Chunks that are looked up at once.
-LOOKUP = 1 << 18
+MEMO_CHUNKS = 600_000
+MEMO_BYTES = 32 << 20
+# Bytes of text, and chunks, that are looked up at once.
+LOOKUP_BYTES = 4 << 20
+LOOKUP = 1 << 20
 
 
 def resolve(vocabulary: str) -> str:
@@ -66,33 +68,32 @@ class Memo:
     """Slots of distinct chunks; ``learn`` is told the chunks that are new, in order of slot.
 
     ``reset`` is called before the first chunk, and whenever the memo is full and starts anew.
+    Chunks are held as one Arrow array, so that none of them becomes an object but to be learned.
     """
 
-    def __init__(self, learn: Callable[[list[str]], None], reset: Callable[[], None]):
+    def __init__(self, learn: Callable[[pa.Array], None], reset: Callable[[], None]):
         self.learn, self.reset = learn, reset
         self._clear()
 
     def _clear(self) -> None:
-        self.slot: dict[str, int] = {}
-        self.bytes = 0
+        self.known = pa.array([], pa.large_string())
         self.reset()
 
     def look_up(self, data: np.ndarray, cuts: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
         """Chunks lo to hi of data[cuts[i]:cuts[i + 1]] with the slot of each; use them before the next."""
         for lo in range(0, len(cuts) - 1, LOOKUP):
             hi = min(lo + LOOKUP, len(cuts) - 1)
-            part = data[cuts[lo] : cuts[hi]]
+            part = np.ascontiguousarray(data[cuts[lo] : cuts[hi]])
             offsets = (cuts[lo : hi + 1] - cuts[lo]).astype(np.int64)
-            chunks = pa.LargeStringArray.from_buffers(hi - lo, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(part)))
+            chunks = pa.LargeStringArray.from_buffers(hi - lo, pa.py_buffer(offsets), pa.py_buffer(part))
             coded = chunks.dictionary_encode()
-            names = coded.dictionary.to_pylist()
-            new = [x for x in names if x not in self.slot]
-            if len(self.slot) + len(new) > MEMO_CHUNKS or self.bytes + sum(map(len, new)) > MEMO_BYTES:
-                self._clear()
-                new = names
-            if new:
-                self.slot.update(zip(new, range(len(self.slot), len(self.slot) + len(new)), strict=True))
-                self.bytes += sum(map(len, new))
+            found = pc.index_in(coded.dictionary, value_set=self.known)
+            new = coded.dictionary.filter(found.is_null()) if found.null_count else None
+            if new is not None:
+                if len(self.known) + len(new) > MEMO_CHUNKS or self.known.nbytes + new.nbytes > MEMO_BYTES:
+                    self._clear()
+                    new = coded.dictionary
+                self.known = pa.concat_arrays([self.known, new])
                 self.learn(new)
-            slots = np.fromiter(map(self.slot.__getitem__, names), dtype=np.int64, count=len(names))
-            yield lo, hi, slots[coded.indices.to_numpy()]
+                found = pc.index_in(coded.dictionary, value_set=self.known)
+            yield lo, hi, found.to_numpy().astype(np.int64)[coded.indices.to_numpy()]

@@ -156,12 +156,12 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Rows lo to hi of a text column with their bytes and offsets, a few megabytes at a time."""
+def pieces(column: pa.Array, size: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Rows lo to hi of a text column with their bytes and offsets, PIECE_BYTES or ``size`` at a time."""
     data, offsets = text_buffer(column)
     lo, n = 0, len(offsets) - 1
     while lo < n:
-        hi = int(np.searchsorted(offsets, offsets[lo] + PIECE_BYTES, side="right")) - 1
+        hi = int(np.searchsorted(offsets, offsets[lo] + (size or PIECE_BYTES), side="right")) - 1
         hi = min(n, lo + PIECE_ROWS, max(lo + 1, hi))
         yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi
