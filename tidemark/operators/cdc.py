@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import timeline
 from tidemark.operators.joins import fits_broadcast, null_safe_join
+from tidemark.session import stage
 
 START, END = "__START_AT", "__END_AT"
 SEQ, DEL = "__seq", "__deleted"
@@ -443,8 +444,10 @@ def join_as_of(
     is carried forward, so work is linear in both sides also for a key with many
     facts and many versions.
     """
+    # Versions may be derived from a whole feed: that happens once, and what is counted is staged.
+    versions = stage(versions.select(*keys, START, END, *columns), "versions")
     if chunk_rows is None and how in ("left", "inner"):
-        known = versions.select(*keys, START, END, *columns).dropna(subset=keys)
+        known = versions.dropna(subset=keys)
         found = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.max("n")).first()
         if fits_broadcast(known.schema, found[0] or 0) and (found[1] or 0) <= FEW_VERSIONS:
             return _join_by_range(facts, known, keys, at, columns, how)
