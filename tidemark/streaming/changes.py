@@ -196,15 +196,19 @@ class ChangeTarget:
             return
         keys = list(self.spec.keys)
         fresh = stage(cdc.dedupe_events(cdc.as_events(batch, self.spec), self.spec.keys))
+        # One row per key serves as filter, floor and start; a key all of whose events are
+        # stored already is derived again, to the same versions.
+        touched = staged_keys(fresh.groupBy(*keys).agg(F.min(SEQ).alias("__since")))
         if self.events.exists():
             # A stored event wins against a new one of the same sequence.
             stored = self.events.read(self._slots_of(fresh)).select(*keys, SEQ)
-            stored = null_safe_join(stored, staged_keys(fresh.select(*keys).distinct()), keys, "left_semi")
+            stored = null_safe_join(stored, touched.select(*keys), keys, "left_semi")
             fresh = stage(null_safe_join(fresh, stored, [*keys, SEQ], "left_anti"))
-        floors = self._floors(fresh, SEQ)
+            if fresh.isEmpty():
+                return
+        floors = self._floors(touched, "__since")
         if not floors:
             return
-        touched = fresh.groupBy(*keys).agg(F.min(SEQ).alias("__since"))
         replaced: list[str] = []
         if not self.versions.exists():
             events, kept = fresh, None
@@ -239,13 +243,12 @@ class ChangeTarget:
         if self.spec.ignore_null_updates:
             # Values may be filled from any earlier event: start from the first.
             first = F.lit(None).cast(fresh.schema[SEQ].dataType)
-            touched = staged_keys(touched.withColumn("__since", first))
+            touched = touched.withColumn("__since", first)
             floors = dict.fromkeys(floors, "")
             versions = self.versions.read(self._slots_from(self.versions, floors))
         else:
             # Open slots sort after every date, so they are always included.
             versions = self.versions.read(self._slots_from(self.versions, floors))
-            touched = staged_keys(touched)
             holding = null_safe_join(versions.select(*keys, START, END), touched, keys, "inner").filter(
                 (F.col(START) <= F.col("__since"))
                 & (F.col(END).isNull() | (F.col(END) > F.col("__since")))
