@@ -218,7 +218,8 @@ def repair_roles(conversations: DataFrame) -> DataFrame:
     conversation, one after another, are the whole rendered conversation; ``inserted``
     counts the empty turns in a part. A NULL or unknown role becomes whichever is
     cheapest, a NULL text is empty, rows with a NULL conv_id form one conversation, and
-    an empty table gives no rows. Only conv_id, turn, role and text are read.
+    an empty table gives no rows. Only conv_id, turn, role and text are read, so other columns
+    may have any name. Texts are carried whole, however long, and very long conversations are cut.
     """
     conv = F.coalesce(F.col("conv_id").cast("long"), F.lit(-(2**63)))
     order = ["turn", "role", "tie", "id"]

@@ -657,7 +657,7 @@ def near_duplicates(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
     text of fewer words than a shingle is one shingle. Repeated rows come out as often as
     they go in with the same result; a NULL doc_id links like any other but comes after
     all others. Only doc_id and text of ``docs`` are read, so other columns may have any
-    name.
+    name. Texts are read whole, however long; an empty table gives no rows.
     """
     described, roots = similar_classes(docs, spec)
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), "key")

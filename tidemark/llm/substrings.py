@@ -480,7 +480,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     NULL and empty texts have no words. Documents with equal ids do not count against
     each other; a NULL id counts as larger than any other. Repeated rows come out as
     often as they go in. Only doc_id and text are read, so other columns may have any
-    name. Texts are read whole, however long.
+    name. Texts are read whole, however long; an empty table gives no rows.
     """
     described = staged(
         docs.select("doc_id", "text").mapInArrow(

@@ -264,7 +264,9 @@ def histories(pages: DataFrame) -> DataFrame:
     """Writes all pages as WARC archives to the shared folder and returns their merged index.
 
     NULL html is an empty payload, a NULL url an empty URI; repeated rows get a record
-    each. An empty table gives empty archives and no rows.
+    each. An empty table gives empty archives and no rows. Pages are written whole; one archive must
+    stay below 2 GB, as Spark reads it as one value. Only page_id, url and html are read, so
+    other columns may have any name.
     """
     spark = pages.sparkSession
     path = scratch_dir(spark, "llm-warc")

@@ -175,7 +175,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     NULL and empty texts have no words, and an item without words occurs nowhere. An
     item's NULL id is written as an empty string. Repeated documents are judged one by
     one; items with equal ids count once. Only doc_id and text of ``docs`` are read, so
-    other columns may have any name. Texts are read whole, however long.
+    other columns may have any name. Texts are read whole, however long. An empty table of
+    documents gives no rows, an empty benchmark no hits.
     """
     items = staged(
         benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
