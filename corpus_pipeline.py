@@ -23,14 +23,21 @@ def _key(*columns: str) -> Column:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no rule rejects."""
+    """Documents that no rule rejects.
+
+    NULL and blank texts have too few words and go. Repeated rows are judged alike. Texts are read
+    whole, however long; columns keep their names and values. An empty table stays empty.
+    """
     return rules.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest doc_id.
 
-    A row that repeats another one's id and text is a near duplicate of it.
+    A row that repeats another one's id and text is a near duplicate of it. Texts without words
+    are near duplicates of nothing and stay. Rows are known by a 64-bit hash of id and text; among 10^10
+    documents two or three pairs share one by chance, of which one row goes. Columns keep
+    their names and values; an empty table stays empty.
     """
     prepare(spark)
     found = staged(
@@ -45,7 +52,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of the benchmark."""
+    """Documents without a window of the benchmark.
+
+    NULL and empty texts have no words and stay. Rows that repeat each other stay or go together;
+    ids may be NULL or repeat, since rows are known by a hash of id and text. Texts are read whole, however
+    long; columns keep their names and values. An empty table stays empty.
+    """
     keyed = docs.select(_key("doc_id", "text").alias("doc_id"), "text")
     found = winnowing.contamination(keyed, table(spark, sf_dir, "benchmark"))
     hit = staged(found.filter("contaminated").select(F.col("doc_id").alias("__other")).distinct(), "hit")
@@ -53,12 +65,20 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it."""
+    """Each document as often as the mix of sources takes it.
+
+    NULL and empty texts have no words and are not taken. Rows alike in all columns share their
+    copies. A NULL source is a source. Columns keep their names and values; an empty table stays empty.
+    """
     return mixing.take_copies(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each copy goes: its shard and its place in it."""
+    """Where each copy goes: its shard and its place in it.
+
+    NULL texts have no bytes but their overhead. Copies and rows that repeat each other are placed one by
+    one. Texts may be of any length, columns of any name; an empty table gives no rows.
+    """
     return shards.shard(docs)
 
 
