@@ -112,8 +112,9 @@ def named(others, between=""):
     return rows + [(10_000 + i, f"note {i} Zebrowski {between} zeb@clinic.example.org told us") for i in range(5)]
 
 
-@pytest.mark.parametrize("others", [25, 55, 2000])
-def test_terms_do_not_depend_on_the_size_of_the_table(spark, others):
+@pytest.mark.parametrize("others, broadcast", [(25, 10**6), (55, 0), (2000, 10**6)])
+def test_terms_do_not_depend_on_the_size_of_the_table(spark, monkeypatch, others, broadcast):
+    monkeypatch.setattr(privacy, "BROADCAST_TERMS", broadcast)
     docs = spark.createDataFrame(named(others), "doc_id long, text string")
     found = {r["doc_id"]: r["spans"] for r in privacy.sanitise(docs).collect()}
     for i in range(5):
