@@ -249,3 +249,27 @@ def test_sketches_add_up_within_their_error(spark):
         assert abs(r["n"] - r["m"]) <= 0.065 * r["m"]
     plan = gold.merge_sketches(daily, ["day"])._jdf.queryExecution().optimizedPlan().toString()
     assert "hll_union_agg" in plan
+
+
+# ---------------------------------------------------------------- policies
+
+
+def test_policy_looks_at_the_columns_of_the_stored_table(spark, new_path):
+    target = VersionedTable(spark, new_path("policy"), ["part"])
+    rows = spark.range(6).selectExpr("id", "id % 2 AS part")
+
+    def part_one():
+        return rows.filter("part = 1").withColumn("id", F.col("id") + 100), [target.slot(1)]
+
+    by = refresh.refresh_by_policy
+    assert by(target, "INCREMENTAL STRICT", lambda: rows, part_one) == "full"
+    assert by(target, "AUTO", lambda: rows, part_one, delta_rows=1, source_rows=100, txn=("d", "1")) == "incremental"
+    assert by(target, "AUTO", lambda: rows, part_one, txn=("d", "1")) == "none"
+    assert sorted(r["id"] for r in target.read().collect()) == [0, 2, 4, 101, 103, 105]
+    assert target.manifest().metrics["technique"] == "incremental"
+    wider = rows.withColumn("more", F.lit(1))
+    with pytest.raises(refresh.NotIncrementalError, match="schema"):
+        by(target, "INCREMENTAL STRICT", lambda: wider, part_one)
+    assert by(target, "INCREMENTAL", lambda: wider, part_one) == "full"
+    assert set(target.schema().names) == {"id", "more", "part"}
+    assert by(target, "AUTO", lambda: wider, None) == "full"

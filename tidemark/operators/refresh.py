@@ -56,6 +56,42 @@ def choose_refresh(
     return "incremental"
 
 
+def refresh_by_policy(
+    target: VersionedTable,
+    policy: str,
+    full: Callable[[], DataFrame],
+    incremental: Callable[[], tuple[DataFrame, list[str]]] | None = None,
+    *,
+    delta_rows: int = 0,
+    source_rows: int = 0,
+    txn: tuple[str, str] | None = None,
+) -> str:
+    """Brings a stored table up to date under a policy; returns the technique, which its commit records.
+
+    ``full`` gives all rows, ``incremental`` the rows of the slots to replace and these slots. Where
+    the query's columns are not those of the stored table, it is computed in full, or refused by
+    INCREMENTAL STRICT.
+    """
+    if txn and target.exists() and target.has_txn(*txn):
+        return "none"
+    rows, initial = full(), not target.exists()
+    columns = [(f.name, f.dataType) for f in rows.schema]
+    how = choose_refresh(
+        policy,
+        supported=incremental is not None,
+        delta_rows=delta_rows,
+        source_rows=source_rows,
+        schema_changed=not initial and columns != [(f.name, f.dataType) for f in target.schema()],
+        initial=initial,
+    )
+    if how == "full":
+        target.replace(rows, txn=txn, metrics={"technique": how}, cluster=True)
+    else:
+        rows, slots = incremental()
+        target.replace_slots(rows, slots, txn=txn, metrics={"technique": how}, cluster=True)
+    return how
+
+
 # ---------------------------------------------------------------- rows
 
 

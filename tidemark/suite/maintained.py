@@ -6,16 +6,19 @@ updates of what is there. The SQL looks at what is left in the end.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import deltas, refresh
 from tidemark.plans import gold
 from tidemark.plans.maintained import JoinView, TopRows, ValueCounts
-from tidemark.session import scratch_dir
+from tidemark.session import scratch_dir, stage
 from tidemark.storage.versioned import VersionedTable
 from tidemark.suite import query
-from tidemark.suite.inputs import day_sql, plain, table
+from tidemark.suite.inputs import LINE_TOTAL, day_sql, plain, table, with_views
+from tidemark.suite.tables import typed_orders
 
 EARLY = "ordered_at < TIMESTAMP_NTZ '1998-01-01'"
 # Orders without priority have no customer, so NULL is the most frequent key.
@@ -225,6 +228,55 @@ def append_values_stored(spark, sf):
     return _shown(target)
 
 
+# ---------------------------------------------------------------- policies
+
+# Which days come with the second delivery, and the policy it is refreshed under.
+POLICIES = {"few days": ("2001-06-01", "AUTO"), "many days": ("1997-01-01", "AUTO"),
+            "many days, incremental": ("1997-01-01", "INCREMENTAL"), "few days, full": ("2001-06-01", "FULL")}
+
+
+def _policy_sql(name: str) -> str:
+    since, policy = POLICIES[name]
+    late = f"(COUNT(*) FILTER (WHERE order_date >= DATE '{since}')) / COUNT(*) > {refresh.FULL_ABOVE}"
+    by_size = f"(SELECT CASE WHEN {late} THEN 'full' ELSE 'incremental' END FROM raw_orders)"
+    technique = {"AUTO": by_size, "FULL": "'full'"}.get(policy, "'incremental'")
+    return f"""SELECT '{name}' AS delivery, {technique} AS technique,
+        COUNT(DISTINCT order_date) AS days, COUNT(*) AS orders, CAST(SUM({LINE_TOTAL}) AS DOUBLE) AS revenue
+        FROM raw_orders o WHERE order_status <> 'cancelled'"""
+
+
+@query(with_views("raw_orders", then=" UNION ALL ".join(map(_policy_sql, POLICIES))))
+def refresh_policies(spark, sf):
+    """Daily sales after a late delivery, refreshed as the policy and the size of the delivery say."""
+    orders = stage(typed_orders(spark, sf).withColumn("year", F.date_format("order_date", "yyyy")))
+    total = orders.count()
+
+    def summary(rows: DataFrame) -> DataFrame:
+        return gold.daily_sales_summary(rows).withColumn("year", F.date_format("order_date", "yyyy"))
+
+    out = []
+    for name, (since, policy) in POLICIES.items():
+        target = VersionedTable(spark, scratch_dir(spark, "daily"), ["year"])
+        late = orders.filter(F.col("order_date") >= since)
+        early = orders.filter(F.col("order_date") < since)
+        refresh.refresh_by_policy(target, policy, lambda early=early: summary(early))
+
+        def years(target=target, late=late) -> tuple[DataFrame, list[str]]:
+            slots = refresh.touched_slots(target, late)
+            touched = late.select("year").distinct()
+            return summary(orders.join(touched, "year", "left_semi")), slots
+
+        technique = refresh.refresh_by_policy(
+            target, policy, lambda: summary(orders), years, delta_rows=late.count(), source_rows=total
+        )
+        out.append(
+            target.read().agg(
+                F.count("order_date").alias("days"), F.sum("total_orders").alias("orders"), F.sum("total_revenue").alias("revenue")
+            ).select(F.lit(name).alias("delivery"), F.lit(technique).alias("technique"), "days", "orders", "revenue")
+        )
+    return plain(reduce(DataFrame.unionByName, out))
+
+
 # ---------------------------------------------------------------- distinct counts from sketches
 
 
