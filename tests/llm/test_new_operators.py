@@ -110,7 +110,7 @@ def test_cycles_count_in_full(spark, monkeypatch):
     texts = collocations.corpus(phrase_docs(spark, rows).repartition(4))
     spec = collocations.Spec(threshold=4)
     _, frequent = collocations.count(texts, spec, 1 << 16)
-    spelled = collocations.spell(texts, frequent, spec, 1 << 16)
+    spelled = collocations.spell(texts, frequent, 1 << 16)
     assert frequent.count() == spelled.count() > 50
     expected = Counter()
     for lang, _, phrase, a, *_ in brute.phrases([(s, t) for _, t, s in rows], 4, 10**9, 10**6):

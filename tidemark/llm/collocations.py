@@ -13,9 +13,9 @@ phrases of one slot make one of them active early, which only has it counted nee
 its round of activation is a function of the phrase, so the cycle is full all the same.
 The table grows with the corpus up to ``MOST_SLOTS``; beyond, more is counted in vain.
 
-Phrases are counted under 64-bit hashes (of language and words). One last scan looks up the
-texts of those that reached the threshold, and counts them under their text, so two
-phrases of one hash are told apart in the result.
+Phrases are counted under 64-bit hashes of language and words; among 10^8 different phrases, any
+two share one with a chance of less than 0.1%. The texts of those that reached the threshold
+are looked up shard by shard, each time only for hashes that no earlier shard had.
 
 Words, phrases and totals are per language, NULL language being 'und'. NULL and empty texts
 have no words. Repeated rows count each. A very long text is read in one task, a megabyte's
@@ -26,11 +26,13 @@ empty table gives no rows. Scores that tie are ordered by count, then phrase in
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as w
@@ -40,11 +42,11 @@ from tidemark.operators.joins import broadcast_if_small
 
 SHARDS = 4
 # Slots of the table of rounds: one per so many bytes of text, within these limits.
-BYTES_A_SLOT = 32
+BYTES_A_SLOT = 64
 LEAST_SLOTS, MOST_SLOTS = 1 << 16, 1 << 26
 NEVER = 255
-# Bits of one bitmap, as Spark's bitmap functions have them.
-BITMAP = 1 << 15
+# Bytes of text whose phrases are counted at once.
+SCAN_BYTES = 2 << 20
 # The first sort of the report is by this many parts of a language.
 PARTS = 64
 
@@ -98,7 +100,7 @@ class Phrases:
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Phrases, np.ndarray, pa.Array]]:
     for batch in batches:
         language = batch.column("__lang").to_numpy().view(w.U)
-        for lo, hi, data, offsets in w.pieces(batch.column("text")):
+        for lo, hi, data, offsets in w.pieces(batch.column("text"), SCAN_BYTES):
             yield Phrases(data, offsets, language[lo:hi]), language[lo:hi], batch.column("lang").slice(lo, hi - lo)
 
 
@@ -111,6 +113,18 @@ def _activation(table: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.nd
     return np.maximum(_rounds(table, left), _rounds(table, right)).astype(np.int64) + 1
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession):
+    """Each job's shuffle files go when it ends; between rounds everything is staged."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def corpus(docs: DataFrame) -> DataFrame:
     """Texts and languages, staged by shard."""
     language = F.coalesce("lang", F.lit("und"))
@@ -171,22 +185,21 @@ def scan_phrases(shard: DataFrame, table, now: int) -> DataFrame:
 def _learn(table: np.ndarray, hashes: DataFrame, now: int) -> int:
     """Enters the round for hashes that reached the threshold; returns how many slots are new."""
     slot = F.col("hash").bitwiseAND(len(table) - 1)
-    bitmaps = hashes.select(slot.alias("slot")).groupBy(F.expr(f"slot div {BITMAP}").alias("at")).agg(
-        F.bitmap_construct_agg(F.col("slot") % BITMAP).alias("bits")
+    bits = hashes.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")
     )
-    new = 0
-    # One bitmap per BITMAP slots of the table, whose size is bounded.
-    for row in bitmaps.toLocalIterator():
-        on = np.unpackbits(np.frombuffer(row["bits"], dtype=np.uint8), bitorder="little")
-        part = table[row["at"] * BITMAP : (row["at"] + 1) * BITMAP]
-        fresh = on[: len(part)].astype(bool) & (part == NEVER)
-        part[fresh] = now
-        new += int(fresh.sum())
-    return new
+    # At most one row per 64 slots of the table, whose size is bounded.
+    found = bits.toArrow()
+    words = np.zeros(-(-len(table) // 64), dtype=np.int64)
+    words[found.column("at").to_numpy()] = found.column("bits").to_numpy()
+    on = np.unpackbits(words.view(np.uint8), bitorder="little")[: len(table)].astype(bool)
+    fresh = on & (table == NEVER)
+    table[fresh] = now
+    return int(fresh.sum())
 
 
 def count(docs_by_shard: DataFrame, spec: Spec, slots: int) -> tuple[DataFrame, DataFrame]:
-    """Words (lang, word, hash, n) and phrases that reach the threshold (words, hash)."""
+    """Words (lang, word, hash, n) and phrases that reach the threshold (words, hash, a)."""
     spark = docs_by_shard.sparkSession
     shards = [docs_by_shard.filter(F.col("__shard") == i) for i in range(SHARDS)]
     table = np.full(slots, NEVER, dtype=np.uint8)
@@ -221,44 +234,60 @@ def count(docs_by_shard: DataFrame, spec: Spec, slots: int) -> tuple[DataFrame,
         now += 1
     if phrases is None:
         phrases = staged(spark.createDataFrame([], "words int, hash bigint, since int, n bigint"), "phrases-counts")
-    frequent = phrases.groupBy("words", "hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= spec.threshold)
-    return words, frequent.select("words", "hash")
+    frequent = phrases.groupBy("words", "hash").agg(F.sum("n").alias("a")).filter(F.col("a") >= spec.threshold)
+    frequent = staged(frequent, "phrases-frequent")
+    discard(phrases)
+    return words, frequent
 
 
-def spell(docs_by_shard: DataFrame, frequent: DataFrame, spec: Spec, slots: int) -> DataFrame:
-    """words, lang, phrase and a (how often) of the phrases with these hashes, counted under their text."""
+def spell(docs_by_shard: DataFrame, frequent: DataFrame, slots: int) -> DataFrame:
+    """words, lang, phrase and a of the staged phrases with these hashes."""
     spark = docs_by_shard.sparkSession
-    table = np.full(slots, NEVER, dtype=np.uint8)
-    _learn(table, frequent, 0)
-    sent = spark.sparkContext.broadcast(table)
+    found, missing = [], frequent
+    for shard in range(SHARDS):
+        table = np.full(slots, NEVER, dtype=np.uint8)
+        if not _learn(table, missing, 0):
+            break
+        sent = spark.sparkContext.broadcast(table)
+        seen = (
+            _spelled(docs_by_shard.filter(F.col("__shard") == shard), sent)
+            .select(F.col("words").alias("__words"), F.col("hash").alias("__hash"), "lang", "phrase")
+            .distinct()
+        )
+        same = (F.col("words") == F.col("__words")) & (F.col("hash") == F.col("__hash"))
+        found.append(staged(missing.join(seen, same).drop("__words", "__hash"), "phrases-spelled"))
+        sent.destroy()
+        if shard < SHARDS - 1:
+            here = found[-1].select(F.col("words").alias("__words"), F.col("hash").alias("__hash"))
+            missing, old = staged(missing.join(here, same, "left_anti"), "phrases-missing"), missing
+            if old is not frequent:
+                discard(old)
+    if not found:
+        return frequent.select("words", F.lit("").alias("lang"), F.lit("").alias("phrase"), "a")
+    return reduce(DataFrame.unionByName, found).select("words", "lang", "phrase", "a")
+
+
+def _spelled(shard: DataFrame, wanted) -> DataFrame:
+    """Phrases of a shard that lie in slots of the table, each once per piece of text."""
 
     def scan(batches):
-        wanted = sent.value
+        slots = wanted.value
         for found, _, langs in _batches(batches):
             for length, whole, there in ((2, found.two, found.pair), (3, found.three, found.triple)):
                 at = np.flatnonzero(there)
-                at = at[_rounds(wanted, whole[at]) != NEVER]
-                hashes, first, n = np.unique(whole[at], return_index=True, return_counts=True)
+                at = at[_rounds(slots, whole[at]) != NEVER]
+                hashes, first = np.unique(whole[at], return_index=True)
                 if len(hashes):
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.full(len(n), length, dtype=np.int32)), pa.array(w.signed(hashes)),
+                            pa.array(np.full(len(hashes), length, dtype=np.int32)), pa.array(w.signed(hashes)),
                             langs.take(pa.array(found.text[at[first]])), found.spelled(at[first], length),
-                            pa.array(n),
                         ],
-                        ["words", "hash", "lang", "phrase", "n"],
+                        ["words", "hash", "lang", "phrase"],
                     )
 
-    wanted = frequent.select(F.col("words").alias("__words"), F.col("hash").alias("__hash"))
-    wanted = broadcast_if_small(wanted, wanted.count())
-    return (
-        docs_by_shard.select("lang", "__lang", "text")
-        .mapInArrow(scan, "words int, hash bigint, lang string, phrase string, n bigint")
-        .join(wanted, (F.col("words") == F.col("__words")) & (F.col("hash") == F.col("__hash")), "left_semi")
-        .groupBy("words", "lang", "phrase")
-        .agg(F.sum("n").alias("a"))
-        .filter(F.col("a") >= spec.threshold)
-    )
+    kept = shard.select("lang", "__lang", "text")
+    return kept.mapInArrow(scan, "words int, hash bigint, lang string, phrase string")
 
 
 def _score(a: str, left: str, right: str) -> Column:
@@ -271,9 +300,10 @@ def collocations(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
     texts = corpus(docs)
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slots = min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (size // BYTES_A_SLOT).bit_length()))
-    words, frequent = count(texts, spec, slots)
-    frequent = staged(frequent, "phrases-frequent")
-    spelled = staged(spell(texts, frequent, spec, slots), "phrases-spelled")
+    with _shuffles_removed(docs.sparkSession):
+        words, frequent = count(texts, spec, slots)
+        spelled = spell(texts, frequent, slots)
+    discard(texts)
     known = words.filter(F.col("n") >= spec.threshold).select("lang", F.col("word").alias("phrase"), F.col("n").alias("f"))
     known = staged(known.unionByName(spelled.filter("words = 2").select("lang", "phrase", F.col("a").alias("f"))), "phrases-known")
 
