@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from tests.llm import brute, data
 
-from tidemark.llm import mixing, privacy, rules, shards, weak_labels
+from tidemark.llm import mixing, privacy, queries, rules, shards, weak_labels
 from tidemark.llm.frames import staged
 
 # ------------------------------------------------------------------ mixing
@@ -143,6 +143,14 @@ def test_context_bounds_where_terms_are_looked_for(spark, context, recall):
     assert hits == 5 * recall
 
 
+def test_query_looks_for_terms_in_whole_texts(spark, tmp_path):
+    far = "plain words stand here in a row " * 40
+    docs = spark.createDataFrame(named(300, far), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op8_disclosure(spark, str(tmp_path)).filter("doc_id >= 10000").collect()
+    assert sum("removed:7:16" in r["spans"] for r in found) == 5
+
+
 # ------------------------------------------------------------------ quality rules
 
 

@@ -2,7 +2,7 @@
 
 Protected entities are e-mail addresses, IP addresses, card and phone numbers, found by
 patterns. The corpus then tells which other terms give an entity away: a term that
-stands near an entity, and hardly in texts without that entity, lets a reader restore
+stands in texts with an entity, and hardly in texts without it, lets a reader restore
 what the pattern removed. Its disclosure is the posterior P(entity | term) over all
 documents and its gain in bits over P(entity), as a share of -log2 P(entity). Terms above the first threshold are
 generalised, above the second removed, wherever they stand in the documents that hold
@@ -248,22 +248,23 @@ def disclosing_terms(
 ) -> DataFrame:
     """Spans of terms that give away an entity of their text: row, kind, start, end.
 
-    A term that stands near an entity in any text is a candidate. What it discloses is
-    counted over all texts that hold both, however far apart, and it goes wherever it
-    stands in them.
+    A term of a text with an entity is a candidate, with a ``context`` one that stands near it in
+    any text. What it discloses is counted over all texts that hold both, however far apart, and
+    it goes wherever it stands in them.
     """
     held = staged(spans.select("row", "same", _entity().alias("entity")).distinct(), "pii-held")
     masked = staged(_masked(scanned, spans, context), "pii-masked")
-    near = masked.select(F.explode("near").alias("x")).select("x.entity", F.explode("x.terms").alias("term"))
     # Entities of fewer different texts than a pair needs have no pair.
     entities = (
         held.groupBy("entity", "same").agg(F.count("*").alias("rows"))
         .groupBy(F.col("entity").alias("e")).agg(F.sum("rows").alias("entity_docs"), F.count("*").alias("texts"))
         .filter(F.col("texts") >= SUPPORT).drop("texts")
     )
+    near = masked.select(F.explode("near").alias("x")).select("x.entity", "x.terms")
     pairs = (
-        near.distinct()
-        .join(entities, F.col("entity") == F.col("e")).drop("e")
+        near.join(entities, F.col("entity") == F.col("e"))
+        .select("entity", "entity_docs", F.explode("terms").alias("term"))
+        .distinct()
     )
     pairs = staged(pairs, "pii-pairs")
     terms = pairs.select(F.col("term").alias("wanted")).distinct()
