@@ -273,3 +273,17 @@ def test_policy_looks_at_the_columns_of_the_stored_table(spark, new_path):
     assert by(target, "INCREMENTAL", lambda: wider, part_one) == "full"
     assert set(target.schema().names) == {"id", "more", "part"}
     assert by(target, "AUTO", lambda: wider, None) == "full"
+
+
+def test_few_slots_are_written_without_gathering_rows(spark, new_path, monkeypatch):
+    seen, whole = [], VersionedTable.commit
+    monkeypatch.setattr(VersionedTable, "commit", lambda t, df, **o: seen.append(o.get("cluster")) or whole(t, df, **o))
+    for n in (3, 20):
+        target = VersionedTable(spark, new_path("facts"), ["part"])
+        rows = spark.range(40).select("id", (F.col("id") % n).alias("part"), F.lit("old").alias("name"))
+        refresh.refresh_rows(target, rows, lambda x: x, ("rows", "0"), cluster=n > 3)
+        again = lambda x: x.withColumn("name", F.lit("new"))
+        refresh.refresh_dimension_change(target, rows.filter("id % 2 = 0"), ["id"], again)
+        assert {(r["id"] % 2, r["name"]) for r in target.read().collect()} == {(0, "new"), (1, "old")}
+        assert target.read().count() == 40
+    assert seen == [False, False, True, True]

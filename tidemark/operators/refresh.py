@@ -24,6 +24,9 @@ from tidemark.storage.versioned import VersionedTable
 POLICIES = ("AUTO", "INCREMENTAL", "INCREMENTAL STRICT", "FULL")
 # AUTO recomputes in full once this share of the source has changed.
 FULL_ABOVE = 0.3
+# Up to so many slots, a task's rows are written as they lie: each of its files is still a good
+# part of a shuffle partition, and gathering them first would shuffle whole rows once more.
+FEW_SLOTS = 8
 
 
 class NotIncrementalError(RuntimeError):
@@ -100,10 +103,14 @@ def refresh_rows(
     delta: DataFrame,
     enrich: Callable[[DataFrame], DataFrame],
     txn: tuple[str, str] | None = None,
+    cluster: bool = True,
 ) -> None:
-    """Enriches and appends new fact rows only."""
+    """Enriches and appends new fact rows only.
+
+    ``cluster=False`` is for tables of at most some ``FEW_SLOTS`` slots.
+    """
     if not (target.exists() and txn and target.has_txn(*txn)):
-        target.append(enrich(delta), txn=txn, cluster=True)
+        target.append(enrich(delta), txn=txn, cluster=cluster)
 
 
 def touched_slots(target: VersionedTable, rows: DataFrame) -> list[str]:
@@ -136,7 +143,9 @@ def refresh_dimension_change(
     rows = target.read(slots)
     again = enrich(rows.join(changed, keys, "left_semi"))
     kept = rows.join(changed, keys, "left_anti")
-    target.replace_slots(kept.unionByName(again.select(*kept.columns)), slots, txn=txn, cluster=True)
+    target.replace_slots(
+        kept.unionByName(again.select(*kept.columns)), slots, txn=txn, cluster=len(slots) > FEW_SLOTS
+    )
 
 
 # ---------------------------------------------------------------- groups

@@ -291,9 +291,10 @@ def orders_enriched_incremental(spark, sf):
         return silver.orders_enriched(rows, stale, products)
 
     returned = F.col("payment_method") == "R"
-    refresh.refresh_rows(target, orders.filter(~returned), enrich, ("orders", "0"))
+    # Three slots: rows need not be gathered by status before they are written.
+    refresh.refresh_rows(target, orders.filter(~returned), enrich, ("orders", "0"), cluster=False)
     for _ in range(2):
-        refresh.refresh_rows(target, orders.filter(returned), enrich, ("orders", "1"))
+        refresh.refresh_rows(target, orders.filter(returned), enrich, ("orders", "1"), cluster=False)
     facts = [c for c in target.schema().names if not c.startswith("customer_") or c == "customer_id"]
     refresh.refresh_dimension_change(
         target,
