@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import deltas
 from tidemark.operators.deltas import TIMES
+from tidemark.plans import maintained
 from tidemark.plans.maintained import BUCKET, JoinView, StoredBag, TopRows, ValueCounts
 
 
@@ -179,3 +180,15 @@ def test_top_rows_with_repeated_rows(spark, new_path):
     assert [r["score"] for r in top.read().orderBy("rank").collect()] == [5, 5, 4]
     top.apply(spark.createDataFrame([("a", 5, -2), ("a", 4, -4)], f"g string, score int, {TIMES} long"))
     assert [r["score"] for r in top.read().orderBy("rank").collect()] == [4, 3]
+
+
+def test_top_rows_stage_what_can_compete_only(spark, new_path, monkeypatch):
+    staged, whole = {}, maintained.stage
+    monkeypatch.setattr(maintained, "stage", lambda df, label="": staged.setdefault(label, whole(df, label)))
+    top = TopRows(spark, new_path("top"), ["g"], [("score", True), ("id", False)], 3, 1, 2)
+    rows = spark.range(400).select(F.lit("a").alias("g"), F.col("id").alias("score"), "id")
+    top.apply(deltas.inserted(rows))
+    staged.clear()
+    top.apply(deltas.deleted(rows.filter("id < 300")))
+    assert staged["top-rows"].count() <= 6
+    assert [r["id"] for r in top.read().orderBy("rank").collect()] == [399, 398, 397]

@@ -59,7 +59,12 @@ class StoredBag:
         return self.read(self.slots_of(keys)).join(keys, self.by, "left_semi")
 
     def apply(self, changes: DataFrame, txn: tuple[str, str] | None = None) -> list[str]:
-        """Applies staged, consolidated changes; returns the slots that were rewritten."""
+        """Applies staged changes; returns the slots that were rewritten.
+
+        Where changes are not consolidated, a slot in which they cancel out is rewritten as it was.
+        The rows are written as the aggregate deals them: a task has rows of all slots, but no more
+        than a shuffle partition of them, and nothing is shuffled again to gather them.
+        """
         table = self.table
         if table.exists() and txn and table.has_txn(*txn):
             return []
@@ -71,7 +76,7 @@ class StoredBag:
         state = self.read(slots) if table.exists() else changes.limit(0)
         after = deltas.applied(state, changes)
         after = after.withColumn(BUCKET, self.bucket(after.columns))
-        table.replace_slots(after, slots, txn=txn, cluster=True)
+        table.replace_slots(after, slots, txn=txn)
         if table.manifest().version % RECLAIM_EVERY == 0:
             table.reclaim()
         return slots
@@ -203,15 +208,18 @@ class TopRows:
         rows = old.withColumn("__old", F.lit(True)).unionByName(
             changes.select(*columns, TIMES, F.lit(False).alias("__more"), F.lit(False).alias("__old"))
         )
-        rows = rows.groupBy(*columns).agg(*[f(c).alias(c) for f, c in ((F.sum, TIMES), (F.max, "__more"), (F.max, "__old"))])
+        # One shuffle for the sums and all windows.
+        rows = rows.repartition(*within).groupBy(*columns).agg(*[f(c).alias(c) for f, c in ((F.sum, TIMES), (F.max, "__more"), (F.max, "__old"))])
         whole = Window.partitionBy(*within)
         onwards = whole.orderBy(*self.order).rowsBetween(0, Window.unboundedFollowing)
         # Up to the last candidate of before, also if it is gone now, all rows are known.
         rows = rows.withColumn("__more", F.max("__more").over(whole))
         rows = rows.withColumn("__known", (F.max("__old").over(onwards) | ~F.col("__more")) & (F.col(TIMES) > 0))
         left = F.sum(F.when(F.col("__known"), F.col(TIMES)).otherwise(0)).over(whole)
-        rows = stage(rows.withColumn("__left", left), "top-rows")
-        short = staged_keys(rows.filter(F.col("__more") & (F.col("__left") < self.k)).select(*within).distinct())
+        rows = rows.withColumn("__left", left)
+        drained = F.col("__more") & (F.col("__left") < self.k)
+        rows = stage(rows.filter(F.col("__known") | drained), "top-rows")
+        short = staged_keys(rows.filter(drained).select(*within).distinct())
         self.refills = short.count()
         known = null_safe_join(rows.filter("__known"), short, within, "left_anti")
         kept = self._first(known.drop("__known", "__left", "__old"), F.col("__more"))
@@ -220,7 +228,8 @@ class TopRows:
 
     def apply(self, changes: DataFrame, txn: tuple[str, str] | None = None) -> list[str]:
         """Takes signed rows; returns the slots whose candidates were rewritten."""
-        fresh = stage(deltas.consolidated(changes), "top-changes")
+        # Rows and candidates are added up where they meet the changes.
+        fresh = stage(changes, "top-changes")
         self.source.apply(fresh, txn)
         best = self.best
         if best.exists() and txn and best.has_txn(*txn):
