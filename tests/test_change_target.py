@@ -316,3 +316,14 @@ def test_customer_deleted_in_a_second_batch(spark, new_path):
         assert current.read().count() == rows
         assert history.read().count() == 4
         assert history.read().filter("__END_AT IS NULL").count() == still_open
+
+
+def test_events_of_many_tasks_become_one_file_a_slot(spark, new_path):
+    spec = ChangeSpec.of(keys="k", sequence_by="at", scd_type=2)
+    target = ChangeTarget(spark, new_path("gathered"), spec, buckets=4)
+    rows = spark.range(400).select(F.col("id").alias("k"), F.timestamp_seconds(F.col("id") * 20_000).alias("at"))
+    for i in range(2):
+        target.apply(rows.withColumn("at", F.col("at") + F.expr(f"INTERVAL {100 * i} DAYS")).repartition(6))
+        files = [f for f in target.events.read().inputFiles() if f"/gen={i + 1}/" in f]
+        assert len(files) == len({f.rsplit("/", 1)[0] for f in files})
+    assert target.events.read().count() == 800

@@ -160,8 +160,10 @@ class ChangeTarget:
             untouched = null_safe_join(old, keys, self.spec.keys, "left_anti")
             old = null_safe_join(old, keys, self.spec.keys, "left_semi")
         merged = cdc.scd1_state(events, self.spec, old, keep_origin=True)
+        merged = merged.withColumn(BUCKET, self._bucket())
         if untouched is not None:
-            merged = merged.unionByName(untouched.withColumn("__kept", F.lit(True)))
+            copied = untouched.withColumn("__kept", F.lit(True)).withColumn(BUCKET, self._bucket())
+            merged = merged.unionByName(copied).hint("rebalance", BUCKET)
         seen = Observation()
         fresh = ~F.col("__kept")
         merged = merged.observe(
@@ -171,7 +173,7 @@ class ChangeTarget:
             F.count_if(~F.col(DEL)).alias("num_output_rows"),
         )
         self.state.replace_slots(
-            merged.drop("__kept").withColumn(BUCKET, self._bucket()),
+            merged.drop("__kept"),
             slots,
             txn=txn,
             observed=seen,
@@ -223,10 +225,13 @@ class ChangeTarget:
             versions = versions.unionByName(kept.select(*versions.columns))
         # Versions first: if the job dies in between, the batch still counts as new
         # and yields the same versions again.
-        self.versions.replace_slots(versions, replaced, observed=seen)
+        # What is copied or staged lies in tasks that hold rows of all slots; gathered, it does not
+        # become a file per task and slot.
+        self.versions.replace_slots(versions, replaced, observed=seen, cluster=kept is not None)
         self.events.append(
             fresh.withColumn(BUCKET, self._bucket()).withColumn(PERIOD, self._period(fresh, SEQ)),
             txn=txn,
+            cluster=True,
         )
 
     def _slots_of(self, rows: DataFrame) -> list[str]:
