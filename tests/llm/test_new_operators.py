@@ -5,10 +5,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tests.llm import brute, data
 
-from tidemark.llm import alignment, collocations, packing, vocabulary
+from tidemark.llm import alignment, collocations, frames, packing, vocabulary
 from tidemark.llm import words as w
 
 # What tokenizers may stumble over.
@@ -118,6 +119,45 @@ def test_cycles_count_in_full(spark, monkeypatch):
     assert {(r["lang"], r["phrase"]): r["a"] for r in spelled.collect()} == dict(expected)
 
 
+def test_counts_travel_as_blocks(spark, monkeypatch):
+    """Between rounds there are some rows per length and round, not one per phrase."""
+    held = []
+
+    def staged(df, label, **more):
+        out = frames.staged(df, label, **more)
+        if label in ("phrases-counts", "phrases-words"):
+            held.append(out.count())
+        return out
+
+    monkeypatch.setattr(collocations, "staged", staged)
+    texts = collocations.corpus(phrase_docs(spark, phrase_rows()).repartition(3))
+    _, frequent = collocations.count(texts, collocations.Spec(threshold=4), 1 << 16)
+    assert frequent.count() > 200
+    assert 0 < max(held) <= 20
+
+
+def test_collocations_in_many_small_blocks(spark, monkeypatch):
+    for name, value in (("PART_BYTES", 512), ("BLOCK", 7), ("BLOCKS_AT_ONCE", 2), ("GATHERED", 64), ("MOST_BITS", 64)):
+        monkeypatch.setattr(collocations, name, value)
+    monkeypatch.setattr(w, "PIECE_BYTES", 400)
+    rng = random.Random(8)
+    long = ["a", "a\x00", "abcdefgh", "abcdefgh\x00", "abcdefghi", "ABCDEFGHI", "x" * 64, "x" * 65, "X" * 66, "y" + "é" * 300]
+    rows = phrase_rows()[:120] + [(i, " ".join(rng.choices(long, k=40)), "en") for i in range(60)] + [(99, "of the " * 300, None)]
+    found = collocations.collocations(phrase_docs(spark, rows).repartition(3), collocations.Spec(threshold=5, top=200))
+    assert Counter(tuple(r) for r in found.collect()) == Counter(brute.phrases([(s, t) for _, t, s in rows], 5, 50, 200))
+
+
+def test_hashes_of_words():
+    """Words differ by each byte and by length, not by case or by where they stand."""
+    texts = ["a", "a\x00", "b", "a" * 8, "a" * 9, "a" * 8 + "b", "a" * 16, "a" * 17, "a" * 64, "a" * 65, "a" * 64 + "b", "ü" * 40]
+    texts = [*texts, *(x.upper() for x in texts if x.isascii()), *texts, "", " . "]
+    data, offsets = w.text_buffer(pa.array(texts))
+    of = {}
+    for word, h in zip(texts, collocations.Phrases(data, offsets, np.zeros(len(texts), dtype=w.U)).one, strict=False):
+        assert of.setdefault(word.lower() if word.isascii() else word, h) == h
+    assert len(set(of.values())) == len(of) == 12
+
+
 def test_collocations_of_large_counts(spark):
     """Products beyond 64 bits."""
     row = spark.range(1).selectExpr("9000000000000000 a", "9000000000000001 l", "9000000000000003 r")

@@ -13,9 +13,13 @@ phrases of one slot make one of them active early, which only has it counted nee
 its round of activation is a function of the phrase, so the cycle is full all the same.
 The table grows with the corpus up to ``MOST_SLOTS``; beyond, more is counted in vain.
 
-Phrases are counted under 64-bit hashes of language and words; among 10^8 different phrases, any
-two share one with a chance of less than 0.1%. The texts of those that reached the threshold
-are looked up shard by shard, each time only for hashes that no earlier shard had.
+Words and phrases are counted under 64-bit hashes of language and words; among 10^8 different phrases, any
+two share one with a chance of less than 0.1%. Most phrases are rare, so a row for each would be most of
+the work. Counts travel as blocks instead: the sorted hashes of one length, one round of activation and
+one range of hashes, with a count each. A task merges the blocks of a range, which stay bounded, since the ranges
+grow in number with the corpus. The texts of what reached the threshold
+are looked up shard by shard, each time only for hashes that no earlier shard had. A language counts as the
+phrase of no words that begins at each word, which makes the totals.
 
 Words, phrases and totals are per language, NULL language being 'und'. NULL and empty texts
 have no words. Repeated rows count each. A very long text is read in one task, a megabyte's
@@ -25,6 +29,7 @@ empty table gives no rows. Scores that tie are ordered by count, then phrase in
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -45,8 +50,19 @@ SHARDS = 4
 BYTES_A_SLOT = 64
 LEAST_SLOTS, MOST_SLOTS = 1 << 16, 1 << 26
 NEVER = 255
-# Bytes of text whose phrases are counted at once.
+# Bits of the table of hashes whose texts are looked up: so many per slot of the other, up to this number.
+BITS_A_SLOT, MOST_BITS = 8, 1 << 28
+# Bytes of text whose phrases are hashed at once.
 SCAN_BYTES = 2 << 20
+# Hashes that a task gathers before they leave as blocks, and that it remembers to have spelled.
+GATHERED = 3 << 20
+# Bytes of text per range of hashes, hashes in a merged block at most, and blocks that a task sends at once.
+PART_BYTES = 8 << 20
+BLOCK = 1 << 17
+BLOCKS_AT_ONCE = 64
+BLOCKS = "words int, since int, part int, hashes binary, n binary"
+# Words of more bytes are hashed by running sums.
+LONG_WORD = 64
 # The first sort of the report is by this many parts of a language.
 PARTS = 64
 
@@ -56,6 +72,9 @@ INSIDE = ~BREAKS
 INSIDE[[0x20, 0x09]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+# The first 0 to 8 bytes of a 64-bit number.
+FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=w.U)
+_STEP, _SIZE = w.U(w._BASE_WORD), w.U(w._BASE_BYTE)
 
 
 @dataclass(frozen=True)
@@ -67,22 +86,64 @@ class Spec:
     top: int = 2000
 
 
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the words data[start:end], in lower case, taken eight bytes at a time."""
+    sizes = ends - starts
+    low = np.concatenate([LOWER[data], np.zeros(8, dtype=np.uint8)])
+    eight = np.ndarray(len(data) + 1, dtype="<u8", buffer=low, strides=(1,))
+    hashes = w.mix((eight[starts] & FIRST[np.minimum(sizes, 8)]) + sizes.astype(w.U) * _SIZE)
+    at = np.flatnonzero((sizes > 8) & (sizes <= LONG_WORD))
+    for done in range(8, LONG_WORD, 8):
+        at = at[sizes[at] > done]
+        if not len(at):
+            break
+        more = eight[starts[at] + done] & FIRST[np.minimum(sizes[at] - done, 8)]
+        hashes[at] = w.mix(hashes[at] * _STEP + more)
+    long = np.flatnonzero(sizes > LONG_WORD)
+    upto = np.cumsum(sizes[long])
+    lo = 0
+    while lo < len(long):
+        # Whole words of about PIECE_BYTES at a time.
+        hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] + w.PIECE_BYTES)))
+        some, to = long[lo:hi], np.cumsum(sizes[long[lo:hi]])
+        codes = w._BYTE[low[ranges(starts[some], sizes[some])]]
+        hashes[some] = w._run_sums(codes, w._byte_powers, to - sizes[some], to)
+        lo = hi
+    return hashes
+
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> w.Words:
+    """The words of the texts data[offsets[i]:offsets[i + 1]]."""
+    n = len(data)
+    inside = INSIDE[data]
+    opens, closes = inside.copy(), inside.copy()
+    if n:
+        opens[1:] &= ~inside[:-1]
+        closes[:-1] &= ~inside[1:]
+        edges = offsets[(offsets > 0) & (offsets < n)]
+        opens[edges] = inside[edges]
+        closes[edges - 1] = inside[edges - 1]
+    starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    return w.Words(_word_hashes(data, starts, ends), starts, ends, np.searchsorted(starts, offsets), data)
+
+
 class Phrases:
     """The words of some texts, and which two or three in a row stand in one piece."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, language: np.ndarray):
-        found = w.find_words(data, offsets, INSIDE, lower=True)
-        of = found.of()
-        found.hashes = w.mix(found.hashes + language[of])
-        self.words, n = found, len(found.hashes)
-        self.text = of
-        breaks = np.concatenate([[0], np.cumsum(BREAKS[data])])
+        self.words = found = _words(data, offsets)
+        self.text = of = found.of()
+        found.hashes = one = w.mix(found.hashes + language[of])
+        breaks = np.zeros(len(data) + 1, dtype=np.int32)
+        np.cumsum(BREAKS[data], out=breaks[1:])
+        n, before = len(one), breaks[found.starts]
         self.pair = np.zeros(n, dtype=bool)
-        if n > 1:
-            self.pair[:-1] = (of[1:] == of[:-1]) & (breaks[found.starts[1:]] == breaks[found.starts[:-1]])
+        self.pair[:-1] = (of[1:] == of[:-1]) & (before[1:] == before[:-1])
         self.triple = self.pair.copy()
         self.triple[:-1] &= self.pair[1:]
-        self.one, self.two, self.three = found.hashes, found.runs(2)[0], found.runs(3)[0]
+        self.one, self.two, self.three = one, np.zeros(n, dtype=w.U), np.zeros(n, dtype=w.U)
+        self.two[:-1] = w.mix(one[:-1] + _STEP * one[1:])
+        self.three[:-2] = w.mix(one[:-2] + _STEP * (one[1:-1] + _STEP * one[2:]))
 
     def spelled(self, at: np.ndarray, length: int) -> pa.Array:
         """The phrases of so many words that begin with these words, joined by spaces."""
@@ -105,12 +166,89 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Phrases, np.nd
 
 
 def _rounds(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    return table[(hashes & w.U(len(table) - 1)).astype(np.int64)]
-
-
-def _activation(table: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The round in which a phrase becomes active, from when its subphrases reached the threshold."""
-    return np.maximum(_rounds(table, left), _rounds(table, right)).astype(np.int64) + 1
+    return table[(hashes & w.U(len(table) - 1)).view(np.int64)]
+
+
+def _counts(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each different hash, in order, and how often it is there."""
+    hashes = np.sort(hashes)
+    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])[: len(hashes)])
+    return hashes[first], np.diff(first, append=len(hashes))
+
+
+def _sums(hashes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each different hash, in order, and the sum of its counts."""
+    order = np.argsort(hashes)
+    hashes, n = hashes[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])[: len(hashes)])
+    return hashes[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _binary(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """values[cuts[i]:cuts[i + 1]] as binary values."""
+    at = ((cuts - cuts[0]) * values.itemsize).astype(np.int32)
+    part = np.ascontiguousarray(values[cuts[0] : cuts[-1]])
+    return pa.BinaryArray.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(at), pa.py_buffer(part)])
+
+
+def _small(n: np.ndarray) -> np.ndarray:
+    """Counts in as few bytes as the largest needs."""
+    return n.astype(np.min_scalar_type(int(n.max()) if len(n) else 0))
+
+
+def _opened(hashes: pa.Array, n: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and counts of some blocks."""
+    found, counts = [np.zeros(0, dtype=w.U)], [np.zeros(0, dtype=np.int64)]
+    for x, y in zip(hashes, n, strict=True):
+        x = np.frombuffer(x.as_buffer(), dtype=w.U)
+        if len(x):
+            y = y.as_buffer()
+            found.append(x)
+            counts.append(np.frombuffer(y, dtype=f"u{y.size // len(x)}").astype(np.int64))
+    return np.concatenate(found), np.concatenate(counts)
+
+
+class Gathered:
+    """Hashes that a task has met, by length and round of activation, until they leave as blocks."""
+
+    def __init__(self, parts: int):
+        steps = [(i << 64) // parts for i in range(1, parts)]
+        self.steps, self.size = np.array(steps, dtype=w.U), 0
+        self.held, self.totals = defaultdict(list), []
+
+    def add(self, words: int, since: int, hashes: np.ndarray) -> None:
+        if len(hashes):
+            self.held[words, since].append(hashes)
+            self.size += len(hashes)
+
+    def add_totals(self, language: np.ndarray, n: np.ndarray) -> None:
+        self.totals.append((language, n))
+        self.size += len(n)
+
+    def blocks(self) -> Iterator[pa.RecordBatch]:
+        while self.held:
+            (words, since), hashes = self.held.popitem()
+            yield from self._cut(words, since, *_counts(np.concatenate(hashes)))
+        if self.totals:
+            language, n = (np.concatenate(x) for x in zip(*self.totals, strict=True))
+            yield from self._cut(0, 0, *_sums(language, n))
+        self.totals, self.size = [], 0
+
+    def _cut(self, words: int, since: int, hashes: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        cuts = np.concatenate([[0], np.searchsorted(hashes, self.steps), [len(hashes)]])
+        some = np.flatnonzero(cuts[1:] > cuts[:-1])
+        cuts = np.concatenate([cuts[some], [len(hashes)]])
+        for lo in range(0, len(some), BLOCKS_AT_ONCE):
+            hi = lo + BLOCKS_AT_ONCE
+            yield _rows(words, since, some[lo:hi], hashes, n, cuts[lo : hi + 1])
+
+
+def _rows(words: int, since: int, part: np.ndarray, hashes: np.ndarray, n: np.ndarray, cuts: np.ndarray) -> pa.RecordBatch:
+    alike = [pa.array(np.full(len(part), x, dtype=np.int32)) for x in (words, since)]
+    return pa.RecordBatch.from_arrays(
+        [*alike, pa.array(part.astype(np.int32)), _binary(hashes, cuts), _binary(_small(n), cuts)],
+        ["words", "since", "part", "hashes", "n"],
+    )
 
 
 @contextmanager
@@ -136,119 +274,132 @@ def corpus(docs: DataFrame) -> DataFrame:
     return staged(rows, "phrases-corpus", partition_by=["__shard"])
 
 
-def scan_words(shard: DataFrame) -> DataFrame:
-    """lang, word, hash and n of a shard."""
+def scan(shard: DataFrame, table, now: int, parts: int) -> DataFrame:
+    """Blocks of a shard's words and languages, in the first cycle, and of its active phrases."""
+    cycle = SHARDS
 
-    def scan(batches):
-        for found, _, langs in _batches(batches):
-            if not len(found.one):
-                continue
-            hashes, first, n = np.unique(found.one, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    langs.take(pa.array(found.text[first])),
-                    found.spelled(first, 1), pa.array(w.signed(hashes)), pa.array(n),
-                ],
-                ["lang", "word", "hash", "n"],
-            )
+    def scanned(batches):
+        reached, gathered = table.value, Gathered(parts)
+        for found, language, _ in _batches(batches):
+            if now < cycle:
+                langs, at = np.unique(language, return_inverse=True)
+                per = np.zeros(len(langs), dtype=np.int64)
+                np.add.at(per, at, found.words.counts())
+                gathered.add_totals(langs, per)
+                gathered.add(1, 0, found.one)
+            for length, whole, there, sub in ((2, found.two, found.pair, found.one), (3, found.three, found.triple, found.two)):
+                since = _rounds(reached, sub)
+                since = np.maximum(since[:-1], since[1:])
+                for start in range(max(1, now - cycle + 1), now + 1):
+                    gathered.add(length, start, whole[:-1][there[:-1] & (since == start - 1)])
+            if gathered.size >= GATHERED:
+                yield from gathered.blocks()
+        yield from gathered.blocks()
 
-    kept = shard.select("lang", "__lang", "text")
-    return kept.mapInArrow(scan, "lang string, word string, hash bigint, n bigint").groupBy("lang", "word", "hash").agg(
-        F.sum("n").alias("n")
-    )
+    return shard.select("lang", "__lang", "text").mapInArrow(scanned, BLOCKS)
 
 
-def scan_phrases(shard: DataFrame, table, now: int) -> DataFrame:
-    """words, hash, since (the round of activation) and n of a shard's active phrases."""
+def merge(blocks: DataFrame, threshold: int, now: int) -> DataFrame:
+    """The blocks of each range added up, with the hashes of theirs that reached the threshold in this round or before.
+
+    A phrase below the threshold after its full cycle is never asked for again.
+    """
     cycle = SHARDS
 
-    def scan(batches):
-        reached = table.value
-        for found, *_ in _batches(batches):
-            for length, whole, there, sub in ((2, found.two, found.pair, found.one), (3, found.three, found.triple, found.two)):
-                at = np.flatnonzero(there)
-                since = _activation(reached, sub[at], sub[at + 1])
-                active = (since <= now) & (now < since + cycle)
-                hashes, first, n = np.unique(whole[at[active]], return_index=True, return_counts=True)
-                if len(hashes):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(n), length, dtype=np.int32)), pa.array(w.signed(hashes)),
-                            pa.array(since[active][first].astype(np.int32)), pa.array(n),
-                        ],
-                        ["words", "hash", "since", "n"],
-                    )
+    def merged(key, rows):
+        words, since, part = (x.as_py() for x in key)
+        hashes, n = _sums(*_opened(rows.column("hashes"), rows.column("n")))
+        if words and since + cycle <= now + 1:
+            hashes, n = hashes[n >= threshold], n[n >= threshold]
+        asked = 0 < words < 3 and since + cycle > now
+        cuts = np.unique(np.append(np.arange(0, len(hashes), BLOCK), len(hashes)))
+        found = _rows(words, since, np.full(len(cuts) - 1, part), hashes, n, cuts)
+        often = (n >= threshold) & asked
+        ends = np.concatenate([[0], np.cumsum(often)])[cuts]
+        return pa.Table.from_batches([found]).append_column("reached", _binary(hashes[often], ends))
 
-    return shard.select("lang", "__lang", "text").mapInArrow(scan, "words int, hash bigint, since int, n bigint")
+    return blocks.groupBy("words", "since", "part").applyInArrow(merged, BLOCKS + ", reached binary")
 
 
-def _learn(table: np.ndarray, hashes: DataFrame, now: int) -> int:
-    """Enters the round for hashes that reached the threshold; returns how many slots are new."""
-    slot = F.col("hash").bitwiseAND(len(table) - 1)
+def _reached(blocks: DataFrame) -> DataFrame:
+    """hash, of all that merged blocks name as having reached the threshold."""
+
+    def opened(batches):
+        for batch in batches:
+            for x in batch.column("reached"):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x.as_buffer(), dtype=np.int64))], ["hash"])
+
+    return blocks.select("reached").mapInArrow(opened, "hash bigint")
+
+
+def _frequent(blocks: DataFrame, threshold: int) -> DataFrame:
+    """words, hash and a of what reached the threshold, and of all languages."""
+
+    def opened(batches):
+        for batch in batches:
+            for words, *block in zip(*(batch.column(x) for x in ("words", "hashes", "n")), strict=True):
+                hashes, n = _opened(*([x] for x in block))
+                kept = (n >= threshold) | (words.as_py() == 0)
+                length = pa.array(np.full(kept.sum(), words.as_py(), dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([length, pa.array(w.signed(hashes[kept])), pa.array(n[kept])], ["words", "hash", "a"])
+
+    return blocks.select("words", "hashes", "n").mapInArrow(opened, "words int, hash bigint, a bigint")
+
+
+def _bits(hashes: DataFrame, slots: int) -> np.ndarray:
+    """A bit per slot, eight to a byte: whether a hash lies in it."""
+    slot = F.col("hash").bitwiseAND(slots - 1)
     bits = hashes.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("at")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")
     )
     # At most one row per 64 slots of the table, whose size is bounded.
     found = bits.toArrow()
-    words = np.zeros(-(-len(table) // 64), dtype=np.int64)
+    words = np.zeros(-(-slots // 64), dtype=np.int64)
     words[found.column("at").to_numpy()] = found.column("bits").to_numpy()
-    on = np.unpackbits(words.view(np.uint8), bitorder="little")[: len(table)].astype(bool)
+    return words.view(np.uint8)
+
+
+def _learn(table: np.ndarray, hashes: DataFrame, now: int) -> int:
+    """Enters the round for hashes that reached the threshold; returns how many slots are new."""
+    on = np.unpackbits(_bits(hashes, len(table)), bitorder="little")[: len(table)].astype(bool)
     fresh = on & (table == NEVER)
     table[fresh] = now
     return int(fresh.sum())
 
 
-def count(docs_by_shard: DataFrame, spec: Spec, slots: int) -> tuple[DataFrame, DataFrame]:
-    """Words (lang, word, hash, n) and phrases that reach the threshold (words, hash, a)."""
+def count(docs_by_shard: DataFrame, spec: Spec, slots: int, parts: int = 1) -> tuple[DataFrame, DataFrame]:
+    """words, hash and a of all that reach the threshold, languages included, and of the phrases among them."""
     spark = docs_by_shard.sparkSession
     shards = [docs_by_shard.filter(F.col("__shard") == i) for i in range(SHARDS)]
     table = np.full(slots, NEVER, dtype=np.uint8)
-    words = phrases = None
+    blocks = None
     now, last = 0, SHARDS - 1
     while now <= last:
         sent = spark.sparkContext.broadcast(table.copy())
-        new = 0
-        if now < SHARDS:
-            part = scan_words(shards[now])
-            if words is not None:
-                part = words.select("lang", "word", "hash", "n").union(part)
-            seen = part.groupBy("lang", "word", "hash").agg(F.sum("n").alias("n"))
-            words, old = staged(seen, "phrases-words"), words
-            if old is not None:
-                discard(old)
-            new += _learn(table, words.filter(F.col("n") >= spec.threshold), now)
-        if (table != NEVER).any() and now > 0:
-            part = scan_phrases(shards[now % SHARDS], sent, now)
-            if phrases is not None:
-                # A phrase below the threshold after its full cycle is never asked for again.
-                open_ = phrases.filter((F.col("n") >= spec.threshold) | (F.col("since") + SHARDS > now))
-                part = open_.unionByName(part)
-            seen = part.groupBy("words", "hash", "since").agg(F.sum("n").alias("n"))
-            phrases, old = staged(seen, "phrases-counts"), phrases
-            if old is not None:
-                discard(old)
-            new += _learn(table, phrases.filter((F.col("words") == 2) & (F.col("n") >= spec.threshold)), now)
+        part = scan(shards[now % SHARDS], sent, now, parts)
+        if blocks is not None:
+            part = blocks.drop("reached").unionByName(part)
+        blocks, old = staged(merge(part, spec.threshold, now), "phrases-counts"), blocks
+        if old is not None:
+            discard(old)
         sent.destroy()
-        if new:
+        if _learn(table, _reached(blocks), now):
             last = max(last, now + SHARDS)
         now += 1
-    if phrases is None:
-        phrases = staged(spark.createDataFrame([], "words int, hash bigint, since int, n bigint"), "phrases-counts")
-    frequent = phrases.groupBy("words", "hash").agg(F.sum("n").alias("a")).filter(F.col("a") >= spec.threshold)
-    frequent = staged(frequent, "phrases-frequent")
-    discard(phrases)
-    return words, frequent
+    found = staged(_frequent(blocks, spec.threshold), "phrases-frequent")
+    discard(blocks)
+    return found, found.filter("words > 1")
 
 
 def spell(docs_by_shard: DataFrame, frequent: DataFrame, slots: int) -> DataFrame:
-    """words, lang, phrase and a of the staged phrases with these hashes."""
+    """words, lang, phrase and a of the staged words and phrases with these hashes."""
     spark = docs_by_shard.sparkSession
     found, missing = [], frequent
     for shard in range(SHARDS):
-        table = np.full(slots, NEVER, dtype=np.uint8)
-        if not _learn(table, missing, 0):
+        wanted = _bits(missing, max(64, min(MOST_BITS, slots * BITS_A_SLOT)))
+        if not wanted.any():
             break
-        sent = spark.sparkContext.broadcast(table)
+        sent = spark.sparkContext.broadcast(wanted)
         seen = (
             _spelled(docs_by_shard.filter(F.col("__shard") == shard), sent)
             .select(F.col("words").alias("__words"), F.col("hash").alias("__hash"), "lang", "phrase")
@@ -268,16 +419,24 @@ def spell(docs_by_shard: DataFrame, frequent: DataFrame, slots: int) -> DataFram
 
 
 def _spelled(shard: DataFrame, wanted) -> DataFrame:
-    """Phrases of a shard that lie in slots of the table, each once per piece of text."""
+    """Words and phrases of a shard whose bits are set, few of them more than once per task."""
 
-    def scan(batches):
-        slots = wanted.value
+    def spelled(batches):
+        bits = wanted.value
+        known = [np.zeros(0, dtype=w.U)] * 4
         for found, _, langs in _batches(batches):
-            for length, whole, there in ((2, found.two, found.pair), (3, found.three, found.triple)):
-                at = np.flatnonzero(there)
-                at = at[_rounds(slots, whole[at]) != NEVER]
+            every = np.ones(len(found.one), dtype=bool)
+            for length, whole, there in ((1, found.one, every), (2, found.two, found.pair), (3, found.three, found.triple)):
+                slot = whole & w.U(8 * len(bits) - 1)
+                on = bits[(slot >> w.U(3)).view(np.int64)] >> (slot & w.U(7)).astype(np.uint8) & 1
+                at = np.flatnonzero(there & on.astype(bool))
+                if len(known[length]):
+                    near = np.searchsorted(known[length], whole[at])
+                    at = at[known[length][np.minimum(near, len(known[length]) - 1)] != whole[at]]
                 hashes, first = np.unique(whole[at], return_index=True)
                 if len(hashes):
+                    held = known[length] if len(known[length]) < GATHERED else known[length][:0]
+                    known[length] = np.sort(np.concatenate([held, hashes]))
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.full(len(hashes), length, dtype=np.int32)), pa.array(w.signed(hashes)),
@@ -287,7 +446,7 @@ def _spelled(shard: DataFrame, wanted) -> DataFrame:
                     )
 
     kept = shard.select("lang", "__lang", "text")
-    return kept.mapInArrow(scan, "words int, hash bigint, lang string, phrase string")
+    return kept.mapInArrow(spelled, "words int, hash bigint, lang string, phrase string")
 
 
 def _score(a: str, left: str, right: str) -> Column:
@@ -301,11 +460,14 @@ def collocations(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slots = min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (size // BYTES_A_SLOT).bit_length()))
     with _shuffles_removed(docs.sparkSession):
-        words, frequent = count(texts, spec, slots)
-        spelled = spell(texts, frequent, slots)
+        counted, _ = count(texts, spec, slots, max(1, size // PART_BYTES))
+        named = spell(texts, counted.filter("words > 0"), slots)
+        languages = texts.select(F.col("lang").alias("__lang"), F.col("__lang").alias("hash")).distinct()
+        totals = counted.filter("words = 0").join(languages, "hash").select("__lang", F.col("a").alias("n"))
+        totals = staged(totals, "phrases-totals")
     discard(texts)
-    known = words.filter(F.col("n") >= spec.threshold).select("lang", F.col("word").alias("phrase"), F.col("n").alias("f"))
-    known = staged(known.unionByName(spelled.filter("words = 2").select("lang", "phrase", F.col("a").alias("f"))), "phrases-known")
+    known = staged(named.filter("words < 3").select("lang", "phrase", F.col("a").alias("f")), "phrases-known")
+    spelled = named.filter("words > 1")
 
     # Every cut of every candidate, with how often either side occurs.
     parts = F.split("phrase", " ")
@@ -343,7 +505,6 @@ def collocations(docs: DataFrame, spec: Spec = Spec()) -> DataFrame:
     best = best.withColumn("__nth", F.row_number().over(Window.partitionBy("lang", "__part").orderBy(*order)))
     best = best.filter(F.col("__nth") <= spec.top)
     best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
-    totals = words.groupBy(F.col("lang").alias("__lang")).agg(F.sum("n").alias("n"))
     return best.filter(F.col("rank") <= spec.top).join(totals, F.col("lang") == F.col("__lang")).select(
         "lang", "rank", "phrase", "a", "l", "r", "n", "score"
     )
